@@ -94,7 +94,10 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
 
     visit(body)
     parts = ", ".join(f"{name} AS ({available[name]})" for name in available if name in wanted)
-    return f"WITH {parts} {body}" if parts else body
+    if not parts:
+        return body
+    # Named queries of the body come after the tables they read.
+    return f"WITH {parts}, {body[5:]}" if body.startswith("WITH ") else f"WITH {parts} {body}"
 
 
 def half_up(num: str, den: str, digits: int = 2, scale: int = 1) -> str:

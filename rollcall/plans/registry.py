@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.plans import checks, reports
+from rollcall.plans import analyses, checks, reports, risk
 from rollcall.plans.bound import bound, plain
 from rollcall.plans.oracle import with_tables
 
-CASES: dict = {**reports.QUERIES, **checks.QUERIES}
+CASES: dict = {**reports.QUERIES, **checks.QUERIES, **analyses.QUERIES, **risk.QUERIES}
 
 
 def _runner(build) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_tables(sql) for name, (_, sql) in CASES.items() if sql}
+    return {name: with_tables(sql, risk.EXTRA) for name, (_, sql) in CASES.items() if sql}

@@ -8,15 +8,14 @@ cohorts of an analysis share one job.
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.dates import day, quarter_label, tenure_months
+from rollcall.functions.kernels import chi2_tail
 from rollcall.functions.measures import is_exited
 from rollcall.operators.ranking import top
 
@@ -147,12 +146,6 @@ def by_department(df: DataFrame, least: int = 20) -> DataFrame:
     return curves(_large(df, "department", least), "department")
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_tail(stat: pd.Series) -> pd.Series:
-    """P(chi-square with one degree of freedom > stat); Spark has no erfc."""
-    return stat.map(lambda x: math.erfc(math.sqrt(x / 2)) if x is not None and x == x else None)
-
-
 def logrank_statistics(df: DataFrame, cohort: str, cohorts: Sequence[str] | None = None) -> DataFrame:
     """Log-rank statistic of every pair of cohorts: group_1, group_2, test_stat.
 
@@ -206,7 +199,9 @@ def logrank_statistics(df: DataFrame, cohort: str, cohorts: Sequence[str] | None
 
 def logrank_test(df: DataFrame, cohort: str = "college_tier", level: float = 0.05) -> DataFrame:
     """Pairwise log-rank tests with p-value and verdict."""
-    stats = logrank_statistics(df, cohort).withColumn("_p", chi2_tail("test_stat"))
+    # Spark has no erfc; there is one row per pair of cohorts.
+    tail = F.pandas_udf(chi2_tail, T.DoubleType())
+    stats = logrank_statistics(df, cohort).withColumn("_p", tail("test_stat"))
     return stats.select(
         "group_1",
         "group_2",

@@ -10,7 +10,6 @@ hands out the rows; a small numpy helper works on each Arrow batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -20,14 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.functions.kernels import Leaf, leaf_contributions
 from rollcall.operators.ranking import average_ranks, top
 from rollcall.riskmodel.train import score
 
 # MLlib's probability is 1 / (1 + exp(-2 margin)): twice the margin is the log-odds.
 LOG_ODDS = 2.0
 
-Leaf = tuple[float, list[tuple[int, float, float, float]]]
-
 
 def _leaves(node, scale: float, path: dict[int, tuple[float, float, float]]) -> Iterator[Leaf]:
     """Leaves below ``node``: value and (feature, low, high, share) per feature on the path."""
@@ -45,10 +43,9 @@ def _leaves(node, scale: float, path: dict[int, tuple[float, float, float]]) ->
 def model_leaves(model: PipelineModel) -> list[Leaf]:
     """All leaves of the ensemble; their number depends on rounds and depth only."""
     gbt = model.stages[-1]
-    trees = gbt._call_java("trees")
     found: list[Leaf] = []
-    for tree, weight in zip(trees, gbt.treeWeights):
-        found.extend(_leaves(tree._java_obj.rootNode() if hasattr(tree, "_java_obj") else tree.rootNode(), LOG_ODDS * weight, {}))
+    for tree, weight in zip(gbt.trees, gbt.treeWeights):
+        found.extend(_leaves(tree._call_java("rootNode"), LOG_ODDS * weight, {}))
     return found
 
 
@@ -57,24 +54,6 @@ def base_value(leaves: list[Leaf]) -> float:
     return float(sum(value * np.prod([c[3] for c in conditions]) for value, conditions in leaves))
 
 
-def add_leaf(x: np.ndarray, leaf: Leaf, out: np.ndarray) -> None:
-    """Add the Shapley values of one leaf for all rows of ``x``."""
-    value, conditions = leaf
-    k = len(conditions)
-    met = [((x[:, f] > low) & (x[:, f] <= high)).astype(float) for f, low, high, _ in conditions]
-    weights = np.array([factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)])
-    for j, (feature, _, _, share) in enumerate(conditions):
-        # Column s: total over the sets of s other features that are known.
-        sizes = np.zeros((len(x), k))
-        sizes[:, 0] = 1.0
-        for i, other in enumerate(conditions):
-            if i != j:
-                known = sizes[:, :-1] * met[i][:, None]
-                sizes *= other[3]
-                sizes[:, 1:] += known
-        out[:, feature] += value * (met[j] - share) * (sizes @ weights)
-
-
 def contributions(model: PipelineModel, matrix: DataFrame, features: list[str]) -> DataFrame:
     """Contribution of every feature to the log-odds of every row.
 
@@ -83,14 +62,10 @@ def contributions(model: PipelineModel, matrix: DataFrame, features: list[str])
     leaves = model_leaves(model)
     width = len(features)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def explain(vectors: pd.Series) -> pd.Series:
-        x = np.array(vectors.tolist(), dtype=float).reshape(-1, width)
-        out = np.zeros_like(x)
-        for leaf in leaves:
-            add_leaf(x, leaf, out)
-        return pd.Series(list(out))
+    def batch(vectors: pd.Series) -> pd.Series:
+        return leaf_contributions(vectors, leaves, width)
 
+    explain = F.pandas_udf(batch, T.ArrayType(T.DoubleType()))
     vectors = model.stages[0].transform(matrix).select("employee_id", vector_to_array("features").alias("_x"))
     explained = vectors.withColumn("_phi", explain("_x"))
     names = F.array(*[F.lit(f) for f in features])

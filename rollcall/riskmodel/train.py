@@ -43,6 +43,7 @@ def train(
         seed=seed,
         # Depth 4 needs node ids only; the cache avoids replaying all trees each round.
         cacheNodeIds=True,
+        validationTol=tolerance,
     )
     if weight:
         gbt = gbt.setWeightCol(weight)
@@ -50,7 +51,7 @@ def train(
     if holdout:
         held = F.pmod(F.xxhash64("employee_id"), F.lit(100)) < holdout
         data = data.withColumn("_held", held)
-        gbt = gbt.setValidationIndicatorCol("_held").setValidationTol(tolerance)
+        gbt = gbt.setValidationIndicatorCol("_held")
     columns = [*features, "attrition", *(["_held"] if holdout else []), *([weight] if weight else [])]
     return Pipeline(stages=[assembler, gbt]).fit(data.select(*columns))
 

@@ -80,6 +80,11 @@ def global_row_number(df: DataFrame, *order: Column | str, name: str = "row_numb
     return running_totals(df, order, {name: F.lit(1).cast("bigint")})
 
 
+def grouped_row_number(df: DataFrame, by: str, *order: Column | str, name: str = "row_number") -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY by ORDER BY order); a key may span many ranges."""
+    return running_totals(df, order, {name: F.lit(1).cast("bigint")}, [by]).drop(f"{name}_all")
+
+
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     """NTILE from a row number and the number of rows."""
     size = F.floor(rows / tiles)

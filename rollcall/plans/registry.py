@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.plans import analyses, checks, reports, risk
+from rollcall.plans import analyses, basics, checks, reports, risk
 from rollcall.plans.bound import bound, plain
 from rollcall.plans.oracle import with_tables
 
-CASES: dict = {**reports.QUERIES, **checks.QUERIES, **analyses.QUERIES, **risk.QUERIES}
+CASES: dict = {
+    **basics.QUERIES,
+    **reports.QUERIES,
+    **checks.QUERIES,
+    **analyses.QUERIES,
+    **risk.QUERIES,
+}
 
 
 def _runner(build) -> Callable[[SparkSession, str], DataFrame]:

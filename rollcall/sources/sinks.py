@@ -19,12 +19,20 @@ def save_dataframe(df: DataFrame, path: str, format: str = "parquet", mode: str
     return path
 
 
-def save_tables(tables: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
-    """Save every table in the catalog, replacing what is there."""
+def save_tables(
+    tables: Mapping[str, DataFrame], database: str | None = None, prefix: str = "", location: str | None = None
+) -> list[str]:
+    """Save every table in the catalog, replacing what is there.
+
+    ``location`` puts the files below a folder of its own instead of the warehouse.
+    """
     names = []
     for name, df in tables.items():
-        full = f"{database}.{name}" if database else name
-        df.write.mode("overwrite").saveAsTable(full)
+        full = f"{database}.{prefix}{name}" if database else f"{prefix}{name}"
+        writer = df.write.mode("overwrite")
+        if location:
+            writer = writer.option("path", f"{location}/{name}")
+        writer.saveAsTable(full)
         names.append(full)
     return names
 

@@ -9,6 +9,7 @@ from rollcall.functions.measures import is_exited, mean, mean_of, percent, rate,
 from rollcall.functions.picks import newest
 from rollcall.operators.quantiles import describe
 from rollcall.operators.ranking import global_row_number, small_ranks, tile_of, top
+from rollcall.sources.scratch import written
 
 # Fixed flag texts, worst to best: the SQL report, and the scorecard with its markers.
 FLAGS = ("HIGH RISK  — Needs Coaching", "AVERAGE    — Monitor", "STAR       — Best Practice")
@@ -229,7 +230,8 @@ def scorecard(
     facts = _team_facts(employees, performance, _pay(latest), learning, even=True).drop(
         "_reviews", "_pay_rows", "_courses"
     )
-    facts = facts.withColumn("total_learning_hours", F.bround("total_learning_hours", 2))
+    # One row per manager, read for the ranks, for the span of the measures and for the card itself.
+    facts = written(facts.withColumn("total_learning_hours", F.bround("total_learning_hours", 2)), "team-facts")
     ranked = small_ranks(facts, "attrition_rate_pct", descending=True, name="risk_rank")
     company = employees.agg(rate(is_exited(), even=True).alias("r")).scalar()
     span = facts.agg(

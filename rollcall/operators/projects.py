@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.dates import day
-from rollcall.functions.measures import is_exited, mean, percent, with_share
+from rollcall.functions.measures import is_exited, mean, rate, with_share
 from rollcall.operators.ranking import top, top_ranked
 
 
@@ -61,18 +61,16 @@ def open_assignments(projects: DataFrame, as_of: dt.date) -> DataFrame:
 
 def attrition(projects: DataFrame, employees: DataFrame, n: int = 20) -> DataFrame:
     """Assignments of people who left, by project and client."""
-    per_employee = projects.groupBy("employee_id", "project_name", "client_name").agg(F.count("*").alias("_rows"))
     groups = (
-        per_employee.join(employees.select("employee_id", "status"), "employee_id")
+        projects.select("employee_id", "project_name", "client_name")
+        .join(employees.select("employee_id", "status"), "employee_id")
         .groupBy("project_name", "client_name")
         .agg(
-            F.sum("_rows").alias("total_assignments"),
-            F.sum(F.when(is_exited(), F.col("_rows")).otherwise(0)).alias("exited_employees"),
+            F.count("*").alias("total_assignments"),
+            F.count_if(is_exited()).alias("exited_employees"),
+            rate(is_exited()).alias("attrition_rate_pct"),
         )
     )
-    groups = groups.withColumn(
-        "attrition_rate_pct", percent(F.col("exited_employees"), F.col("total_assignments"))
-    )
     return top(groups, n, F.desc("attrition_rate_pct"), "project_name", "client_name")
 
 
@@ -84,13 +82,12 @@ def workload(projects: DataFrame, employees: DataFrame, n: int = 20) -> DataFram
 
 
 def by_department(projects: DataFrame, employees: DataFrame) -> DataFrame:
-    per_employee = projects.groupBy("employee_id", "project_name").agg(
-        F.count("*").alias("_rows"), F.count_if("billable").alias("_billable")
-    )
+    """Counted per department and project first, so distinct projects are rows of a small table."""
     return (
-        per_employee.join(employees.select("employee_id", "department"), "employee_id")
+        projects.select("employee_id", "project_name", "billable")
+        .join(employees.select("employee_id", "department"), "employee_id")
         .groupBy("department", "project_name")
-        .agg(F.sum("_rows").alias("_rows"), F.sum("_billable").alias("_billable"))
+        .agg(F.count("*").alias("_rows"), F.count_if("billable").alias("_billable"))
         .groupBy("department")
         .agg(
             F.count("project_name").alias("distinct_projects"),

@@ -39,6 +39,9 @@ BILLABLE_WORDS = ("Yes", "No", "True", "False", "true", "false")
 BOOLEAN_WORDS = ("True", "False", "true", "false", "1", "0")
 AGES = (21, 60)
 RATINGS = (1, 5)
+REFERENCE = "Referential Integrity (Emp IDs)"
+EXIT_ORDER = "Exit Date After Joining Date"
+_EXIT_ORDER_TEXTS = ("All exit dates are after corresponding joining dates", "exits before joining date")
 SECTIONS = {
     "employees": "1. Employees",
     "compensation": "2. Compensation",
@@ -178,10 +181,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "employee_id") -
 
 def reference_check(child: DataFrame, employees: DataFrame, table: str) -> DataFrame:
     counted = orphan_keys(child, employees).agg(F.count("*").alias("n"))
-    good = f"All {_nouns[table]} records tied to valid employees"
-    return _single(
-        counted, SECTIONS[table], "Referential Integrity (Emp IDs)", good, f"unknown employee IDs in {table}"
-    )
+    return _single(counted, SECTIONS[table], REFERENCE, *_reference_texts(table))
 
 
 _nouns = {
@@ -193,6 +193,10 @@ _nouns = {
 }
 
 
+def _reference_texts(table: str) -> tuple[str, str]:
+    return f"All {_nouns[table]} records tied to valid employees", f"unknown employee IDs in {table}"
+
+
 def band_violations(compensation: DataFrame, bands: DataFrame) -> DataFrame:
     """Rows outside the band, per level that has any; a missing salary counts."""
     inside = F.col("salary").between(F.col("band_min"), F.col("band_max"))
@@ -229,13 +233,7 @@ def exit_order_check(exits: DataFrame, employees: DataFrame) -> DataFrame:
         .join(employees.select("employee_id", "joining_date"), "employee_id", "left")
         .agg(F.count_if(F.col("exit_date") < F.col("joining_date")).alias("n"))
     )
-    return _single(
-        counted,
-        SECTIONS["exits"],
-        "Exit Date After Joining Date",
-        "All exit dates are after corresponding joining dates",
-        "exits before joining date",
-    )
+    return _single(counted, SECTIONS["exits"], EXIT_ORDER, *_EXIT_ORDER_TEXTS)
 
 
 def offenders(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -420,17 +418,38 @@ def row_check(df: DataFrame, table: str, check_id: str, as_of: dt.date) -> DataF
     return run_row_checks(df, SECTIONS[table], chosen)
 
 
+def table_checks(df: DataFrame, employees: DataFrame, table: str, as_of: dt.date) -> DataFrame:
+    """All row checks of a history table and its foreign key from one scan.
+
+    Violations are counted per employee first. That leaves the distinct keys,
+    which then meet the distinct employees once.
+    """
+    checks = ROW_CHECKS[table](as_of)
+    section = SECTIONS[table]
+    known = employees.select("employee_id").distinct().withColumn("_known", F.lit(True))
+    keyed = df.groupBy("employee_id").agg(*[F.count_if(c.violated).alias(c.id) for c in checks])
+    totals = keyed.join(known, "employee_id", "left").agg(
+        *[F.coalesce(F.sum(c.id), F.lit(0)).alias(c.id) for c in checks],
+        F.count_if(F.col("_known").isNull()).alias("fk"),
+    )
+    rows = [_result(section, c.name, F.col(c.id), c.good, c.bad) for c in checks]
+    rows.append(_result(section, REFERENCE, F.col("fk"), *_reference_texts(table)))
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def validation_report(tables: Mapping[str, DataFrame], bands: DataFrame, as_of: dt.date) -> DataFrame:
     """All 30 checks as rows."""
     employees = tables["employees"]
-    parts = [schema_check(employees), uniqueness_check(employees), null_check(employees)]
-    for table, checks in ROW_CHECKS.items():
-        parts.append(run_row_checks(tables[table], SECTIONS[table], checks(as_of)))
-        if table != "employees":
-            parts.append(reference_check(tables[table], employees, table))
-    parts.append(band_check(tables["compensation"], bands))
-    parts.append(duplicate_row_check(tables["projects"]))
-    parts.append(exit_order_check(tables["exits"], employees))
+    parts = [
+        schema_check(employees),
+        uniqueness_check(employees),
+        null_check(employees),
+        run_row_checks(employees, SECTIONS["employees"], employee_checks(as_of)),
+        band_check(tables["compensation"], bands),
+        duplicate_row_check(tables["projects"]),
+        exit_order_check(tables["exits"], employees),
+    ]
+    parts += [table_checks(tables[t], employees, t, as_of) for t in ROW_CHECKS if t != "employees"]
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollcall.operators import managers, survival
+from rollcall.plans.bound import Bound
 from rollcall.plans.oracle import (
     AS_OF,
     LATEST,
@@ -17,6 +18,7 @@ from rollcall.plans.oracle import (
     tenure,
     where,
 )
+from rollcall.sources.scratch import written
 
 EXITED = "status = 'Exited'"
 TEAM = "FROM employees WHERE manager_id IS NOT NULL GROUP BY manager_id"
@@ -255,9 +257,7 @@ QUERIES = {
         + f" FROM {curve_sql('college_tier')} q GROUP BY t",
     ),
     "t13_executive_summary": (
-        lambda b: survival.executive_summary(
-            survival.summary(survival.overall(b.survival)), survival.summary(survival.by_college_tier(b.survival))
-        ),
+        lambda b: _executive(b),
         _executive_sql(),
     ),
     "t14_tier_order": (
@@ -267,5 +267,11 @@ QUERIES = {
 }
 
 
+def _executive(b: Bound):
+    spells = written(b.survival.select("college_tier", "tenure_months", "event"), "spells")
+    tiers = survival.summary(survival.by_college_tier(spells))
+    return survival.executive_summary(survival.summary(survival.overall(spells)), tiers)
+
+
 def _rounded_all(df):
     return df.withColumns({c: F.round(F.col(f"`{c}`"), 9) for c in df.columns if c != "t"})

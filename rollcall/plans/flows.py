@@ -41,7 +41,8 @@ def run_retention_analysis(
     employees: DataFrame, exits: DataFrame, as_of: dt.date, folder: str | None = None
 ) -> dict[str, DataFrame]:
     """Curves, summaries and tests; written below ``folder`` if given."""
-    base = survival.survival_input(employees, exits, as_of)
+    # Read by every analysis below.
+    base = written(survival.survival_input(employees, exits, as_of), "spells")
     curves = {
         "overall": survival.overall(base),
         "college_tier": survival.by_college_tier(base),
@@ -97,9 +98,8 @@ def run_training(matrix: DataFrame, cutoff: int, **settings) -> Trained:
 
 def run_evaluation(trained: Trained, threshold: float | None = None) -> DataFrame:
     """Metrics with the number of rounds and the split, one row."""
-    keep = ("employee_id", "attrition", "prob")
-    fit = train.score(trained.model, trained.train).select(*keep)
-    held = train.score(trained.model, trained.test).select(*keep)
+    fit = written(train.score(trained.model, trained.train).select("attrition", "prob"), "train-scores")
+    held = written(train.score(trained.model, trained.test).select("attrition", "prob"), "test-scores")
     return metrics.evaluate(fit, held, threshold).withColumn("n_iter", F.lit(train.rounds_used(trained.model)))
 
 

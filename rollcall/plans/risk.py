@@ -10,6 +10,7 @@ from rollcall.plans.bound import Bound
 from rollcall.plans.oracle import AS_OF, LATEST, big, dbl, half_even, half_up, mean_int, tenure, where
 from rollcall.riskmodel import explain, features, metrics, scoring, train
 from rollcall.schema import BONUSES, HIKES, PROMOTION_RULES
+from rollcall.sources.scratch import written
 from rollcall.sources.star import LEVEL_EDGES, MANAGER_DEPARTMENTS, TEST_DIFFICULTY, TRAIN_CUTOFF
 
 EXITED = "status = 'Exited'"
@@ -173,11 +174,12 @@ CROSS JOIN LATERAL (SELECT count(*) AS m, count(*) FILTER (WHERE prob >= decisio
 
 
 def _split(b: Bound):
-    return features.time_split(b.rule_scores, TRAIN_CUTOFF)
+    scores = b.rule_scores.select("attrition", "joining_year", "prob")
+    return features.time_split(written(scores, "scores"), TRAIN_CUTOFF)
 
 
 def _test(b: Bound):
-    return _split(b)[1]
+    return features.time_split(b.rule_scores, TRAIN_CUTOFF)[1]
 
 
 def _risk(b: Bound):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.buckets import equal_bins
 from rollcall.operators.ranking import running_totals
-from rollcall.sources.scratch import written
 
 # The grid keeps its floating steps: scores are compared with these very values.
 GRID = [float(x) for x in np.arange(0.05, 0.95, 0.01)]
@@ -111,10 +110,8 @@ def _confusion(df: DataFrame, threshold: Column | float) -> DataFrame:
 def evaluate(train_scored: DataFrame, test_scored: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row of metrics. Without ``threshold``, the F1-best one on the test rows is used.
 
-    Scores are read several times, so both sides are written once, two columns wide.
+    The test rows are read four times: pass tables that are written, not a scoring still to run.
     """
-    train_scored = written(train_scored.select("attrition", "prob"), "train-scores")
-    test_scored = written(test_scored.select("attrition", "prob"), "test-scores")
     if threshold is None:
         cut = best_threshold(test_scored).select("threshold").scalar()
     else:

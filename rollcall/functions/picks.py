@@ -18,13 +18,23 @@ def newest(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(window)).filter("_n = 1").drop("_n")
 
 
-def order_key(major: Column, serial: Column) -> Column:
+SERIAL_LIMIT = 10**14
+
+
+def order_key(major: Column, serial: Column, wide: bool = False) -> Column:
     """(major, serial) as one number, which keeps min_by/max_by a hash aggregate.
 
-    A struct would do the same but forces a sort aggregate.
+    A struct would do the same but forces a sort aggregate. The number is a
+    BIGINT, good for serials below 10^14 and a day or year as ``major``; a larger
+    serial raises an error rather than spoil the order. ``wide`` takes any
+    BIGINT serial, at the price of DECIMAL arithmetic.
     """
-    shifted = major.cast("decimal(18,0)") * F.lit(Decimal(10**19))
-    return (shifted + serial.cast("decimal(19,0)")).cast("decimal(38,0)")
+    if wide:
+        shifted = major.cast("decimal(18,0)") * F.lit(Decimal(10**19))
+        return (shifted + serial.cast("decimal(19,0)")).cast("decimal(38,0)")
+    fits = serial.isNull() | ((serial >= 0) & (serial < SERIAL_LIMIT))
+    key = major.cast("bigint") * SERIAL_LIMIT + serial.cast("bigint")
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("serial key above 10^14: use wide=True")).cast("bigint"))
 
 
 def last_value(value: str | Column, order: Column) -> Column:

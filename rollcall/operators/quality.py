@@ -69,26 +69,35 @@ def _outside(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(False))
 
 
-def _result(section: str, name: str, violations: Column, good: str, bad: str) -> Column:
-    detail = F.when(violations == 0, F.lit(good)).otherwise(F.concat_ws(" ", violations.cast("string"), F.lit(bad)))
-    return F.struct(
-        F.lit(section).alias("section"),
-        F.lit(name).alias("check"),
-        (violations == 0).alias("passed"),
-        violations.alias("violations"),
-        detail.alias("detail"),
+def _text(value: str) -> str:
+    escaped = value.replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _row(section: str, name: str, count: str, good: str, bad: str) -> str:
+    """A result as an SQL struct; ``good`` and ``bad`` are SQL expressions."""
+    return (
+        f"named_struct('section', {_text(section)}, 'check', {_text(name)}, 'passed', {count} = 0, "
+        f"'violations', {count}, 'detail', CASE WHEN {count} = 0 THEN {good} ELSE {bad} END)"
     )
 
 
+def _result(section: str, name: str, count: str, good: str, bad: str) -> str:
+    return _row(section, name, count, _text(good), f"concat_ws(' ', {count}, {_text(bad)})")
+
+
+def _inline(counted: DataFrame, rows: Sequence[str]) -> DataFrame:
+    return counted.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def run_row_checks(df: DataFrame, section: str, checks: Sequence[RowCheck]) -> DataFrame:
     """All ``checks`` in one aggregate over ``df``, one row per check."""
     counted = df.agg(*[F.count_if(c.violated).alias(c.id) for c in checks])
-    rows = [_result(section, c.name, F.col(c.id), c.good, c.bad) for c in checks]
-    return counted.select(F.inline(F.array(*rows)))
+    return _inline(counted, [_result(section, c.name, c.id, c.good, c.bad) for c in checks])
 
 
 def _single(counted: DataFrame, section: str, name: str, good: str, bad: str) -> DataFrame:
-    return counted.select(F.inline(F.array(_result(section, name, F.col("n"), good, bad))))
+    return _inline(counted, [_result(section, name, "n", good, bad)])
 
 
 # --- checks that need more than one row at a time ----------------------------
@@ -96,15 +105,10 @@ def _single(counted: DataFrame, section: str, name: str, good: str, bad: str) ->
 
 def schema_check(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
-    row = F.struct(
-        F.lit(SECTIONS["employees"]).alias("section"),
-        F.lit("Employee Schema").alias("check"),
-        F.lit(not missing).alias("passed"),
-        F.lit(len(missing)).cast("bigint").alias("violations"),
-        F.lit(f"Missing columns: {missing}" if missing else f"{len(required)} required columns present").alias("detail"),
-    )
-    # An aggregate without columns reads no data and gives exactly one row.
-    return df.limit(0).agg(F.count("*").alias("n")).select(F.inline(F.array(row)))
+    # An aggregate over no rows reads no data and gives exactly one row.
+    counted = df.limit(0).agg((F.count("*") + len(missing)).alias("n"))
+    good, bad = f"{len(required)} required columns present", f"Missing columns: {missing}"
+    return _inline(counted, [_row(SECTIONS["employees"], "Employee Schema", "n", _text(good), _text(bad))])
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -116,16 +120,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def uniqueness_check(employees: DataFrame, key: str = "employee_id") -> DataFrame:
-    detail = F.when(
-        F.col("n") == 0, F.concat(F.col("rows").cast("string"), F.lit(" unique IDs confirmed"))
-    ).otherwise(F.concat(F.lit("Duplicate IDs found: "), F.col("n").cast("string")))
-    return duplicate_keys(employees, key).select(
-        F.lit(SECTIONS["employees"]).alias("section"),
-        F.lit("Employee ID Uniqueness").alias("check"),
-        (F.col("n") == 0).alias("passed"),
-        F.col("n").alias("violations"),
-        detail.alias("detail"),
-    )
+    good, bad = "concat(rows, ' unique IDs confirmed')", "concat('Duplicate IDs found: ', n)"
+    row = _row(SECTIONS["employees"], "Employee ID Uniqueness", "n", good, bad)
+    return _inline(duplicate_keys(employees, key), [row])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -139,17 +136,10 @@ def null_check(employees: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS)
     """One row: NULLs in the required columns; the detail lists the columns that have any."""
     have = [c for c in columns if c in employees.columns]
     counted = employees.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in have])
-    total = sum((F.col(c) for c in have[1:]), F.col(have[0]))
-    listed = F.concat_ws(
-        ", ", *[F.when(F.col(c) > 0, F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in have]
-    )
-    return counted.select(
-        F.lit(SECTIONS["employees"]).alias("section"),
-        F.lit("No Null Values").alias("check"),
-        (total == 0).alias("passed"),
-        total.alias("violations"),
-        F.when(total == 0, F.lit("No null values in critical columns")).otherwise(listed).alias("detail"),
-    )
+    listed = ", ".join(f"CASE WHEN `{c}` > 0 THEN concat('{c}: ', `{c}`) END" for c in have)
+    total = "(" + " + ".join(f"`{c}`" for c in have) + ")"
+    good, bad = _text("No null values in critical columns"), f"concat_ws(', ', {listed})"
+    return _inline(counted, [_row(SECTIONS["employees"], "No Null Values", total, good, bad)])
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -162,16 +152,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def duplicate_row_check(projects: DataFrame) -> DataFrame:
     # A serial key would make every row distinct.
     rows = projects.drop("assignment_id")
-    detail = F.when(
-        F.col("n") == 0, F.concat(F.col("rows").cast("string"), F.lit(" rows – no duplicates"))
-    ).otherwise(F.concat(F.col("n").cast("string"), F.lit(" fully duplicate rows found")))
-    return duplicate_rows(rows).select(
-        F.lit(SECTIONS["projects"]).alias("section"),
-        F.lit("No Duplicate Assignment Rows").alias("check"),
-        (F.col("n") == 0).alias("passed"),
-        F.col("n").alias("violations"),
-        detail.alias("detail"),
-    )
+    good, bad = "concat(rows, ' rows – no duplicates')", "concat(n, ' fully duplicate rows found')"
+    row = _row(SECTIONS["projects"], "No Duplicate Assignment Rows", "n", good, bad)
+    return _inline(duplicate_rows(rows), [row])
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "employee_id") -> DataFrame:
@@ -215,15 +198,8 @@ def band_check(compensation: DataFrame, bands: DataFrame, n_bands: int = len(SAL
     totals = band_violations(compensation, bands).agg(
         F.coalesce(F.sum("violations"), F.lit(0)).alias("n"), F.sort_array(F.collect_list(line)).alias("lines")
     )
-    return totals.select(
-        F.lit(SECTIONS["compensation"]).alias("section"),
-        F.lit("Salary Band Compliance").alias("check"),
-        (F.col("n") == 0).alias("passed"),
-        F.col("n").alias("violations"),
-        F.when(F.col("n") == 0, F.lit(f"All {n_bands} bands compliant"))
-        .otherwise(F.concat_ws("; ", "lines"))
-        .alias("detail"),
-    )
+    good, bad = _text(f"All {n_bands} bands compliant"), "concat_ws('; ', lines)"
+    return _inline(totals, [_row(SECTIONS["compensation"], "Salary Band Compliance", "n", good, bad)])
 
 
 def exit_order_check(exits: DataFrame, employees: DataFrame) -> DataFrame:
@@ -432,9 +408,8 @@ def table_checks(df: DataFrame, employees: DataFrame, table: str, as_of: dt.date
         *[F.coalesce(F.sum(c.id), F.lit(0)).alias(c.id) for c in checks],
         F.count_if(F.col("_known").isNull()).alias("fk"),
     )
-    rows = [_result(section, c.name, F.col(c.id), c.good, c.bad) for c in checks]
-    rows.append(_result(section, REFERENCE, F.col("fk"), *_reference_texts(table)))
-    return totals.select(F.inline(F.array(*rows)))
+    rows = [_result(section, c.name, c.id, c.good, c.bad) for c in checks]
+    return _inline(totals, [*rows, _result(section, REFERENCE, "fk", *_reference_texts(table))])
 
 
 def validation_report(tables: Mapping[str, DataFrame], bands: DataFrame, as_of: dt.date) -> DataFrame:

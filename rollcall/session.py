@@ -20,6 +20,7 @@ def build_session(
     shuffle_partitions: int = 8,
     memory: str = "8g",
     app_name: str = "rollcall",
+    settings: dict[str, str] | None = None,
 ) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
@@ -28,7 +29,7 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
     )
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

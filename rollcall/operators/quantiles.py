@@ -34,14 +34,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], quantiles: Mapping[st
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max in one row."""
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    basic = df.agg(
+    places = exact_quantiles(df, [column], quartiles).select(F.struct(*quartiles).alias("q")).scalar()
+    return df.agg(
+        F.lit(column).alias("column_name"),
         F.count(column).alias("count"),
         (F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))).alias("mean"),
         F.stddev_samp(column).alias("std"),
         F.min(column).cast("double").alias("min"),
         F.max(column).cast("double").alias("max"),
-        F.lit(column).alias("column_name"),
-    )
-    return basic.join(exact_quantiles(df, [column], quartiles), "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "q1", "median", "q3", "max"
+    ).select(
+        "column_name",
+        "count",
+        "mean",
+        "std",
+        "min",
+        *[places.getField(name).alias(name) for name in quartiles],
+        "max",
     )

@@ -170,7 +170,7 @@ QUERIES = {
     "s10_report_sink": (
         _report_file,
         " UNION ALL ".join(
-            f"SELECT section, \"check\", passed, detail, '2001-08-02 00:00:00' AS generated_at FROM ({CHECKS[n]}) c"
+            f"SELECT section, \"check\", passed, detail, '2001-08-02T00:00:00' AS generated_at FROM ({CHECKS[n]}) c"
             for n in ("e4_age_range", "e5_gender_values", "e6_joining_date", "e7_status_values")
         ),
     ),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.buckets import equal_bins
+from rollcall.functions.measures import percent
 from rollcall.operators.ranking import running_totals
 
 # The grid keeps its floating steps: scores are compared with these very values.
@@ -123,8 +124,7 @@ def evaluate(train_scored: DataFrame, test_scored: DataFrame, threshold: float |
     fit = _confusion(train_scored, cut).select(
         part(F.col("tp") + F.col("tn"), F.col("rows")).alias("train_accuracy"),
         F.col("rows").alias("train_size"),
-        (F.round(100 * F.col("positives") / F.nullif(F.col("rows"), F.lit(0)), 2)).alias("train_attrition_rate"),
-        F.lit(1).alias("_k"),
+        percent(F.col("positives"), F.col("rows")).alias("train_attrition_rate"),
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     held = _confusion(test_scored, cut).select(
@@ -138,14 +138,18 @@ def evaluate(train_scored: DataFrame, test_scored: DataFrame, threshold: float |
         "fn",
         "tp",
         F.col("rows").alias("test_size"),
-        (F.round(100 * F.col("positives") / F.nullif(F.col("rows"), F.lit(0)), 2)).alias("test_attrition_rate"),
-        F.lit(1).alias("_k"),
+        percent(F.col("positives"), F.col("rows")).alias("test_attrition_rate"),
     )
     quality = ranking_quality(test_scored).select(
-        F.round("roc_auc", 4).alias("roc_auc"), F.round("avg_precision", 4).alias("avg_precision"), F.lit(1).alias("_k")
+        F.round("roc_auc", 4).alias("roc_auc"), F.round("avg_precision", 4).alias("avg_precision")
     )
-    # Three one-row tables on one row.
-    return fit.join(held, "_k").join(quality, "_k").drop("_k")
+
+    def beside(part: DataFrame) -> list[Column]:
+        """Columns of a one-row table, as one scalar subquery."""
+        row = part.select(F.struct(*part.columns).alias("r")).scalar()
+        return [row.getField(c).alias(c) for c in part.columns]
+
+    return held.select("*", *beside(fit), *beside(quality))
 
 
 def roc_points(scored: DataFrame) -> DataFrame:

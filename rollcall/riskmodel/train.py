@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.sources.scratch import scratch_folder
+
 ROUNDS, RATE, DEPTH, LEAF, SEED = 500, 0.03, 4, 50, 42
 HOLDOUT = 15
 
@@ -32,6 +34,10 @@ def train(
     ``holdout`` percent of the rows, chosen by a hash of the key, decide when
     to stop; 0 turns that off. MLlib has no L2 term on leaves.
     """
+    context = matrix.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        # Boosting cuts its lineage there every few rounds.
+        context.setCheckpointDir(scratch_folder(matrix.sparkSession))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     gbt = GBTClassifier(
         featuresCol="features",

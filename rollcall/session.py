@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites for error messages cost a stack walk per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

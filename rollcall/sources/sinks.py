@@ -49,8 +49,8 @@ def save_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **option
 
 def report_rows(report: DataFrame, generated_at: dt.datetime | None = None) -> DataFrame:
     """Validation results as report lines."""
-    at = F.lit(generated_at) if generated_at else F.current_timestamp()
-    return report.select("section", "check", "passed", "detail", at.cast("string").alias("generated_at"))
+    at = generated_at or dt.datetime.now()
+    return report.select("section", "check", "passed", "detail", F.lit(at.isoformat()).alias("generated_at"))
 
 
 def save_report(report: DataFrame, path: str, generated_at: dt.datetime | None = None) -> str:

@@ -86,7 +86,7 @@ def test_sinks_round_trip(spark, tmp_path):
         assert [str(v) for v in back.first()] == ["1", "x"]
     report = spark.createDataFrame([("s", "c", True, 0, "fine")], "section string, check string, passed boolean, violations bigint, detail string")
     back = spark.read.json(sinks.save_report(report, str(tmp_path / "r"), dt.datetime(2020, 1, 1)))
-    assert back.first()["generated_at"] == "2020-01-01 00:00:00" and "violations" not in back.columns
+    assert back.first()["generated_at"] == "2020-01-01T00:00:00" and "violations" not in back.columns
 
 
 def test_binding_facts(spark):

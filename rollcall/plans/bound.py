@@ -37,7 +37,7 @@ class Bound:
     def survival(self) -> DataFrame:
         return survival.survival_input(self.t.employees, self.t.exits, self.as_of)
 
-    @cached_property
+    @property
     def card(self) -> DataFrame:
         return managers.scorecard(self.t.employees, self.t.performance, self.t.compensation, self.t.learning)
 
@@ -73,11 +73,15 @@ class Bound:
     def matrix(self) -> DataFrame:
         return written(flows.feature_matrix(self.t.tables(), self.as_of), "matrix")
 
-    @cached_property
-    def trained(self) -> flows.Trained:
+    def train(self) -> flows.Trained:
         # Larger steps than the default, since there are fewer of them.
         return flows.run_training(self.matrix, TRAIN_CUTOFF, rounds=ROUNDS, rate=0.1)
 
+    @cached_property
+    def trained(self) -> flows.Trained:
+        """The model the scoring and explanation queries share."""
+        return self.train()
+
     @cached_property
     def explained(self) -> dict[str, DataFrame]:
         return flows.run_explanation(self.trained)

@@ -96,11 +96,20 @@ def run_training(matrix: DataFrame, cutoff: int, **settings) -> Trained:
     return Trained(train.train(fit, columns, **settings), columns, fit, held)
 
 
-def run_evaluation(trained: Trained, threshold: float | None = None) -> DataFrame:
-    """Metrics with the number of rounds and the split, one row."""
-    fit = written(train.score(trained.model, trained.train).select("attrition", "prob"), "train-scores")
-    held = written(train.score(trained.model, trained.test).select("attrition", "prob"), "test-scores")
-    return metrics.evaluate(fit, held, threshold).withColumn("n_iter", F.lit(train.rounds_used(trained.model)))
+def run_evaluation(trained: Trained, threshold: float | None = None, tune_on: str = "validation") -> DataFrame:
+    """Metrics with the number of rounds, one row.
+
+    Without ``threshold``, it is tuned on the slice training left out, or on the
+    test rows with ``tune_on="test"``.
+    """
+    if tune_on not in ("validation", "test"):
+        raise ValueError(f"tune_on is validation or test, not {tune_on!r}")
+    keep = ("employee_id", "attrition", "prob")
+    fit = written(train.score(trained.model, trained.train).select(*keep), "train-scores")
+    held = written(train.score(trained.model, trained.test).select(*keep), "test-scores")
+    tuning = fit.filter(train.held_out()) if tune_on == "validation" else None
+    result = metrics.evaluate(fit, held, threshold, tuning)
+    return result.withColumn("n_iter", F.lit(train.rounds_used(trained.model)))
 
 
 def run_prediction(

@@ -344,7 +344,7 @@ QUERIES = {
         f"{big('attrition')} AS attrition, count(*) AS row_count FROM scores WHERE {_TEST} GROUP BY ALL",
     ),
     # --- on the boosted trees: no SQL counterpart ---
-    "h2_boosted_trees": (lambda b: flows.run_evaluation(b.trained), None),
+    "h2_boosted_trees": (lambda b: flows.run_evaluation(b.train()), None),
     "h5_scored_employees": (
         lambda b: _model_risk(b).select(
             "employee_id", "attrition", "risk_score", "attrition_prob", "predicted_attrition", "risk_tier"

@@ -108,13 +108,21 @@ def _confusion(df: DataFrame, threshold: Column | float) -> DataFrame:
     )
 
 
-def evaluate(train_scored: DataFrame, test_scored: DataFrame, threshold: float | None = None) -> DataFrame:
-    """One row of metrics. Without ``threshold``, the F1-best one on the test rows is used.
-
-    The test rows are read four times: pass tables that are written, not a scoring still to run.
+def evaluate(
+    train_scored: DataFrame,
+    test_scored: DataFrame,
+    threshold: float | None = None,
+    tune_on: DataFrame | None = None,
+) -> DataFrame:
+    """One row of metrics at ``threshold``.
+
+    Without one, the F1-best threshold on the rows ``tune_on`` is used; on the
+    test rows themselves if those are not given either, which flatters F1.
+    The test rows are read up to four times: pass tables that are written, not
+    a scoring still to run.
     """
     if threshold is None:
-        cut = best_threshold(test_scored).select("threshold").scalar()
+        cut = best_threshold(test_scored if tune_on is None else tune_on).select("threshold").scalar()
     else:
         cut = F.lit(float(threshold))
 

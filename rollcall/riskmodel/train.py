@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.sources.scratch import scratch_folder
@@ -17,6 +17,11 @@ ROUNDS, RATE, DEPTH, LEAF, SEED = 500, 0.03, 4, 50, 42
 HOLDOUT = 15
 
 
+def held_out(percent: int = HOLDOUT) -> Column:
+    """Whether a row belongs to the slice training leaves out, by a hash of its key."""
+    return F.pmod(F.xxhash64("employee_id"), F.lit(100)) < percent
+
+
 def train(
     matrix: DataFrame,
     features: Sequence[str],
@@ -55,8 +60,7 @@ def train(
         gbt = gbt.setWeightCol(weight)
     data = matrix
     if holdout:
-        held = F.pmod(F.xxhash64("employee_id"), F.lit(100)) < holdout
-        data = data.withColumn("_held", held)
+        data = data.withColumn("_held", held_out(holdout))
         gbt = gbt.setValidationIndicatorCol("_held")
     columns = [*features, "attrition", *(["_held"] if holdout else []), *([weight] if weight else [])]
     return Pipeline(stages=[assembler, gbt]).fit(data.select(*columns))

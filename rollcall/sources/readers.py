@@ -65,6 +65,22 @@ def read_table(spark: SparkSession, name: str, directory: str, format: str = "cs
     return conform(reader.format(format).load(path), name)
 
 
+def coerced(df: DataFrame, name: str) -> DataFrame:
+    """Values of an untyped table that do not parse, per column: column_name, coerced.
+
+    They become NULL on reading and pass any "not in the future" check, so it is
+    worth knowing how many there are.
+    """
+    texts = [f for f in TABLES[name].fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
+    counted = df.agg(
+        *[
+            F.count_if((F.trim(F.col(f"`{f.name}`")) != "") & _typed(f.name, f.dataType).isNull()).alias(f.name)
+            for f in texts
+        ]
+    )
+    return counted.unpivot([], [f.name for f in texts], "column_name", "coerced")
+
+
 def missing_datasets(
     spark: SparkSession, directory: str, names: Iterable[str] = REQUIRED, format: str = "csv"
 ) -> list[str]:

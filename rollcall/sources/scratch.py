@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 _own_folder: dict[str, str] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -38,4 +39,15 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/rollcall/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this session has written; results read from them end with them."""
+    paths = _tables.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

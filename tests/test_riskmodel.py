@@ -280,6 +280,8 @@ def test_training_end_to_end(spark):
     trained = flows.run_training(b.matrix, 1995, rounds=3, rate=0.3, leaf=2)
     row = flows.run_evaluation(trained).first().asDict()
     assert row["train_size"] + row["test_size"] == b.matrix.count() and row["n_iter"] <= 3
+    tuned = flows.run_evaluation(trained, tune_on="test").first()
+    assert tuned["f1_score"] >= row["f1_score"]
     assert not set(trained.columns) & set(features.NOT_FEATURES)
     results = flows.run_prediction(trained, b.matrix, b.employees)
     assert results["predictions"].filter("prob BETWEEN 0 AND 1").count() == b.matrix.count()

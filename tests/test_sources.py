@@ -78,6 +78,22 @@ def test_a_cluster_must_name_its_shared_folder():
         scratch.scratch_folder(_Cluster)
 
 
+def test_release_deletes_what_was_written(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_tables", {})
+    scratch.written(spark.range(3), "short")
+    folder = Path(scratch.scratch_folder(spark)) / "rollcall"
+    assert len(list(folder.glob("short-*"))) == 1
+    assert scratch.release(spark) == 1
+    assert not list(folder.glob("short-*")) and scratch.release(spark) == 0
+
+
+def test_coerced_values_are_counted(spark):
+    rows = [("1", "2020-01-01", "x", "True"), ("a", "soon", "y", ""), (None, "2020-02-30", None, "perhaps")]
+    df = spark.createDataFrame(rows, "employee_id string, exit_date string, exit_reason string, voluntary string")
+    got = {r["column_name"]: r["coerced"] for r in readers.coerced(df, "exits").collect()}
+    assert got == {"employee_id": 1, "exit_date": 2, "voluntary": 1}
+
+
 def test_sinks_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     for kind in ("csv", "parquet"):

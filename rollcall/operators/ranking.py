@@ -176,7 +176,7 @@ def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str, na
     prior = F.when(first, F.col("_end.v")).otherwise(F.col("_value"))
     return (
         lagged.join(handed, RANGE)
-        .withColumn(name, F.when(prior_key == F.col(key), prior))
+        .withColumn(name, F.when(prior_key.eqNullSafe(F.col(key)), prior))
         .drop(RANGE, "_row", "_key", "_value", "_end")
     )
 

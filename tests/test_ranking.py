@@ -77,13 +77,14 @@ def test_average_ranks_are_those_of_pandas(skewed):
     assert (got.sort_index() == want.sort_index()).all()
 
 
-def test_previous_value_plain_and_ranged(skewed, spark):
-    want = skewed.withColumn("p", F.lag("value").over(Window.partitionBy("key").orderBy("value", "id")))
-    plain = ranking.previous_value(skewed, "key", ["value", "id"], "value", "p")
+@pytest.mark.parametrize("key", ["key", "grp"])
+def test_previous_value_plain_and_ranged(skewed, spark, key):
+    want = skewed.withColumn("p", F.lag("value").over(Window.partitionBy(key).orderBy("value", "id")))
+    plain = ranking.previous_value(skewed, key, ["value", "id"], "value", "p")
     assert rows(plain, "id", "p") == rows(want, "id", "p")
     spark.conf.set("rollcall.task.rows", "3")
     try:
-        ranged = ranking.previous_value(skewed, "key", ["value", "id"], "value", "p")
+        ranged = ranking.previous_value(skewed, key, ["value", "id"], "value", "p")
         assert rows(ranged, "id", "p") == rows(want, "id", "p")
     finally:
         spark.conf.unset("rollcall.task.rows")

@@ -149,16 +149,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents whose rows stay, with all their columns, one row per doc_id and text.
-
-    Equal rows of one doc_id are one document and leave one row.
-    """
-    sha = F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACES, " "), 256)
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    kept = Scratch(docs.sparkSession, "kept").save(kept.distinct(), "kept")
-    on = F.col("_id").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("_sha") == F.col("_mine"))
-    out = docs.withColumn("_mine", sha)
-    return out.join(kept, on, "left_semi").drop("_mine")
+    """The documents that stay, with all their columns; rows that repeat a doc_id and text leave one."""
+    kept = exact_groups(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
+    kept = Scratch(docs.sparkSession, "kept").save(kept, "kept")
+    sha = F.sha2(F.regexp_replace(F.coalesce(F.col("d.text"), F.lit("")), SPACES, " "), 256)
+    on = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id").cast("bigint")) & (F.col("k.text_sha256") == sha)
+    out = docs.alias("d").join(kept.where("n = 1").alias("k"), on, "left_semi")
+    again = kept.where("n > 1")
+    if not again.limit(1).count():
+        return out
+    row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns])
+    more = docs.alias("d").join(again.alias("k"), on).groupBy("k.doc_id", "k.text_sha256").agg(F.first(row).alias("row"))
+    return out.union(more.select("row.*"))
 
 
 def op8_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:

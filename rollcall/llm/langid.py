@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -222,13 +223,22 @@ def identify(docs: DataFrame) -> DataFrame:
     )
 
 
+def predict_rows(batches: Iterator[pa.RecordBatch], names: list[str], vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The same for whole rows, boxed in one column."""
+    boxed = (
+        pa.RecordBatch.from_arrays([b.column(0), pa.compute.struct_field(b.column(0), "text")], names=["row", "text"])
+        for b in batches
+    )
+    return predict(boxed, names, vectors)
+
+
 def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """Documents with a recognised language: all columns, without ``und`` and scores below ``min_score``."""
-    columns = [F.col(c) for c in docs.columns]
-    folds = docs.select(F.struct(*columns).alias("row"), "text", "lang", (crc_part("doc_id", 4) == 2).alias("held_out"))
+    folds = docs.select("text", "lang", (crc_part("doc_id", 4) == 2).alias("held_out"))
     names, vectors = prototypes(folds.where("NOT held_out"))
-    schema = f"row {folds.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    out = folds.select("row", "text").mapInArrow(lambda it: predict(it, names, vectors), schema)
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = f"row {boxed.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    out = boxed.mapInArrow(lambda it: predict_rows(it, names, vectors), schema)
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
 
 

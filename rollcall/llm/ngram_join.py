@@ -413,8 +413,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = classes(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"))
     gone = Scratch(docs.sparkSession, "gone").save(found.distinct(), "gone")
-    gone = F.broadcast(gone) if small(gone) else gone
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_id"), "left_anti")
+    gone = (F.broadcast(gone) if small(gone) else gone).alias("g")
+    return docs.alias("d").join(gone, F.col("d.doc_id").cast("bigint") == F.col("g._id"), "left_anti")
 
 
 def op1_ngram_join(spark: SparkSession, directory: str) -> DataFrame:

@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from rollcall.llm import exact_dedup, langid
+from rollcall.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    warc,
+)
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
+    "op2_warc": warc.op2_warc,
+    "op3_pii": pii.op3_pii,
+    "op4_packing": packing.op4_packing,
+    "op5_secrets": secret_scan.op5_secrets,
+    "op6_quality": quality.op6_quality,
+    "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": langid.op9_language_id,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 SQL = {"op8_exact_dedup": exact_dedup.SQL}

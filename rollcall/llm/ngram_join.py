@@ -21,10 +21,10 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rollcall.llm.support import Scratch, by_value, components, joined_small, small, table
 from rollcall.llm.wordhash import Hasher, lowered, mix, pieces, random_words, text_bytes
@@ -40,6 +40,8 @@ SKETCH_BITS = 1024
 SKETCH_LONGS = SKETCH_BITS // 64
 # A shingle is common from this share of documents on. That only orders prefixes; results don't depend on it.
 COMMON_SHARE, COMMON_LEAST = 0.001, 16
+# Entries of the inverted lists packed into one bucket.
+BUCKET_ENTRIES = 500_000
 # Members of a list compared in one task.
 BLOCK = 1024
 SPACE_BYTES = (32, 9, 10, 11, 12, 13)
@@ -149,13 +151,18 @@ def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
     return np.sort(found["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def ordered(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """In the global order: rare ones by hash, then common ones by hash."""
+def is_common(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     if not len(frequent):
-        return shingles
-    at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-    hot = frequent[at] == shingles
-    return np.concatenate([shingles[~hot], shingles[hot]])
+        return np.zeros(len(shingles), dtype=bool)
+    return frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+
+
+def prefixes(shingles: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rare and the common part of a prefix. The global order has rare shingles by hash, then common ones by hash."""
+    size = prefix_length(len(shingles))
+    hot = is_common(shingles, frequent)
+    rare = shingles[~hot][:size]
+    return rare, shingles[hot][: size - len(rare)]
 
 
 def sketch(shingles: np.ndarray) -> list[int]:
@@ -169,51 +176,111 @@ def sketch(shingles: np.ndarray) -> list[int]:
 
 def describe(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint of the set, sketch and prefix of each text; small sets are kept whole."""
-    shingler = Shingler()
+    shingler, none = Shingler(), np.zeros(0, np.int64)
     for batch in batches:
-        size, one, two, parity, prefix, whole = [], [], [], [], [], []
+        size, one, two, parity, rare, hot, whole = [], [], [], [], [], [], []
         for _, s in shingler.of(batch, 1):
             n = len(s)
             size.append(n)
             one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if n else 0)
             two.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1))).view(np.int64)) if n else 0)
             parity.append(sketch(s) if n else [0] * SKETCH_LONGS)
-            prefix.append(ordered(s, frequent)[: prefix_length(n)].view(np.int64) if n else np.zeros(0, np.int64))
+            a, b = prefixes(s, frequent) if n else (none, none)
+            rare.append(a.view(np.int64))
+            hot.append(b.view(np.int64))
             whole.append(s.view(np.int64) if 0 < n < LIGHT else None)
         many = pa.list_(pa.int64())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), many, many, many, many)
+        found = (size, one, two, parity, rare, hot, whole)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(x, k) for x, k in zip(found, kinds, strict=True)]],
+            names=["doc_id", "n", "one", "two", "sketch", "rare", "common", "whole"],
+        )
+
+
+def subset_keys(shingles: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the subsets of a light set, and whether all shingles of a subset are common.
+
+    There are as many as comb(n, c) for each size c: a few thousand for the largest light set.
+    """
+    n, values = len(shingles), mix(shingles + np.uint64(99))
+    keys, common_ = [], []
+    for c in subset_sizes(n):
+        at = np.array(list(combinations(range(n), c)))
+        keys.append(mix(values[at].sum(axis=1, dtype=np.uint64) + np.uint64(c)))
+        common_.append(hot[at].all(axis=1))
+    return np.concatenate(keys), np.concatenate(common_)
+
+
+def entries(batch: pa.RecordBatch, edge: int, frequent: np.ndarray, hot: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and ids of the sets (id, n, rare, common, whole) of a batch.
+
+    Heavy sets, and light ones that a heavy set may link to, enter their prefix;
+    light sets enter their subsets. ``hot`` picks the keys made of common
+    shingles only; lists of the other keys are no longer than a rare shingle is frequent.
+    """
+    keys, ids = [], []
+    column = batch.column(3 if hot else 2)
+    sizes = batch.column(1).to_numpy()
+    rows = batch.column(0).to_numpy()
+    offsets, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+    for k, n in enumerate(sizes.tolist()):
+        if n * WHOLE >= edge * PART:
+            keys.append(flat[offsets[k] : offsets[k + 1]])
+            ids.append(np.full(len(keys[-1]), rows[k]))
+        if n < edge:
+            s = np.array(batch.column(4)[k].as_py(), dtype=np.int64).view(np.uint64)
+            found, all_hot = subset_keys(s, is_common(s, frequent))
+            keys.append(found[all_hot == hot])
+            ids.append(np.full(len(keys[-1]), rows[k]))
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(ids)
+
+
+def hot_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, id) rows of the keys made of common shingles."""
+    for batch in batches:
+        keys, ids = entries(batch, edge, frequent, True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], names=["key", "id"])
+
+
+def packed_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries of the other keys, packed by bucket: (bucket, keys, ids)."""
+    for batch in batches:
+        keys, ids = entries(batch, edge, frequent, False)
+        bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        keys, ids = keys[order], ids[order]
+        at, first = np.unique(bucket[order], return_index=True)
+        ends = np.append(first[1:], len(keys))
+        spans = list(zip(first, ends, strict=True))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                pa.array(size, pa.int64()),
-                pa.array(one, pa.int64()),
-                pa.array(two, pa.int64()),
-                pa.array(parity, many),
-                pa.array(prefix, many),
-                pa.array(whole, many),
+                pa.array(at, pa.int64()),
+                pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+                # Only steps between ids: they pack well.
+                pa.array([np.diff(ids[a:b], prepend=0).astype("<i8").tobytes() for a, b in spans], pa.binary()),
             ],
-            names=["doc_id", "n", "one", "two", "sketch", "prefix", "whole"],
+            names=["bucket", "keys", "ids"],
         )
 
 
-def subset_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of the subsets of light sets: (key, id, n), one row each."""
-    for batch in batches:
-        keys, ids, sizes = [], [], []
-        for i, s in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            values = mix(np.array(s.as_py(), dtype=np.int64).view(np.uint64) + np.uint64(99))
-            n = len(values)
-            for c in subset_sizes(n):
-                # As many combinations as comb(n, c): a few thousand for the largest light set.
-                at = np.array(list(combinations(range(n), c)))
-                made = mix(values[at].sum(axis=1, dtype=np.uint64) + np.uint64(c))
-                keys.append(made.view(np.int64))
-                ids += [i] * len(made)
-                sizes += [n] * len(made)
-        if keys:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["key", "id", "n"],
-            )
+def bucket_lists(parts: pd.DataFrame) -> pd.DataFrame:
+    """Lists of at least two members in one bucket: (key, id, head), the head being the smallest member."""
+    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in parts["keys"]])
+    ids = np.concatenate([np.cumsum(np.frombuffer(i, "<i8")) for i in parts["ids"]])
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    number = np.cumsum(new) - 1
+    last = np.append(first[1:], len(keys)) - 1
+    several = (ids[last] != ids[first])[number]
+    fresh = new | np.concatenate([[True], ids[1:] != ids[:-1]])
+    keep = several & fresh
+    return pd.DataFrame({"key": keys[keep].view(np.int64), "id": ids[keep], "head": ids[first][number[keep]]})
 
 
 def boundary(sets: DataFrame) -> int:
@@ -223,7 +290,7 @@ def boundary(sets: DataFrame) -> int:
     of its prefix that are scanned. At most LIGHT rows reach the driver.
     """
     little = sets.where(F.col("n").between(1, LIGHT - 1))
-    lists = little.select("n", F.explode("prefix").alias("key"))
+    lists = little.select("n", F.explode(F.concat("rare", "common")).alias("key"))
     lengths = lists.groupBy("key", "n").agg(F.count("*").alias("m"))
     lengths = lengths.join(lengths.groupBy("key").agg(F.sum("m").alias("whole")), "key")
     scans = lengths.groupBy("n").agg(F.sum(F.col("m") * F.col("whole")).cast("double").alias("scan"))
@@ -246,22 +313,54 @@ def sizes_close(a: Column, b: Column) -> Column:
     return (F.least(a, b) * WHOLE >= F.greatest(a, b) * PART).cast("boolean")
 
 
-def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, x, y) of sets whose similarity is large enough."""
+def keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shingler = Shingler()
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(WHOLE * both >= PART * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        found = [s.tobytes() for _, s in shingler.of(batch, 4)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.array(found, pa.binary())], names=["head", "part", "member", "id", "set"]
+        )
 
 
-def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
+def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (head, id) of sets whose similarity is large enough, from rows sorted by head, part and member, heads first."""
+    place, heads = None, []
     for batch in batches:
-        found = [s.tobytes() for _, s in shingler.of(batch, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
+        a, b = [], []
+        columns = [c.to_pylist() for c in batch.columns[:4]]
+        for head, part, member, i, data in zip(*columns, batch.column(4), strict=True):
+            x = np.frombuffer(data.as_buffer(), dtype=np.uint64)
+            if not member:
+                if (head, part) != place:
+                    place, heads = (head, part), []
+                heads.append(x.copy())
+            else:
+                for y in heads if (head, part) == place else ():
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if WHOLE * both >= PART * (len(x) + len(y) - both):
+                        a.append(head)
+                        b.append(i)
+                        break
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) that link, by their sets.
+
+    The sets are made from the texts of these documents only, and move once: a
+    member to its head, a head to as many parts as its members need.
+    """
+    heads = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    member = pairs.join(heads, "a").select(
+        F.col("a").alias("head"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), F.col("b").alias("id")
+    )
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    head = heads.select(F.col("a").alias("head"), parts.alias("part"), F.lit(False).alias("member"), F.col("a").alias("id"))
+    wanted = scratch.save(member.union(head), "wanted")
+    rows = joined_small(docs.withColumnRenamed("doc_id", "id"), wanted, "id", "inner").select("head", "part", "member", "id", "text")
+    sets = rows.mapInArrow(keyed_sets, "head bigint, part int, member boolean, id bigint, set binary")
+    sets = sets.repartition("head", "part").sortWithinPartitions("head", "part", "member")
+    return sets.mapInArrow(links, "a bigint, b bigint")
 
 
 def by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -313,13 +412,6 @@ def pair_batch(left: list[int], right: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their sets."""
-    x = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(links, "a bigint, b bigint")
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, set_id.
 
@@ -333,53 +425,56 @@ def classes(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = common_shingles(docs, docs.count())
     shared = spark.sparkContext.broadcast(frequent)
-    described = scratch.save(
-        docs.mapInArrow(
-            lambda it: describe(it, shared.value),
-            "doc_id bigint, n bigint, one bigint, two bigint, sketch array<bigint>, prefix array<bigint>, whole array<bigint>",
-        ),
-        "described",
+    long, many = "bigint", "array<bigint>"
+    described = docs.mapInArrow(
+        lambda it: describe(it, shared.value),
+        f"doc_id {long}, n {long}, one {long}, two {long}, sketch {many}, rare {many}, common {many}, whole {many}",
     )
-    # Equal sets are one from here on.
-    equal = described.where("n > 0 AND doc_id IS NOT NULL").groupBy("one", "two", "n").agg(F.min("doc_id").alias("id"))
-    equal = scratch.save(equal, "equal")
-    sets = described.where("n > 0").join(
-        equal.select(F.col("one").alias("_one"), F.col("two").alias("_two"), F.col("id").alias("doc_id")), "doc_id"
-    )
-    sets = sets.where((F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")))
-    sets = scratch.save(sets.select(F.col("doc_id").alias("id"), "n", "sketch", "prefix", "whole"), "sets")
+    described = scratch.save(described, "described")
+    prints = scratch.save(described.select("doc_id", "n", "one", "two"), "prints")
+    # Equal sets are one from here on: that of the smallest doc_id.
+    filled = described.where("n > 0 AND doc_id IS NOT NULL")
+    equal = prints.where("n > 0 AND doc_id IS NOT NULL").groupBy("one", "two").agg(F.min("doc_id").alias("id"), F.count("*").alias("m"))
+    equal = scratch.save(equal.where("m > 1").select("one", "two", "id"), "equal")
+    spare = joined_small(prints.where("n > 0"), equal, ["one", "two"], "inner").where("doc_id != id").select("doc_id", "one")
+    spare = scratch.save(spare.distinct(), "spare")
+    sets = joined_small(filled, spare, ["doc_id", "one"], "left_anti").withColumnRenamed("doc_id", "id")
     edge = boundary(sets)
 
-    # Heavy sets look for partners down to 4/5 of their size, so light ones near the boundary are inverted too.
-    heavy = sets.where(F.col("n") * WHOLE >= edge * PART).select(F.explode("prefix").alias("key"), "id", "n")
-    light = sets.where(F.col("n") < edge).select("id", "whole").mapInArrow(subset_keys, "key bigint, id bigint, n bigint")
-    entries = heavy.union(light) if edge > 1 else heavy
-    # Members of every list with its smallest one; lists of one member end here.
-    of_list = Window.partitionBy("key")
-    listed = entries.select("*", F.min("id").over(of_list).alias("head"), F.max("id").over(of_list).alias("tail"))
-    listed = scratch.save(listed.where(F.col("head") != F.col("tail")).select("key", "id", "n", "head"), "listed")
-
+    # Lists of at least two members, each member with the smallest one as its head.
+    short = sets.select("id", "n", "rare", "common", "whole")
+    total = short.agg(F.sum(F.size("rare"))).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_ENTRIES))
+    packed = short.mapInArrow(lambda it: packed_entries(it, edge, shared.value, buckets), "bucket bigint, keys binary, ids binary")
+    rare = packed.groupBy("bucket").applyInPandas(bucket_lists, "key bigint, id bigint, head bigint")
+    hot = short.where(F.col("n") < edge).union(short.where((F.col("n") >= edge) & (F.size("common") > 0)))
+    hot = hot.mapInArrow(lambda it: hot_entries(it, edge, shared.value), "key bigint, id bigint").distinct()
+    hot = scratch.save(hot, "hot")
+    heads = hot.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head != tail").select("key", "head")
+    listed = scratch.save(rare.union(hot.join(heads, "key").select("key", "id", "head")), "listed")
     members = scratch.save(listed.select("id").distinct(), "members")
     about = scratch.save(joined_small(sets.select("id", "n", "sketch"), members, "id", "left_semi"), "about")
-    text_of = joined_small(docs.withColumnRenamed("doc_id", "id"), members, "id", "left_semi")
-    whole = scratch.save(text_of.mapInArrow(whole_sets, "id bigint, set binary"), "whole")
+    scratch.drop("described", "hot", "members")
 
     # Contract: every member tries the smallest list head that its sketch allows.
     pairs = listed.where(F.col("id") != F.col("head")).select("id", "head").distinct()
-    heads = about.select(F.col("id").alias("head"), F.col("n").alias("m"), F.col("sketch").alias("other"))
-    near = pairs.join(about, "id").join(heads, "head")
+    others = about.select(F.col("id").alias("head"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    near = pairs.join(about, "id").join(others, "head")
     near = near.where(sizes_close(F.col("n"), F.col("m")) & parity_close(F.col("sketch"), F.col("other"), F.col("n") + F.col("m")))
     near = near.groupBy("id").agg(F.min("head").alias("head"))
     proposed = scratch.save(near.select(F.col("head").alias("a"), F.col("id").alias("b")), "proposed")
-    linked = scratch.save(verified(proposed, whole), "linked")
+    linked = scratch.save(verified(proposed, docs, scratch), "linked")
     joined = scratch.save(components(linked, scratch), "joined")
     part = F.coalesce("component", "id")
-    placed = scratch.save(joined_small(about, joined.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "sketch", part.alias("comp")), "placed")
-
-    # Scan: lists that still touch several components, block against block.
-    where = placed.select("id", "comp")
-    open_lists = joined_small(listed.select("key", "id"), where, "id", "inner").groupBy("key")
-    open_lists = open_lists.agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x != y")
+    placed = joined_small(about, joined.withColumnRenamed("node", "id"), "id", "left").select("id", "n", part.alias("comp"), "sketch")
+    placed = scratch.save(placed, "placed")
+
+    # Scan: lists that still touch several components, block against block; equal lists once.
+    open_lists = joined_small(listed.select("key", "id"), placed.select("id", "comp"), "id", "inner").groupBy("key")
+    open_lists = open_lists.agg(
+        F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")
+    ).where("x != y")
+    open_lists = open_lists.groupBy("who", "m").agg(F.min("key").alias("key"))
     open_lists = scratch.save(open_lists.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "open")
     rows = joined_small(listed.select("key", "id"), open_lists, "key", "inner")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -388,21 +483,21 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = rows.join(placed, "id").select("key", "i", "j", "part", "id", "n", "comp", "sketch")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
     left_over = scratch.save(rows.mapInArrow(cross, "a bigint, b bigint").distinct(), "candidates")
-    more = scratch.save(verified(left_over, whole), "more")
-
-    # A document with several texts joins their sets.
-    texts = described.where("n > 0 AND doc_id IS NOT NULL").join(equal, ["one", "two", "n"]).select("doc_id", "id")
-    texts = scratch.save(texts.distinct(), "texts")
-    edges = linked.union(more).union(texts.where("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    final = scratch.save(components(edges, scratch), "final")
-    scratch.drop("whole", "listed", "candidates", "placed", "about", "sets", "edges")
-    found = described.select("doc_id", "n", "one", "two")
-    found = found.join(equal, ["one", "two", "n"], "left").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    more = scratch.save(verified(left_over, docs, scratch), "more")
+    scratch.drop("listed", "about", "placed", "open", "wanted")
+
+    # Rows that share a doc_id, or a set, are in one component.
+    shares = joined_small(prints.where("n > 0 AND doc_id IS NOT NULL"), equal, ["one", "two"], "inner")
+    shares = shares.where("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    final = scratch.save(components(linked.union(more).union(shares), scratch), "final")
+    found = joined_small(prints, equal, ["one", "two"], "left")
+    found = joined_small(found, final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    scratch.drop("edges", "candidates", "joined", "spare")
     return found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce("id", "doc_id").alias("set_id"),
+        F.when(F.col("n") > 0, F.coalesce("id", "doc_id")).otherwise(F.col("doc_id")).alias("set_id"),
     )
 
 

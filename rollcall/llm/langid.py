@@ -201,10 +201,10 @@ def prototypes(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         .collect()
     )
     names = [r["lang"] for r in sums]
-    vectors = np.array([[c["value"] for c in r["cells"]] for r in sums], dtype=float).reshape(len(names), -1)
-    norms = np.linalg.norm(vectors, axis=1) if names else np.zeros(0)
+    vectors = np.array([[c["value"] for c in r["cells"]] for r in sums], dtype=float).reshape(len(names), WIDTH)
+    norms = np.linalg.norm(vectors, axis=1)
     known = norms > 0
-    return [n for n, k in zip(names, known, strict=True) if k], vectors[known] / norms[known][:, None] if names else vectors
+    return [n for n, k in zip(names, known, strict=True) if k], vectors[known] / norms[known][:, None]
 
 
 def identify(docs: DataFrame) -> DataFrame:

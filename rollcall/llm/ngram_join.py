@@ -121,6 +121,13 @@ class Shingler:
                 yield a + i, np.unique(found[first[i] : first[i + 1]])
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: sets take more memory than their texts."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that are common in a partition: (shingle, documents), by lossy counting.
 
@@ -128,7 +135,7 @@ def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     shingler = Shingler()
     keys, counts, rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [s for _, s in shingler.of(batch, 0)]
         rows += len(sets)
         if sets:
@@ -177,7 +184,7 @@ def sketch(shingles: np.ndarray) -> list[int]:
 def describe(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint of the set, sketch and prefix of each text; small sets are kept whole."""
     shingler, none = Shingler(), np.zeros(0, np.int64)
-    for batch in batches:
+    for batch in sliced(batches):
         size, one, two, parity, rare, hot, whole = [], [], [], [], [], [], []
         for _, s in shingler.of(batch, 1):
             n = len(s)
@@ -315,7 +322,7 @@ def sizes_close(a: Column, b: Column) -> Column:
 
 def keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
-    for batch in batches:
+    for batch in sliced(batches):
         found = [s.tobytes() for _, s in shingler.of(batch, 4)]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:4], pa.array(found, pa.binary())], names=["head", "part", "member", "id", "set"]

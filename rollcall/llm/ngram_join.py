@@ -38,6 +38,8 @@ PART, WHOLE = 4, 5
 LIGHT = 24
 SKETCH_BITS = 1024
 SKETCH_LONGS = SKETCH_BITS // 64
+# Pairs with more shingles than this are told apart by sketches of 2 ** WIDE_BITS bits.
+LONG, WIDE_BITS = 1500, 14
 # A shingle is common from this share of documents on. That only orders prefixes; results don't depend on it.
 COMMON_SHARE, COMMON_LEAST = 0.001, 16
 # Entries of the inverted lists packed into one bucket.
@@ -320,17 +322,32 @@ def sizes_close(a: Column, b: Column) -> Column:
     return (F.least(a, b) * WHOLE >= F.greatest(a, b) * PART).cast("boolean")
 
 
-def keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """The size of a set and a parity sketch that still tells long sets apart."""
+    odd = np.bincount((shingles >> np.uint64(64 - WIDE_BITS)).astype(np.int64), minlength=1 << WIDE_BITS) & 1
+    return np.uint64(len(shingles)).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def keyed(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.RecordBatch]:
+    """The set, or its wide sketch, of each text."""
     shingler = Shingler()
-    for batch in sliced(batches):
-        found = [s.tobytes() for _, s in shingler.of(batch, 4)]
+    for batch in sliced(batches, 500):
+        found = [wide_sketch(s) if wide else s.tobytes() for _, s in shingler.of(batch, 4)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:4], pa.array(found, pa.binary())], names=["head", "part", "member", "id", "set"]
+            [*batch.columns[:4], pa.array(found, pa.binary())], names=["head", "part", "member", "id", "data"]
         )
 
 
-def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (head, id) of sets whose similarity is large enough, from rows sorted by head, part and member, heads first."""
+def similar(x: np.ndarray, y: np.ndarray, wide: bool) -> bool:
+    """Whether two sets link; of wide sketches, whether they may."""
+    if wide:
+        return int(np.bitwise_count(x[1:] ^ y[1:]).sum()) * (PART + WHOLE) <= int(x[0] + y[0])
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return WHOLE * both >= PART * (len(x) + len(y) - both)
+
+
+def links(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.RecordBatch]:
+    """Similar pairs (head, id), from rows sorted by head, part and member, heads first."""
     place, heads = None, []
     for batch in batches:
         a, b = [], []
@@ -341,33 +358,37 @@ def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if (head, part) != place:
                     place, heads = (head, part), []
                 heads.append(x.copy())
-            else:
-                for y in heads if (head, part) == place else ():
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if WHOLE * both >= PART * (len(x) + len(y) - both):
-                        a.append(head)
-                        b.append(i)
-                        break
+            elif (head, part) == place and any(similar(x, y, wide) for y in heads):
+                a.append(head)
+                b.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) that link, by their sets.
+def matched(pairs: DataFrame, docs: DataFrame, scratch: Scratch, wide: bool) -> DataFrame:
+    """The similar ones of the pairs (a, b).
 
-    The sets are made from the texts of these documents only, and move once: a
+    Sets or sketches are made from the texts of these documents only, and move once: a
     member to its head, a head to as many parts as its members need.
     """
     heads = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    member = pairs.join(heads, "a").select(
-        F.col("a").alias("head"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), F.col("b").alias("id")
-    )
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    member = pairs.join(heads, "a").select(F.col("a").alias("head"), part, F.lit(True).alias("member"), F.col("b").alias("id"))
     parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     head = heads.select(F.col("a").alias("head"), parts.alias("part"), F.lit(False).alias("member"), F.col("a").alias("id"))
     wanted = scratch.save(member.union(head), "wanted")
     rows = joined_small(docs.withColumnRenamed("doc_id", "id"), wanted, "id", "inner").select("head", "part", "member", "id", "text")
-    sets = rows.mapInArrow(keyed_sets, "head bigint, part int, member boolean, id bigint, set binary")
-    sets = sets.repartition("head", "part").sortWithinPartitions("head", "part", "member")
-    return sets.mapInArrow(links, "a bigint, b bigint")
+    made = rows.mapInArrow(lambda it: keyed(it, wide), "head bigint, part int, member boolean, id bigint, data binary")
+    made = made.repartition("head", "part").sortWithinPartitions("head", "part", "member")
+    return scratch.save(made.mapInArrow(lambda it: links(it, wide), "a bigint, b bigint"), "matched")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b, long) that link. The small sketches can't tell long sets apart, so wide ones come before the sets."""
+    left = pairs.where("NOT long").select("a", "b")
+    long = pairs.where("long").select("a", "b")
+    if long.limit(1).count():
+        left = left.union(matched(long, docs, scratch, True))
+    return matched(left, docs, scratch, False)
 
 
 def by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -393,7 +414,7 @@ def by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of one block of a list from different components that the sketches don't rule out."""
-    left, right = [], []
+    left, right, total = [], [], []
     for _, i, j, part, ids, sizes, comps, sketches in by_list(batches):
         one = np.flatnonzero(part == i[0])
         two = np.flatnonzero(part == j[0])
@@ -407,16 +428,18 @@ def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 other = other[bits * (PART + WHOLE) <= sizes[other] + sizes[k]]
                 left += [ids[k]] * len(other)
                 right += ids[other].tolist()
+                total += (sizes[other] + sizes[k]).tolist()
         if len(left) > 20_000:
-            yield pair_batch(left, right)
-            left, right = [], []
+            yield pair_batch(left, right, total)
+            left, right, total = [], [], []
     if left:
-        yield pair_batch(left, right)
+        yield pair_batch(left, right, total)
 
 
-def pair_batch(left: list[int], right: list[int]) -> pa.RecordBatch:
+def pair_batch(left: list[int], right: list[int], total: list[int]) -> pa.RecordBatch:
     a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    columns = [np.minimum(a, b), np.maximum(a, b), np.array(total) > LONG]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "long"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -468,9 +491,9 @@ def classes(docs: DataFrame) -> DataFrame:
     others = about.select(F.col("id").alias("head"), F.col("n").alias("m"), F.col("sketch").alias("other"))
     near = pairs.join(about, "id").join(others, "head")
     near = near.where(sizes_close(F.col("n"), F.col("m")) & parity_close(F.col("sketch"), F.col("other"), F.col("n") + F.col("m")))
-    near = near.groupBy("id").agg(F.min("head").alias("head"))
-    proposed = scratch.save(near.select(F.col("head").alias("a"), F.col("id").alias("b")), "proposed")
-    linked = scratch.save(verified(proposed, docs, scratch), "linked")
+    first = F.min(F.struct("head", (F.col("n") + F.col("m") > LONG).alias("long"))).alias("first")
+    near = near.groupBy("id").agg(first).select(F.col("first.head").alias("a"), F.col("id").alias("b"), "first.long")
+    linked = verified(scratch.save(near, "proposed"), docs, scratch)
     joined = scratch.save(components(linked, scratch), "joined")
     part = F.coalesce("component", "id")
     placed = joined_small(about, joined.withColumnRenamed("node", "id"), "id", "left").select("id", "n", part.alias("comp"), "sketch")
@@ -489,8 +512,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = rows.select("key", "id", "part", F.explode(against).alias("pair")).select("key", "pair.i", "pair.j", "part", "id")
     rows = rows.join(placed, "id").select("key", "i", "j", "part", "id", "n", "comp", "sketch")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    left_over = scratch.save(rows.mapInArrow(cross, "a bigint, b bigint").distinct(), "candidates")
-    more = scratch.save(verified(left_over, docs, scratch), "more")
+    left_over = scratch.save(rows.mapInArrow(cross, "a bigint, b bigint, long boolean").distinct(), "candidates")
+    more = verified(left_over, docs, scratch)
     scratch.drop("listed", "about", "placed", "open", "wanted")
 
     # Rows that share a doc_id, or a set, are in one component.

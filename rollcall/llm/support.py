@@ -13,6 +13,7 @@ from rollcall.sources.scratch import scratch_folder
 
 # Rows of two integers that may be broadcast (about 50 MB once hashed).
 BROADCAST_ROWS = 400_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -36,6 +37,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_folder(spark)}/rollcall/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        # Texts can be long: unless the session says otherwise, fewer rows go to Python at once.
+        if spark.conf.get(ARROW_ROWS) == "10000":
+            spark.conf.set(ARROW_ROWS, "2000")
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1

@@ -31,7 +31,7 @@ LABELS = (*KINDS, "other")
 OTHER = len(KINDS)
 SHAPES = 4096
 # Pseudo-counts: equal labels on both ends of an edge, and different ones.
-SAME, DIFFERENT, UNSEEN = 20.0, 1.0, 0.5
+SAME, DIFFERENT, UNSEEN = 60.0, 1.0, 0.5
 ROUNDS, DAMPING, SURE = 12, 0.3, 0.9
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -150,6 +150,17 @@ class Chain:
                 last[k] = i
 
 
+    def known(self) -> np.ndarray:
+        """Tokens with a label to learn from: not those without a match that another mention has."""
+        out, mark = np.ones(len(self.spans), dtype=bool), self.observed.tolist()
+        # Forth and back along the skip edges, so a mention anywhere is seen.
+        for pairs in (self.skip, [(j, i) for i, j in reversed(self.skip)]):
+            for i, j in pairs:
+                if mark[i] != OTHER and mark[j] == OTHER:
+                    mark[j], out[j] = mark[i], False
+        return out
+
+
 def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Labels in the cliques of one partition: (factor, cell, n)."""
     node = np.zeros((SHAPES, len(LABELS)), dtype=np.int64)
@@ -160,10 +171,12 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text or not HINT.search(text):
                 continue
             chain = Chain(text, patterns(text))
-            np.add.at(node, (chain.shapes, chain.observed), 1)
+            known = chain.known()
+            np.add.at(node, (chain.shapes[known], chain.observed[known]), 1)
             for f, pairs in enumerate((chain.near, chain.skip)):
                 for i, j in pairs:
-                    edges[f, chain.observed[i], chain.observed[j]] += 1
+                    if known[i] and known[j]:
+                        edges[f, chain.observed[i], chain.observed[j]] += 1
     rows = [("node", c) for c in (node,)] + [("near", edges[0]), ("skip", edges[1])]
     names, cells, counts = [], [], []
     for name, block in rows:

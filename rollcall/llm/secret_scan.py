@@ -2,7 +2,7 @@
 
 Two first-order models over the same characters are compared by their
 log-likelihood ratio: one of random strings, learned from the values the
-patterns find, one of ordinary words and identifiers, learned from all other text. Long
+patterns find, one of ordinary words and identifiers, learned from all shorter tokens. Long
 tokens that the random model explains far better are reported as well.
 """
 
@@ -90,9 +90,10 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             _, values = patterns(text)
-            own = pairs("\n".join(values).encode(), states) if values else 0
-            sums[1] += own
-            sums[0] += np.maximum(pairs(text.encode("utf-8", "replace"), states) - own, 0)
+            if values:
+                sums[1] += pairs("\n".join(values).encode(), states)
+            # Tokens long enough to be reported teach nothing about ordinary ones.
+            sums[0] += pairs(TOKEN.sub(" ", text).encode("utf-8", "replace"), states)
     for flag in (0, 1):
         at = np.flatnonzero(sums[flag])
         if len(at):

@@ -199,8 +199,8 @@ class Factors:
         node, edges = np.zeros((SHAPES, k)), {"near": np.zeros((k, k)), "skip": np.zeros((k, k))}
         for name, cell, n in counts:
             (node if name == "node" else edges[name]).reshape(-1)[cell] = n
-        prior = node.sum(axis=0) + 1
-        node += UNSEEN * prior / prior.sum()
+        # A shape not met yet says nothing.
+        node += UNSEEN / k
         self.node = np.log(node / node.sum(axis=1, keepdims=True))
         self.near = self.edge(edges["near"], SAME / 4)
         self.skip = self.edge(edges["skip"], SAME)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,7 +226,7 @@ def identify(docs: DataFrame) -> DataFrame:
 def predict_rows(batches: Iterator[pa.RecordBatch], names: list[str], vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The same for whole rows, boxed in one column."""
     boxed = (
-        pa.RecordBatch.from_arrays([b.column(0), pa.compute.struct_field(b.column(0), "text")], names=["row", "text"])
+        pa.RecordBatch.from_arrays([b.column(0), pc.struct_field(b.column(0), "text")], names=["row", "text"])
         for b in batches
     )
     return predict(boxed, names, vectors)

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.llm.support import by_value, crc_part, table
 
@@ -237,7 +238,7 @@ def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     folds = docs.select("text", "lang", (crc_part("doc_id", 4) == 2).alias("held_out"))
     names, vectors = prototypes(folds.where("NOT held_out"))
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    schema = f"row {boxed.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    schema = T.StructType([boxed.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     out = boxed.mapInArrow(lambda it: predict_rows(it, names, vectors), schema)
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
 

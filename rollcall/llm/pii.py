@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.llm.spans import Span, digest, free, joined, ordered, replaced
 from rollcall.llm.support import by_value, table
@@ -336,8 +337,8 @@ def masked(docs: DataFrame) -> DataFrame:
     """
     factors = learn(docs)
     names = docs.columns
-    boxed = docs.select(F.struct(*[F.col(c) for c in names if c != "text"]).alias("row"), "text")
-    schema = f"row {boxed.schema['row'].dataType.simpleString()}, clean string"
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("row"), "text")
+    schema = T.StructType([boxed.schema["row"], T.StructField("clean", T.StringType())])
     out = boxed.mapInArrow(lambda it: masked_texts(it, factors), schema)
     length = F.length("clean").cast("bigint")
     made = {"text": F.col("clean"), "n_chars": F.coalesce(length, F.col("row.n_chars")) if "n_chars" in names else None}

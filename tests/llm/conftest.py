@@ -12,8 +12,8 @@ DOCS = T.StructType(
         T.StructField("n_chars", T.LongType()),
     ]
 )
-# Names that operators use inside, as columns of a table.
-CLASHING = ("id", "row", "key", "fp", "sha", "n", "score", "lang_pred", "head", "d", "unit", "batch")
+# Names that operators use inside, or that need quoting, as columns of a table.
+CLASHING = ("id", "row", "key", "fp", "sha", "n", "score", "lang_pred", "head", "d", "unit", "batch", "a.b", "two words", "clean")
 
 
 @pytest.fixture

@@ -46,6 +46,8 @@ COMMON_SHARE, COMMON_LEAST = 0.001, 16
 BUCKET_ENTRIES = 500_000
 # Members of a list compared in one task.
 BLOCK = 1024
+# Members held against one copy of their head: copies are below 2 % of the sets that move, and a large group spreads over many tasks.
+MEMBERS = 64
 SPACE_BYTES = (32, 9, 10, 11, 12, 13)
 
 
@@ -370,7 +372,7 @@ def matched(pairs: DataFrame, docs: DataFrame, scratch: Scratch, wide: bool) ->
     Sets or sketches are made from the texts of these documents only, and move once: a
     member to its head, a head to as many parts as its members need.
     """
-    heads = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    heads = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
     member = pairs.join(heads, "a").select(F.col("a").alias("head"), part, F.lit(True).alias("member"), F.col("b").alias("id"))
     parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))

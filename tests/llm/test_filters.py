@@ -113,6 +113,7 @@ def test_join_edge_cases(documents):
 def test_hub_lists_scanned_in_blocks(monkeypatch, documents, block):
     """A chain of similar texts whose ends don't link, through lists longer than a block."""
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "MEMBERS", block)
     words = [f"c{i}" for i in range(200)]
     rows = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(20)]
     out = ngram_join.classes(documents(rows)).collect()

@@ -69,6 +69,24 @@ def test_embeddings_equal_brute_force(spark):
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_recall_counts_pairs_beside_a_hot_group(spark, monkeypatch):
+    """Few trees, no rounds: the links of a hot group are all counted, while many pairs are missed at first."""
+    for name, value in (("TREES", 3), ("ROUNDS", 0), ("LEAF", 8)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.Generator(np.random.PCG64(2))
+    hot = rng.normal(size=32) + 0.02 * rng.normal(size=(300, 32))
+    x = np.repeat(rng.normal(size=(300, 32)), 2, axis=0) + 0.25 * rng.normal(size=(600, 32))
+    x = np.concatenate([hot, x])
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    truth = (y @ y.T >= 0.9).sum(axis=1) - 1
+    rows = [(50 * i, v.tolist()) for i, v in enumerate(x)]
+    out = {r.vec_id // 50: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    few = [i for i in range(300, 900) if truth[i]]
+    assert len(few) > 300
+    assert np.mean([out[i].n_links == truth[i] for i in few]) >= 0.97 and out[0].audit_recall >= 0.97
+    assert embedding_dedup.recall_of(np.array([5000, 1, 1]), np.array([5000, 0, 1])) == 0.5
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 299), (299, 300), (7, 7)]
     random.Random(1).shuffle(edges)

@@ -3,8 +3,11 @@
 A neighbour graph starts from the leaves of random-projection trees and is
 refined through neighbours of neighbours: around every vector, its neighbours
 and those it is a neighbour of are compared with each other. Links found on the way are
-kept. A vector whose list is full of links is saturated: its list is then enlarged
-to its whole component, in blocks, so its links are counted exactly. The
+kept: the best of each vector, and as many more as tell which of the vectors
+compared are connected. A vector whose list is full of links is saturated: its list
+is then enlarged to its whole component, in blocks, so its links are counted
+exactly, and further trees look for its links outside the component, until no list
+is full. The
 recall is audited against brute force on a sample, and more trees follow until it
 is high enough. Vectors count as known when all their links are, and those with
 few links count apart from those with many, so a hot group hides no missing pairs.
@@ -100,22 +103,40 @@ def edge_batch(u: list[np.ndarray], v: list[np.ndarray], sim: list[np.ndarray])
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (u, v, sim)], names=["u", "v", "sim"])
 
 
+def forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links that connect all that ``near`` connects: one less than members for each component."""
+    row, column, fresh = [], [], np.ones(len(near), dtype=bool)
+    for root in range(len(near)):
+        stack = [root] if fresh[root] else []
+        fresh[root] = False
+        while stack:
+            k = stack.pop()
+            new = np.flatnonzero(near[k] & fresh).tolist()
+            fresh[new] = False
+            row += [k] * len(new)
+            column += new
+            stack += new
+    return row, column
+
+
 def nearest(batches: Iterator[pa.RecordBatch], keys: int, starters: int) -> Iterator[pa.RecordBatch]:
     """Compare all vectors of a group: (u, v, sim) of the best partners of each u.
 
-    Rows are keys, id, unit, worst: partners that are no better than the
+    Rows are keys, id, unit, comp, worst: vectors of one ``comp`` are not compared, as
+    that is scanned anyway, and partners that are no better than the
     worst one in a vector's list are left out, unless they link. Of those that don't link,
-    a vector gets ``starters`` at most; of links as many as its list holds.
+    a vector gets ``starters`` at most; of links as many as its list holds, and those
+    that connect the vectors of the group.
     """
     us, vs, sims, held = [], [], [], 0
     for columns in groups(batches, keys):
-        ids, unit, worst = columns[keys : keys + 3]
+        ids, unit, comp, worst = columns[keys : keys + 4]
         if len(ids) < 2:
             continue
         order = np.array(sorted({i: k for k, i in enumerate(ids)}.values()))
-        x, ids, worst = matrix(unit)[order], np.array(ids)[order], np.array(worst)[order]
+        x, ids, comp, worst = matrix(unit)[order], np.array(ids)[order], np.array(comp)[order], np.array(worst)[order]
         s = x @ x.T
-        np.fill_diagonal(s, -2)
+        s[comp[:, None] == comp[None, :]] = -2
         take = min(NEIGHBOURS, len(ids) - 1)
         if take < 1:
             continue
@@ -129,6 +150,13 @@ def nearest(batches: Iterator[pa.RecordBatch], keys: int, starters: int) -> Iter
             vs.append(ids[best[row, column]])
             sims.append(value[row, column])
             held += len(row)
+        near = s >= THRESHOLD
+        if near.sum(axis=1).max() > take:
+            row, column = forest(near)
+            us.append(ids[row])
+            vs.append(ids[column])
+            sims.append(s[row, column])
+            held += len(row)
         if held > 50_000:
             yield edge_batch(us, vs, sims)
             us, vs, sims, held = [], [], [], 0
@@ -153,8 +181,8 @@ def seeds(vectors: DataFrame, rows: int, seed: int, scratch: Scratch) -> DataFra
     full = scratch.save(full.select("tree", "code", F.ceil(F.col("m") / (BLOCK // 2)).alias("parts")), "full")
     dealt = joined_small(codes, full, ["tree", "code"], "left")
     part = F.pmod(F.xxhash64("id", "tree", F.lit(seed)), F.coalesce("parts", F.lit(1)))
-    rows_ = dealt.select("tree", "code", part.alias("part"), "id").join(vectors.select("id", "unit"), "id")
-    rows_ = rows_.select("tree", "code", "part", "id", "unit", F.lit(-2.0).alias("worst"))
+    rows_ = dealt.select("tree", "code", part.alias("part"), "id").join(vectors.select("id", "unit", "comp"), "id")
+    rows_ = rows_.select("tree", "code", "part", "id", "unit", "comp", F.lit(-2.0).alias("worst"))
     rows_ = rows_.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
     return rows_.mapInArrow(lambda it: nearest(it, 3, STARTERS), EDGE)
 
@@ -162,11 +190,11 @@ def seeds(vectors: DataFrame, rows: int, seed: int, scratch: Scratch) -> DataFra
 def refined(known: DataFrame, vectors: DataFrame) -> DataFrame:
     """Better neighbours among the neighbours of each vector's neighbours."""
     worst = known.groupBy("u").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
-    about = vectors.join(worst.withColumnRenamed("u", "id"), "id", "left").select("id", "unit", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
+    about = vectors.join(worst.withColumnRenamed("u", "id"), "id", "left").select("id", "unit", "comp", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
     # As many of those that have the vector in their list as a list holds.
     reverse = lists(known.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim"))
     around = known.select("u", "v").union(reverse.select("u", "v")).union(known.select("u", F.col("u").alias("v"))).distinct()
-    rows = around.select(F.col("u").alias("center"), F.col("v").alias("id")).join(about, "id").select("center", "id", "unit", "worst")
+    rows = around.select(F.col("u").alias("center"), F.col("v").alias("id")).join(about, "id").select("center", "id", "unit", "comp", "worst")
     rows = rows.repartition("center").sortWithinPartitions("center")
     return rows.mapInArrow(lambda it: nearest(it, 1, STARTERS), EDGE)
 
@@ -188,8 +216,8 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[two]), pa.array(counts.astype(np.int64))], names=["id", "links"])
 
 
-def degrees(links: DataFrame, parts: DataFrame, vectors: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, links) of linked vectors, weighted by copies; components with a saturated vector are scanned in blocks."""
+def saturated(links: DataFrame, parts: DataFrame, vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(id, component, n, links) of linked vectors, and (component, id, parts) of those in components with a saturated one."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     copies = vectors.select(F.col("id").alias("v"), "copies")
     listed = both.join(copies, "v").groupBy("u").agg(F.count("*").alias("n"), F.sum("copies").alias("links"))
@@ -197,28 +225,46 @@ def degrees(links: DataFrame, parts: DataFrame, vectors: DataFrame, scratch: Scr
     dense = listed.groupBy("component").agg(F.max("n").alias("most"), F.count("*").alias("m"))
     dense = dense.where(F.col("most") >= NEIGHBOURS).select("component", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
     dense = scratch.save(dense, "dense")
-    rows = joined_small(parts, dense, "component", "inner").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    return listed, scratch.save(joined_small(parts, dense, "component", "inner").select("component", "id", "parts"), "scanned")
+
+
+def marked(vectors: DataFrame, scanned: DataFrame) -> DataFrame:
+    """The vectors with ``comp``: the component that is scanned, or the vector alone."""
+    comps = scanned.select("id", F.col("component").alias("comp"))
+    return joined_small(vectors, comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def outside(known: DataFrame, scanned: DataFrame) -> DataFrame:
+    """The neighbours that are not of one scanned component."""
+    for end in ("u", "v"):
+        known = joined_small(known, scanned.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    return known.where("of_u IS NULL OR of_v IS NULL OR of_u != of_v").select("u", "v", "sim")
+
+
+def degrees(listed: DataFrame, scanned: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(id, links) of linked vectors, weighted by copies; components with a saturated vector are scanned in blocks."""
+    rows = scanned.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     pair = lambda b: F.struct(F.least(b, "part").alias("i"), F.greatest(b, "part").alias("j"))
     rows = rows.select("component", "id", "part", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), pair)).alias("p"))
     rows = rows.join(vectors, "id").select("component", "p.i", "p.j", "part", "id", "copies", "unit")
     rows = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
     exact = rows.mapInArrow(blocks, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links"))
-    rest = listed.join(F.broadcast(dense) if dense.count() < 100_000 else dense, "component", "left_anti").select("id", "links")
-    return rest.union(exact)
+    return joined_small(listed, scanned.select("id"), "id", "left_anti").select("id", "links").union(exact)
 
 
-def brute(batches: Iterator[pa.RecordBatch], ids: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Links of the audited vectors with the vectors of one partition."""
-    total = np.zeros(len(ids), dtype=np.int64)
+def brute(batches: Iterator[pa.RecordBatch], ids: np.ndarray, x: np.ndarray, comps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links of the audited vectors with the vectors of one partition, and those within scanned components."""
+    total, inside = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
     for batch in batches:
         units_ = batch.column(2).to_pylist()
         fit = [k for k, u in enumerate(units_) if len(u) == 8 * x.shape[1]]
         if fit:
             y = matrix([units_[k] for k in fit])
-            other = batch.column(0).to_numpy()[fit]
+            other, copies = batch.column(0).to_numpy()[fit], batch.column(1).to_numpy()[fit]
             near = (x @ y.T >= THRESHOLD + ROUNDING) & (ids[:, None] != other[None, :])
-            total += near @ batch.column(1).to_numpy()[fit]
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "truth"])
+            total += near @ copies
+            inside += (near & (comps[:, None] == batch.column(3).to_numpy()[fit][None, :])) @ copies
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total), pa.array(inside)], names=["id", "truth", "inside"])
 
 
 def recall_of(truth: np.ndarray, links: np.ndarray) -> float:
@@ -232,17 +278,22 @@ def recall_of(truth: np.ndarray, links: np.ndarray) -> float:
     return float(min(shares))
 
 
-def audit(found: DataFrame, vectors: DataFrame) -> float:
-    """Recall on at most AUDITED vectors (ids divisible by 50, smallest hash first), by links and by vectors."""
-    sample = vectors.where(F.col("id") % 50 == 0).orderBy(F.xxhash64("id")).limit(AUDITED).select("id", "unit").collect()
+def audit(listed: DataFrame, scanned: DataFrame, vectors: DataFrame) -> float:
+    """Recall on at most AUDITED vectors (ids divisible by 50, smallest hash first), by links and by vectors.
+
+    Known are the links within scanned components, and the listed ones of other vectors.
+    """
+    vectors = marked(vectors, scanned).select("id", "copies", "unit", "comp")
+    sample = vectors.where(F.col("id") % 50 == 0).orderBy(F.xxhash64("id")).limit(AUDITED).select("id", "unit", "comp").collect()
     width = max([len(r["unit"]) for r in sample], default=0)
     sample = [r for r in sample if len(r["unit"]) == width]
     if not sample:
         return 1.0
-    ids, x = np.array([r["id"] for r in sample]), matrix([r["unit"] for r in sample])
-    truth = vectors.select("id", "copies", "unit").mapInArrow(lambda it: brute(it, ids, x), "id bigint, truth bigint")
-    truth = truth.groupBy("id").agg(F.sum("truth").alias("truth"))
-    both = truth.join(found, "id", "left").select("truth", F.coalesce("links", F.lit(0)).alias("links")).collect()
+    ids, x, comps = np.array([r["id"] for r in sample]), matrix([r["unit"] for r in sample]), np.array([r["comp"] for r in sample])
+    truth = vectors.mapInArrow(lambda it: brute(it, ids, x, comps), "id bigint, truth bigint, inside bigint")
+    truth = truth.groupBy("id").agg(F.sum("truth").alias("truth"), F.sum("inside").alias("inside"))
+    rest = joined_small(listed, scanned.select("id"), "id", "left_anti").select("id", "links")
+    both = truth.join(rest, "id", "left").select("truth", (F.col("inside") + F.coalesce("links", F.lit(0))).alias("links")).collect()
     return recall_of(np.array([r["truth"] for r in both]), np.array([r["links"] for r in both]))
 
 
@@ -264,17 +315,18 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     n = vectors.count()
 
     links, recall = None, 0.0
-    known = None
+    known, scanned = None, None
     # Any two vectors that link may share a leaf of the next trees, so the recall gets there.
     for attempt in itertools.count():
-        edges = scratch.save(seeds(vectors, n, attempt, scratch), "edges")
-        known = scratch.save(lists(edges if known is None else known.union(edges)).select("u", "v", "sim"), "lists")
+        apart = vectors.withColumn("comp", F.col("id")) if scanned is None else marked(vectors, scanned)
+        edges = scratch.save(seeds(apart, n, attempt, scratch), "edges")
+        known = scratch.save(lists(edges if known is None else outside(known, scanned).union(edges)).select("u", "v", "sim"), "lists")
         fresh = edges.where(F.col("sim") >= THRESHOLD).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         links = fresh.distinct() if links is None else links.union(fresh).distinct()
         links = scratch.save(links, "links")
         size = links.count()
         for _ in range(ROUNDS):
-            better = scratch.save(refined(known, vectors), "edges")
+            better = scratch.save(refined(known, apart), "edges")
             known = scratch.save(lists(known.union(better)).select("u", "v", "sim"), "lists")
             fresh = better.where(F.col("sim") >= THRESHOLD).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
             links = scratch.save(links.union(fresh).distinct(), "links")
@@ -283,13 +335,17 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
                 break
         joined = components(links, scratch, "u", "v").withColumnRenamed("node", "id")
         parts = scratch.save(joined, "parts")
-        found = scratch.save(degrees(links, parts, vectors, scratch), "found")
-        recall = audit(found, vectors)
-        if recall >= RECALL:
-            break
+        listed, scanned = saturated(links, parts, vectors, scratch)
+        # A list full of links may hide more of them outside the component, so lists without the component follow.
+        full = known.where(F.col("sim") >= THRESHOLD).groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS)
+        if full.limit(1).count() == 0:
+            recall = audit(listed, scanned, vectors)
+            if recall >= RECALL:
+                break
         scratch.drop("codes", "full", "edges")
 
-    scratch.drop("codes", "full", "edges", "lists", "dense", "degrees")
+    found = scratch.save(degrees(listed, scanned, vectors), "found")
+    scratch.drop("codes", "full", "edges", "lists", "dense", "degrees", "scanned")
     of_unit = vectors.select(F.col("unit").alias("_unit"), "id", "copies")
     used = valid.select(F.col("vec_id").alias("_id"), F.col("unit").alias("_used"))
     out = rows.join(used, (F.col("vec_id") == F.col("_id")) & (F.col("unit") == F.col("_used")), "left")

@@ -87,6 +87,22 @@ def test_recall_counts_pairs_beside_a_hot_group(spark, monkeypatch):
     assert embedding_dedup.recall_of(np.array([5000, 1, 1]), np.array([5000, 0, 1])) == 0.5
 
 
+def test_links_between_saturated_groups(spark):
+    """Pairs of tight groups, each larger than a list, that link with each other."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    groups = []
+    for size in [30] * 12 + [100] * 2:
+        a, b = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+        for center in (a, 0.93 * a + (1 - 0.93**2) ** 0.5 * b):
+            groups.append(center + 0.002 * rng.normal(size=(size, 64)))
+    x = np.concatenate(groups)
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    truth = (y @ y.T >= 0.9).sum(axis=1) - 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = embedding_dedup.near_duplicates(frame).collect()
+    assert all(r.n_links == truth[r.vec_id] for r in out) and sum(r.kept for r in out) == 14
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 299), (299, 300), (7, 7)]
     random.Random(1).shuffle(edges)

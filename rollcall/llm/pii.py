@@ -226,7 +226,7 @@ def beliefs(chain: Chain, factors: Factors) -> np.ndarray:
     local[seen, chain.observed[seen]] = 0.0
     pairs = np.array([*chain.near, *chain.skip], dtype=np.int64).reshape(-1, 2)
     if not len(pairs):
-        return np.exp(local - local.max(axis=1, keepdims=True))
+        return np.exp(local - np.logaddexp.reduce(local, axis=1)[:, None])
     kind = np.array([0] * len(chain.near) + [1] * len(chain.skip))
     table_ = np.stack([factors.near, factors.skip])[kind]
     # Messages run both ways; the factors are symmetric.
@@ -249,18 +249,14 @@ def beliefs(chain: Chain, factors: Factors) -> np.ndarray:
 
 def added(text: str, base: list[Span], factors: Factors) -> list[Span]:
     """Further mentions: tokens outside the matches that the field is sure of."""
-    if not base:
-        # Without an observed entity no message can outweigh a token's own factor.
-        return []
     chain = Chain(text, base)
-    if not chain.skip:
+    if not chain.spans:
         return []
     p = beliefs(chain, factors)
-    linked = {i for pair in chain.skip for i in pair}
     out = []
     for i, (a, b) in enumerate(chain.spans):
         label = int(p[i].argmax())
-        if label == OTHER or chain.observed[i] != OTHER or p[i, label] < SURE or i not in linked:
+        if label == OTHER or chain.observed[i] != OTHER or p[i, label] < SURE:
             continue
         while a < b and text[a] in TRIM:
             a += 1
@@ -325,7 +321,7 @@ def masked_texts(batches: Iterator[pa.RecordBatch], factors: Factors) -> Iterato
             text = value.as_py()
             if text and HINT.search(text):
                 base = patterns(text)
-                text = replaced(text, ordered([*base, *added(text, base, factors)], KINDS)) if base else text
+                text = replaced(text, ordered([*base, *added(text, base, factors)], KINDS))
             out.append(text)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "clean"])
 

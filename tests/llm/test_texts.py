@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,20 @@ def test_field_finds_other_mentions(documents):
     assert pii.find(documents([])).count() == 0
 
 
+def test_field_labels_without_a_match(documents):
+    """A shape that is mostly phone elsewhere is found where no pattern matches, alone or repeated."""
+    rows = [(i, f"Call +4930{1000000 + i} or 4930{1000000 + i} of {i} items.") for i in range(200)]
+    rows += [(i, f"Call +4930{1000000 + i}x now.") for i in range(200, 400)]
+    counts = pii.learn(documents(rows))
+    token = pii.shape("(030)55-66")
+    counts.node[token] = np.log([0.001, 0.001, 0.001, 0.98, 0.017])
+    for text, n in (("Ring (030)55-66 today", 1), ("Ring (030)55-66 or (030)55-66", 2), ("Room 7 of 9", 0)):
+        spans = pii.added(text, [], counts)
+        assert [k for k, _, _ in spans] == ["phone"] * n
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["Ring (030)55-66 today"])], names=["row", "text"])
+    assert "<PHONE>" in next(pii.masked_texts(iter([batch]), counts)).column(1)[0].as_py()
+
+
 def test_masked_texts(documents):
     docs = documents([(1, "mail bob@x.org or 10.0.0.1"), (2, None), (3, "plain")])
     out = {r.doc_id: r for r in pii.masked(docs).collect()}

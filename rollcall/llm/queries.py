@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from rollcall.llm import (
     bpe,
+    conversation_trie,
     embedding_dedup,
     exact_dedup,
     langid,
     ngram_join,
     packing,
+    phrases,
     pii,
     quality,
     secret_scan,
+    token_store,
     warc,
 )
 
@@ -26,6 +29,13 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": langid.op9_language_id,
     "op10_bpe": bpe.op10_bpe,
+    "op11_token_store": token_store.op11_token_store,
+    "op12_prefix_trie": conversation_trie.op12_prefix_trie,
+    "op13_collocations": phrases.op13_collocations,
 }
 
-SQL = {"op8_exact_dedup": exact_dedup.SQL}
+SQL = {
+    "op8_exact_dedup": exact_dedup.SQL,
+    "op12_prefix_trie": conversation_trie.SQL,
+    "op13_collocations": phrases.SQL,
+}

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ LEAST_BITS, MOST_BITS, PER_CELL = 16, 27, 4
 # Cells of a piece of a sketch.
 PIECE = 1 << 15
 # Phrases of one trie, which bounds what is broadcast; further ones go to further tries.
-TRIE_PHRASES = 1_500_000
+TRIE_PHRASES = 1_000_000
 # Bytes of text handled at once, to the end of the piece they end in.
 BLOCK = 1 << 22
 # A-Z become a-z, and characters that end a piece become a stop.
@@ -155,45 +156,49 @@ def survivors(batches: Iterator[pa.RecordBatch], full: list[np.ndarray], bits: i
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string())], names=["lang", "phrase"])
 
 
-class Phrases:
-    """A trie of (lang, words) paths as plain arrays, and the way back from states to phrase ids."""
-
-    def __init__(self, ids: np.ndarray, langs: list[str], phrases: list[bytes]):
-        split = [p.split(b" ") for p in phrases]
-        self.words = sorted({w for p in split for w in p})
-        self.langs = sorted(set(langs))
-        number = {w: i for i, w in enumerate(self.words)}
-        lang_number = {x: len(self.words) + i for i, x in enumerate(self.langs)}
-        paths = np.full((len(split), 4), -1, np.int64)
-        paths[:, 0] = [lang_number[x] for x in langs]
-        for level in range(3):
-            paths[:, level + 1] = [number[p[level]] if len(p) > level else -1 for p in split]
-        trie, states = DoubleArray(len(self.words) + len(self.langs)), np.zeros(len(split), np.int64)
-        for level in range(4):
-            on = paths[:, level] >= 0
-            states[on] = trie.extend(states[on], paths[on, level])
-        self.base, self.check = trie.packed()
-        self.width = trie.width
-        order = np.argsort(states, kind="stable")
-        self.states, self.ids = states[order], ids[order]
-
-    def plain(self) -> dict:
-        """What tasks need, without classes of this package."""
-        return {
-            "words": b" ".join(self.words), "langs": self.langs, "base": self.base, "check": self.check,
-            "width": self.width, "states": self.states, "ids": self.ids,
-        }
+def packed_trie(part: pa.Table) -> pa.Table:
+    """One row from a trie's share of (id, lang, phrase, trie): its words, arrays, and ids by state, as bytes."""
+    split = pc.split_pattern(part["phrase"].cast(pa.binary()).combine_chunks(), " ")
+    sizes = np.diff(split.offsets.to_numpy())
+    flat = split.flatten().dictionary_encode()
+    found, langs = flat.dictionary, part["lang"].combine_chunks().dictionary_encode()
+    # Word numbers follow no order; those of langs come behind them.
+    which, row = flat.indices.to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+    paths = np.full((len(sizes), 4), -1, np.int32)
+    paths[:, 0] = langs.indices.to_numpy() + len(found)
+    paths[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = which
+    trie, states = DoubleArray(len(found) + len(langs.dictionary)), np.zeros(len(sizes), np.int64)
+    for level in range(4):
+        on = np.flatnonzero(paths[:, level] >= 0)
+        states[on] = trie.extend(states[on], paths[on, level].astype(np.int64))
+    base, check = trie.packed()
+    order = np.argsort(states, kind="stable")
+    ids = part["id"].to_numpy()[order]
+    fields = {
+        "trie": pa.array([part["trie"][0].as_py()], pa.int64()),
+        "words": pa.array([b" ".join(found.to_pylist())], pa.binary()),
+        "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())),
+        "width": pa.array([trie.width], pa.int32()),
+    }
+    for name, data in (("base", base), ("check", check), ("states", states[order].astype(np.int32)), ("ids", ids)):
+        fields[name] = pa.array([data.tobytes()], pa.binary())
+    return pa.table(fields)
+
+
+TRIE = "trie bigint, words binary, langs array<string>, width int, base binary, check binary, states binary, ids binary"
+COUNTS = "piece bigint, counts binary, lang string, n bigint"
 
 
 def counted(batches: Iterator[pa.RecordBatch], trie: dict, totals: bool) -> Iterator[pa.RecordBatch]:
-    """(id, lang, n): occurrences of the trie's phrases in the task's texts, and, with ``totals``, words per lang."""
-    words = trie["words"].split(b" ") if trie["words"] else []
+    """Occurrences of the trie's phrases in the task's texts, piece by piece, and, with ``totals``, words per lang."""
+    words = trie["words"].split(b" ")
     number, n_langs = {w: i for i, w in enumerate(words)}, {x: len(words) + i for i, x in enumerate(trie["langs"])}
-    base, check, width = trie["base"], trie["check"], trie["width"]
+    base, check = (np.frombuffer(trie[k], np.int32) for k in ("base", "check"))
+    width, accepting = trie["width"], np.frombuffer(trie["states"], np.int32)
     # Accepting states are numbered by their place among the sorted ones.
     accept = np.full(len(base), -1, np.int32)
-    accept[trie["states"]] = np.arange(len(trie["states"]))
-    seen, n_words = np.zeros(len(trie["states"]), np.int64), {}
+    accept[accepting] = np.arange(len(accepting))
+    seen, n_words = np.zeros(len(accepting), np.int64), {}
     for lang, known, ids in blocks(batches):
         n_words[lang] = n_words.get(lang, 0) + int((ids >= 0).sum())
         if lang not in n_langs:
@@ -208,16 +213,45 @@ def counted(batches: Iterator[pa.RecordBatch], trie: dict, totals: bool) -> Iter
             at = at[live]
             reached = accept[states]
             seen += np.bincount(reached[reached >= 0], minlength=len(seen))
-    some = np.flatnonzero(seen)
-    rows = sorted(n_words.items()) if totals else []
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([*trie["ids"][some].tolist(), *[None] * len(rows)], pa.int64()),
-            pa.array([*[None] * len(some), *[x for x, _ in rows]], pa.string()),
-            pa.array([*seen[some].tolist(), *[n for _, n in rows]], pa.int64()),
-        ],
-        names=["id", "lang", "n"],
-    )
+    for piece in range(-(-len(seen) // PIECE)):
+        part = seen[piece * PIECE : (piece + 1) * PIECE]
+        some = np.flatnonzero(part)
+        if len(some):
+            data = some.astype("<u2").tobytes() + part[some].tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([piece], pa.int64()), pa.array([data], pa.binary()), pa.array([None], pa.string()), pa.array([None], pa.int64())],
+                names=["piece", "counts", "lang", "n"],
+            )
+    if totals:
+        langs = sorted(n_words)
+        none = [None] * len(langs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1] * len(langs), pa.int64()), pa.array(none, pa.binary()), pa.array(langs, pa.string()), pa.array([n_words[x] for x in langs], pa.int64())],
+            names=["piece", "counts", "lang", "n"],
+        )
+
+
+def summed_counts(batches: Iterator[pa.RecordBatch], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(id, lang, n): the pieces of all tasks added up; sums per lang pass through as they are."""
+    totals: dict[int, np.ndarray] = {}
+    langs: dict[str, int] = {}
+    for batch in batches:
+        for piece, data, lang, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if piece < 0:
+                langs[lang] = langs.get(lang, 0) + n
+                continue
+            k = len(data) // 10
+            total = totals.setdefault(piece, np.zeros(PIECE, np.int64))
+            total[np.frombuffer(data, "<u2", k)] += np.frombuffer(data, np.int64, k, 2 * k)
+    for piece, total in totals.items():
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[piece * PIECE + some]), pa.nulls(len(some), pa.string()), pa.array(total[some])], names=["id", "lang", "n"]
+        )
+    if langs:
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(langs), pa.int64()), pa.array(langs.keys(), pa.string()), pa.array(langs.values(), pa.int64())], names=["id", "lang", "n"]
+        )
 
 
 def candidates(texts: DataFrame, n_bytes: int, least: int, scratch: Scratch, most_bits: int = MOST_BITS) -> DataFrame:
@@ -252,21 +286,29 @@ def frequencies(docs: DataFrame, least: int, scratch: Scratch, trie_phrases: int
     n_bytes = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     wanted = candidates(texts, n_bytes, least, scratch, most_bits)
     tries = max(1, -(-wanted.count() // trie_phrases))
-    # Dealt by hash, so each trie holds about as many.
-    dealt = wanted.withColumn("trie", F.pmod(F.xxhash64("id"), F.lit(tries)))
-    counts = []
+    # Dealt by hash, so each trie holds about as many; tasks pack them, and one at a time is broadcast.
+    dealt = wanted.withColumn("trie", F.pmod(F.xxhash64("id"), F.lit(tries))).select("id", "lang", "phrase", "trie")
+    packed = scratch.save(dealt.groupBy("trie").applyInArrow(packed_trie, TRIE), "tries")
+    counts, totals = [], True
     for i in range(tries):
-        part = dealt.where(F.col("trie") == i).select("id", "lang", "phrase").toArrow()
-        trie = Phrases(part["id"].to_numpy(), part["lang"].to_pylist(), part["phrase"].cast(pa.binary()).to_pylist()).plain()
+        row = packed.where(F.col("trie") == i).first()
+        if row is None:
+            continue
+        trie = {k: bytes(v) if isinstance(v, bytearray) else v for k, v in row.asDict().items()}
         shared = docs.sparkSession.sparkContext.broadcast(trie)
-        rows = texts.mapInArrow(lambda it, t=shared, first=i == 0: counted(it, t.value, first), "id bigint, lang string, n bigint")
-        counts.append(scratch.save(rows.groupBy("id", "lang").agg(F.sum("n").alias("n")), "counts"))
+        rows = texts.mapInArrow(lambda it, t=shared, first=totals: counted(it, t.value, first), COUNTS)
+        rows = rows.repartition("piece").mapInArrow(lambda it, t=shared: summed_counts(it, np.frombuffer(t.value["ids"], np.int64)), "id bigint, lang string, n bigint")
+        counts.append(scratch.save(rows, "counts"))
         shared.unpersist()
+        totals = False
+    if not counts:
+        none = docs.sparkSession.createDataFrame([], "lang string, phrase string, f bigint, n bigint")
+        return none.select("lang", "phrase", "f"), none.select("lang", "n")
     whole = counts[0]
     for more in counts[1:]:
         whole = whole.union(more)
     f = wanted.join(whole.where("id IS NOT NULL").select("id", F.col("n").alias("f")), "id").select("lang", "phrase", "f")
-    return scratch.save(f, "frequencies"), whole.where("id IS NULL").select("lang", "n")
+    return scratch.save(f, "frequencies"), whole.where("id IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def score_of(a: Column, left: Column, right: Column) -> Column:

@@ -12,9 +12,12 @@ without the rest.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,55 +33,175 @@ END = 0
 # Bytes of text of a file, of ids of a row group and of a page, and rows of a page.
 FILE_BYTES, GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 1 << 26, 1 << 24, 1 << 17, 512
 # Texts encoded by one call of the tokenizer, at most this many characters unless one text is longer.
-CALL_CHARS = 1 << 20
+CALL_CHARS = 1 << 22
+# Where texts are cut, and where they may hold a space that no cut belongs to.
+CUT, RUN = re.compile(r"(?= \S)"), re.compile(r" (?:$|[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
+# Pieces remembered by a worker.
+MOST_PIECES = 600_000
+# Lines of one word of Latin letters and the marks that may follow it: words and marks are words of the splitting pattern.
+MARKS = ".,;:!?"
+LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
+PLAIN = re.compile(rf"( ?)({LETTERS})([.,;:!?]*)((?:\n{LETTERS}[.,;:!?]*)*)")
 # Files of one block of the index, whose totals are summed first.
 BLOCK = 1024
 STORED = "doc_id bigint, start bigint, n_tokens bigint, ids array<int>"
 
 
-def loaded(vocabulary: str):
-    """The tokenizer of a vocabulary, once per worker."""
-    if _tokenizers.get("text") is not vocabulary:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Numbers(dict):
+    """Numbers words in the order they are first met; ``fresh`` holds the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
 
-        made = Tokenizer.from_str(vocabulary)
-        made.no_truncation()
-        made.no_padding()
-        _tokenizers.update(text=vocabulary, made=made)
-    return _tokenizers["made"]
+class Encoder:
+    """A tokenizer that remembers the ids of the pieces of texts it has met.
 
+    Texts are cut before each space that a visible character follows. With
+    byte-level splitting the ids of a text are those of its pieces: no word of the
+    pattern holds a space but at its start, and a run of white space leaves its last
+    space to the word behind it. A tokenizer of another kind encodes whole texts.
+    """
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
 
-_tokenizers: dict = {}
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.pieces = by_pieces(json.loads(vocabulary))
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.ids, self.starts, self.sizes, self.words = Numbers(), array("i"), array("q"), array("q"), {}
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after the other, and the number of each text's ids."""
+        if len(self.numbers) > MOST_PIECES:
+            self.forget()
+        keys: list[str] = []
+        counts = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            mine = keys_of(text) if self.pieces else [" " + text]
+            counts[i] = len(mine)
+            keys += mine
+        which = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+        self.learn()
+        table, starts = np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64)
+        sizes = np.frombuffer(self.sizes, np.int64)[which]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.diff(np.append(0, ends)[np.append(0, np.cumsum(counts))])
+
+    def learn(self) -> None:
+        """Find the ids of the new pieces: of plain words from the model, of others from the whole tokenizer."""
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        ids, words, others = self.ids, self.words, []
+        for key in fresh:
+            at = len(ids)
+            match = PLAIN.fullmatch(key) if self.pieces else None
+            if match is None:
+                others.append(len(self.starts))
+            else:
+                lead, word, marks, more = match.groups()
+                name = ("" if lead else "\u0120") + (word if word.isascii() else byte_letters(word))
+                ids.extend(words.get(name) or self.word(name))
+                if marks:
+                    ids.extend(words.get(marks) or self.word(marks))
+                for line in more.split("\n")[1:]:
+                    word = line.rstrip(MARKS)
+                    ids.extend(self.word("\u010a"))
+                    ids.extend(self.word(word if word.isascii() else byte_letters(word)))
+                    if len(word) < len(line):
+                        ids.extend(self.word(line[len(word) :]))
+            self.starts.append(at)
+            self.sizes.append(len(ids) - at)
+        if others:
+            keys = [fresh[i - len(self.starts)] for i in others]
+            # A key that begins with a space is a text's first piece, without that space.
+            whole = [key[1:] if key[:1] == " " else " " + key for key in keys]
+            for i, found in zip(others, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+                self.starts[i], self.sizes[i] = len(ids), len(found)
+                ids.extend(found.ids)
+
+    def word(self, letters: str) -> list[int]:
+        """Ids of one word of the splitting pattern, in byte letters."""
+        ids = self.words.get(letters)
+        if ids is None:
+            ids = self.words[letters] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return ids
+
+
+def byte_letters(word: str) -> str:
+    """The word's bytes, each as the letter that stands for it; letters of Latin-1 have bytes from 0x80 on."""
+    return "".join(chr(b) if b < 0x80 or 0xA1 <= b != 0xAD else chr(0x122 + b - 0x80 if b <= 0xA0 else 0x143) for b in word.encode())
+
+
+def keys_of(text: str) -> list[str]:
+    """The pieces of a text: the first behind an added space, all others without their space."""
+    words = text.split(" ")
+    if RUN.search(text):
+        words = CUT.split(text)
+        words[1:] = [w[1:] for w in words[1:]]
+    words[0] = " " + words[0]
+    return words
+
+
+_encoders: dict = {}
+
+
+def loaded(vocabulary: str) -> Encoder:
+    """The encoder of a vocabulary, made once per worker."""
+    if _encoders.get("text") is not vocabulary:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _encoders.update(text=vocabulary, made=Encoder(vocabulary))
+    return _encoders["made"]
+
+
+def by_pieces(model: dict) -> bool:
+    """Whether a tokenizer splits texts at byte level and every added token holds something besides letters, marks and spaces."""
+    split = model.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    added = model.get("added_tokens") or []
+    alone = all(
+        re.search(r"[^\w\s.,;:!?]", t["content"]) and not re.search(r"\s", t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+        for t in added
+    )
+    return bool(plain and alone and model.get("normalizer") is None and model["model"]["type"] == "BPE")
 
 
-def calls(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts for one call each."""
-    first, chars = 0, 0
-    for i, text in enumerate(texts):
-        if i > first and chars + len(text) > CALL_CHARS:
+def calls(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows for one call each: as many as hold at most ``most`` in all, and at least one."""
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and held + size > most:
             yield first, i
-            first, chars = i, 0
-        chars += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int) -> Iterator[pa.RecordBatch]:
     """Rows to store from (doc_id, text) in order; ``start`` runs through the partition."""
-    tokenizer, before = loaded(vocabulary), 0
+    encoder, before = loaded(vocabulary), 0
     for batch in batches:
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in calls(texts):
-            found = tokenizer.encode_batch(texts[a:b], add_special_tokens=False)
-            rows = [np.append(np.array(e.ids, dtype=np.int32), np.int32(end)) for e in found]
-            counts = np.array([len(r) for r in rows], dtype=np.int64)
+        for a, b in calls([len(t) for t in texts], CALL_CHARS):
+            ids, counts = encoder.texts(texts[a:b])
+            ids, counts = np.insert(ids, np.cumsum(counts), np.int32(end)), counts + 1
             ends = np.cumsum(counts)
-            ids = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(np.concatenate(rows)))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
             starts = before + ends - counts
             before += int(ends[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(starts), pa.array(counts), ids], names=["doc_id", "start", "n_tokens", "ids"]
+                [batch.column(0).slice(a, b - a), pa.array(starts), pa.array(counts), lists], names=["doc_id", "start", "n_tokens", "ids"]
             )
 
 

@@ -5,7 +5,6 @@ They are pickled by value, so executors need no copy of this package.
 
 from __future__ import annotations
 
-import math
 import sys
 from math import factorial
 
@@ -19,11 +18,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Leaf = tuple[float, list[tuple[int, float, float, float]]]
 
 
-def chi2_tail(stat: pd.Series) -> pd.Series:
-    """P(chi-square with one degree of freedom > stat)."""
-    return stat.map(lambda x: math.erfc(math.sqrt(x / 2)) if x is not None and x == x else None)
-
-
 def add_leaf(x: np.ndarray, leaf: Leaf, out: np.ndarray) -> None:
     """Add the Shapley values of one leaf for all rows of ``x``."""
     value, conditions = leaf

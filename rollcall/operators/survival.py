@@ -12,11 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollcall.functions.dates import day, quarter_label, tenure_months
-from rollcall.functions.kernels import chi2_tail
 from rollcall.functions.measures import is_exited
+from rollcall.functions.special import chi2_tail
 from rollcall.operators.ranking import top
 
 # Retention is reported at these months.
@@ -149,59 +148,43 @@ def by_department(df: DataFrame, least: int = 20) -> DataFrame:
 def logrank_statistics(df: DataFrame, cohort: str, cohorts: Sequence[str] | None = None) -> DataFrame:
     """Log-rank statistic of every pair of cohorts: group_1, group_2, test_stat.
 
-    Counts are laid out wide, one row per tenure with a column pair per cohort,
-    so every pair reads its sums from the same single aggregate.
+    ``cohorts`` restricts the pairs. In long form: each event time of a cohort meets
+    the numbers at risk of every other cohort at that time, and the pairs are
+    summed in one aggregate. Rows grow with cohorts times event times times
+    cohorts, not with staff; the pair of a time comes from its lesser cohort if
+    both have events then.
     """
-    if cohorts is None:
-        rows = df.filter(F.col(cohort).isNotNull()).select(F.col(cohort).cast("string")).distinct().collect()
-        cohorts = sorted(r[0] for r in rows)
-    pairs = [(a, b) for i, a in enumerate(cohorts) for b in cohorts[i + 1 :]]
-    counts = _counts(df, F.col(cohort))
-    wide = counts.groupBy("t").agg(
-        *[F.sum(F.when(F.col("cohort") == g, F.col("d")).otherwise(0)).alias(f"d{i}") for i, g in enumerate(cohorts)],
-        *[
-            F.sum(F.when(F.col("cohort") == g, F.col("d") + F.col("c")).otherwise(0)).alias(f"m{i}")
-            for i, g in enumerate(cohorts)
-        ],
-    )
-    # One row per distinct tenure, so one task is enough here.
-    down = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
-    risk = wide.select(
-        "*", *[F.sum(f"m{i}").over(down).cast("double").alias(f"n{i}") for i in range(len(cohorts))]
-    )
-    place = {g: i for i, g in enumerate(cohorts)}
-    sums = []
-    for k, (a, b) in enumerate(pairs):
-        d1, d2 = F.col(f"d{place[a]}"), F.col(f"d{place[b]}")
-        n1, n2 = F.col(f"n{place[a]}"), F.col(f"n{place[b]}")
-        d, n = d1 + d2, n1 + n2
-        spread = d * n1 * n2 * (n - d) / (n * n * (n - 1))
-        sums += [
-            F.sum(F.when(n > 0, d1 - d * n1 / n)).alias(f"z{k}"),
-            F.sum(F.when(n > 1, spread)).alias(f"v{k}"),
-        ]
-    if not pairs:
-        empty = df.select(F.lit("").alias("group_1"), F.lit("").alias("group_2"), F.lit(0.0).alias("test_stat"))
-        return empty.filter("false")
-    one = risk.agg(*sums)
-    results = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("group_1"),
-                F.lit(b).alias("group_2"),
-                (F.col(f"z{k}") * F.col(f"z{k}") / F.nullif(F.col(f"v{k}"), F.lit(0.0))).alias("test_stat"),
-            )
-            for k, (a, b) in enumerate(pairs)
-        ]
+    known = df.filter(F.col(cohort).isNotNull())
+    counts = _counts(known, F.col(cohort))
+    if cohorts is not None:
+        counts = counts.filter(F.col("cohort").isin(list(cohorts)))
+    names = counts.agg(F.sort_array(F.collect_set("cohort")).alias("names"))
+    # Cohorts by event times: both are bounded, the times by the number of days.
+    times = counts.filter("d > 0").select("t").distinct().withColumn("_names", names.scalar())
+    zero = F.lit(0).cast("bigint")
+    grid = times.select(F.explode("_names").alias("cohort"), "t", zero.alias("d"), zero.alias("c"))
+    cells = counts.unionByName(grid).groupBy("cohort", "t").agg(F.sum("d").alias("d"), F.sum("c").alias("c"))
+    down = Window.partitionBy("cohort").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
+    risk = cells.withColumn("n", F.sum(F.col("d") + F.col("c")).over(down).cast("double"))
+    one = risk.filter("d > 0").select("t", *[F.col(x).alias(f"{x}_1") for x in ("cohort", "d", "n")])
+    two = risk.select("t", *[F.col(x).alias(f"{x}_2") for x in ("cohort", "d", "n")])
+    met = one.join(two, "t").filter("cohort_1 != cohort_2 AND (d_2 = 0 OR cohort_1 < cohort_2)")
+    first = F.col("cohort_1") < F.col("cohort_2")
+    d, n = F.col("d_1") + F.col("d_2"), F.col("n_1") + F.col("n_2")
+    own, at_risk = F.when(first, F.col("d_1")).otherwise(F.col("d_2")), F.when(first, F.col("n_1")).otherwise(F.col("n_2"))
+    spread = d * F.col("n_1") * F.col("n_2") * (n - d) / (n * n * F.nullif(n - 1, F.lit(0.0)))
+    sums = met.groupBy(F.least("cohort_1", "cohort_2").alias("group_1"), F.greatest("cohort_1", "cohort_2").alias("group_2")).agg(
+        F.sum(own - d * at_risk / n).alias("z"), F.sum(F.when(n > 1, spread)).alias("v")
     )
-    return one.select(F.inline(results))
+    pairs = names.select(F.posexplode("names").alias("_i", "group_1"), "names")
+    pairs = pairs.select("group_1", F.explode(F.expr("slice(names, _i + 2, size(names))")).alias("group_2"))
+    stat = F.col("z") * F.col("z") / F.nullif(F.col("v"), F.lit(0.0))
+    return pairs.join(sums, ["group_1", "group_2"], "left").select("group_1", "group_2", stat.alias("test_stat"))
 
 
 def logrank_test(df: DataFrame, cohort: str = "college_tier", level: float = 0.05) -> DataFrame:
     """Pairwise log-rank tests with p-value and verdict."""
-    # Spark has no erfc; there is one row per pair of cohorts.
-    tail = F.pandas_udf(chi2_tail, T.DoubleType())
-    stats = logrank_statistics(df, cohort).withColumn("_p", tail("test_stat"))
+    stats = logrank_statistics(df, cohort).withColumn("_p", chi2_tail(F.col("test_stat")))
     return stats.select(
         "group_1",
         "group_2",

@@ -16,8 +16,8 @@ from rollcall.operators.quantiles import describe, exact_quantiles
 from rollcall.plans.bound import Bound
 from rollcall.plans.oracle import AS_OF, LATEST, big, dbl, half_even, rate as rate_sql, tenure, where, years
 from rollcall.plans.checks import SQL as CHECKS
-from rollcall.plans.risk import _FLAGS
-from rollcall.riskmodel import features, train
+from rollcall.plans.risk import _FLAGS, CARD_BASE, CARD_FEATURES, card
+from rollcall.riskmodel import ensemble, features
 from rollcall.schema import REQUIRED
 from rollcall.sources import readers, sinks
 from rollcall.sources.scratch import scratch_folder
@@ -98,10 +98,9 @@ def _metrics_file(b: Bound):
 
 
 def _saved_model(b: Bound):
-    path = sinks.save_model(b.trained.model, _folder(b, "model"))
-    model, columns = sinks.load_model(path)
-    scored = train.score(model, b.matrix)
-    return scored.agg(
+    path = sinks.save_model(card(b), CARD_FEATURES, CARD_BASE, _folder(b, "model"))
+    table, columns, base = sinks.load_model(b.spark, path)
+    return ensemble.score(b.matrix, table, base).agg(
         F.count("*").alias("row_count"),
         F.lit(len(columns)).alias("feature_count"),
         F.round(F.avg("prob"), 6).alias("mean_prob"),
@@ -178,7 +177,10 @@ QUERIES = {
         _metrics_file,
         f"SELECT count(*) AS rows, {rate_sql(_EXITED)} AS attrition_rate_pct FROM employees",
     ),
-    "s12_model_file": (_saved_model, None),
+    "s12_model_file": (
+        _saved_model,
+        f"SELECT count(*) AS row_count, CAST({len(CARD_FEATURES)} AS BIGINT) AS feature_count, round(avg(prob), 6) AS mean_prob FROM carded",
+    ),
     # --- relational operators ---
     "r1_projection": (
         lambda b: relational.project(

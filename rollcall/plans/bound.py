@@ -14,9 +14,6 @@ from rollcall.schema import bands_frame, merit_frame, promotion_rules_frame
 from rollcall.sources.scratch import written
 from rollcall.sources.star import TEST_BANDS, TEST_DIFFICULTY, TRAIN_CUTOFF, bind
 
-# Rounds of the registered models; the library default is train.ROUNDS.
-ROUNDS = 20
-
 
 class Bound:
     """One data directory bound to one session; lazily built, built once."""
@@ -74,8 +71,7 @@ class Bound:
         return written(flows.feature_matrix(self.t.tables(), self.as_of), "matrix")
 
     def train(self) -> flows.Trained:
-        # Larger steps than the default, since there are fewer of them.
-        return flows.run_training(self.matrix, TRAIN_CUTOFF, rounds=ROUNDS, rate=0.1)
+        return flows.run_training(self.matrix, TRAIN_CUTOFF)
 
     @cached_property
     def trained(self) -> flows.Trained:

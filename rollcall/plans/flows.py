@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ def run_validation(
     tables = readers.load_raw(spark, directory, format=format)
     report = written(quality.validation_report(tables, bands_frame(spark), as_of), "validation")
     if report_path:
-        sinks.save_report(report, report_path)
+        sinks.save_report(report, report_path, as_of)
     return quality.all_passed(report)
 
 
@@ -84,7 +83,7 @@ def feature_matrix(tables: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame
 class Trained:
     """A fitted model, its feature columns and the rows on both sides of the split."""
 
-    model: PipelineModel
+    model: train.Ensemble
     columns: list[str]
     train: DataFrame
     test: DataFrame

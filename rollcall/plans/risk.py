@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.operators import rules
+from rollcall.operators import ranking, rules
 from rollcall.plans import flows
 from rollcall.plans.bound import Bound
 from rollcall.plans.oracle import AS_OF, LATEST, big, dbl, half_even, half_up, mean_int, tenure, where
-from rollcall.riskmodel import explain, features, metrics, scoring, train
+from rollcall.riskmodel import ensemble, explain, features, metrics, scoring, train
 from rollcall.schema import BONUSES, HIKES, PROMOTION_RULES
 from rollcall.sources.scratch import written
 from rollcall.sources.star import LEVEL_EDGES, MANAGER_DEPARTMENTS, TEST_DIFFICULTY, TRAIN_CUTOFF
@@ -173,6 +173,87 @@ CROSS JOIN LATERAL (SELECT count(*) AS m, count(*) FILTER (WHERE prob >= decisio
  count(*) FILTER (WHERE prob < decision_threshold AND attrition = 0) AS tn FROM scores WHERE {_TRAIN}) a"""
 
 
+# --- a fixed ensemble, which SQL can follow ----------------------------------
+# Tree, leaf, value, feature, low, high, share of training rows.
+_INF = float("inf")
+CARD_BASE = -1.25
+CARD = (
+    (0, 0, 0.75, "tenure_months", -_INF, 60.0, 0.5), (0, 0, 0.75, "avg_rating", -_INF, 3.0, 0.5),
+    (0, 1, 0.25, "tenure_months", -_INF, 60.0, 0.5), (0, 1, 0.25, "avg_rating", 3.0, _INF, 0.5),
+    (0, 2, -0.125, "tenure_months", 60.0, _INF, 0.5), (0, 2, -0.125, "promotion_count", -_INF, 2.0, 0.75),
+    (0, 3, -0.5, "tenure_months", 60.0, _INF, 0.5), (0, 3, -0.5, "promotion_count", 2.0, _INF, 0.25),
+    (1, 0, 0.5, "age", -_INF, 35.0, 0.375), (1, 0, 0.5, "billable_ratio", -_INF, 0.5, 0.5),
+    (1, 0, 0.5, "salary_growth_pct", -_INF, 0.0, 0.5),
+    (1, 1, 0.125, "age", -_INF, 35.0, 0.375), (1, 1, 0.125, "billable_ratio", -_INF, 0.5, 0.5),
+    (1, 1, 0.125, "salary_growth_pct", 0.0, _INF, 0.5),
+    (1, 2, -0.0625, "age", -_INF, 35.0, 0.375), (1, 2, -0.0625, "billable_ratio", 0.5, _INF, 0.5),
+    (1, 3, -0.25, "age", 35.0, 50.0, 0.375),
+    (1, 4, -0.375, "age", 50.0, _INF, 0.25),
+    (2, 0, 0.375, "gender_Female", 0.5, _INF, 0.375), (2, 0, 0.375, "total_learning_hours", -_INF, 800.0, 0.25),
+    (2, 1, -0.125, "gender_Female", 0.5, _INF, 0.375), (2, 1, -0.125, "total_learning_hours", 800.0, _INF, 0.75),
+    (2, 2, 0.0625, "gender_Female", -_INF, 0.5, 0.625),
+    (3, 0, 0.03125, None, None, None, None),
+)
+CARD_FEATURES = sorted({r[3] for r in CARD if r[3]})
+
+
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return f"'{v}'"
+    return f"CAST('{v}' AS DOUBLE)" if v in (_INF, -_INF) else repr(v)
+
+
+_CARD = "(VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in CARD)
+_CARD += ") card(tree, leaf, leaf_value, feature, low, high, share)"
+_LONG = " UNION ALL ".join(f"SELECT employee_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM matrix" for f in CARD_FEATURES)
+EXTRA["matrix"] = _MATRIX
+EXTRA["cells"] = _LONG
+EXTRA["met"] = f"""SELECT employee_id, value, card.*, CASE WHEN value > low AND value <= high THEN 1.0 ELSE 0.0 END AS met
+FROM cells JOIN {_CARD} ON card.feature = cells.feature"""
+EXTRA["carded"] = f"""SELECT m.*, 1 / (1 + exp(-(coalesce(s, 0.0) + {CARD_BASE} + {sum(r[2] for r in CARD if r[3] is None)}))) AS prob
+FROM matrix m LEFT JOIN (SELECT employee_id, sum(leaf_value) AS s FROM (SELECT employee_id, tree, leaf, any_value(leaf_value)
+ AS leaf_value FROM met GROUP BY ALL HAVING min(met) = 1.0) r GROUP BY employee_id) x USING (employee_id)"""
+# Over all orders in which up to three conditions become known.
+EXTRA["shapley"] = """SELECT employee_id, feature, any_value(value) AS value, sum(part) AS contribution
+FROM (SELECT a.employee_id, a.feature, a.value, a.leaf_value * (a.met - a.share) * CASE count(o.feature)
+ WHEN 0 THEN 1.0 WHEN 1 THEN (min(o.met) + min(o.share)) / 2
+ ELSE list(o.met ORDER BY o.feature)[1] * list(o.met ORDER BY o.feature)[2] / 3
+  + list(o.met ORDER BY o.feature)[1] * list(o.share ORDER BY o.feature)[2] / 6
+  + list(o.share ORDER BY o.feature)[1] * list(o.met ORDER BY o.feature)[2] / 6
+  + list(o.share ORDER BY o.feature)[1] * list(o.share ORDER BY o.feature)[2] / 3 END AS part
+ FROM met a LEFT JOIN met o ON o.employee_id = a.employee_id AND o.tree = a.tree AND o.leaf = a.leaf AND o.feature <> a.feature
+ GROUP BY a.employee_id, a.tree, a.leaf, a.feature, a.value, a.leaf_value, a.met, a.share) p GROUP BY employee_id, feature"""
+EXTRA["importance"] = """SELECT feature, round(avg(abs(contribution)), 6) AS mean_abs_contribution FROM shapley GROUP BY feature"""
+_CARD_EXPECTED = CARD_BASE
+for _tree, _leaf in sorted({r[:2] for r in CARD}):
+    _share = 1.0
+    for _r in CARD:
+        if _r[:2] == (_tree, _leaf):
+            _share, _value = _share * (1.0 if _r[6] is None else _r[6]), _r[2]
+    _CARD_EXPECTED += _share * _value
+
+
+def card(b: Bound):
+    return b.spark.createDataFrame(list(CARD), ensemble.SCHEMA)
+
+
+def _carded(b: Bound):
+    return ensemble.score(b.matrix, card(b), CARD_BASE)
+
+
+def _card_parts(b: Bound):
+    return written(ensemble.contributions(b.matrix, card(b)), "card-parts")
+
+
+def _card_worst(b: Bound):
+    worst = written(ranking.top(_carded(b), 1, F.desc("prob"), "employee_id"), "card-worst")
+    parts = ensemble.contributions(worst.drop("prob", "predicted_attrition"), card(b))
+    shown = explain.waterfall(parts, worst, ensemble.base_value(card(b), CARD_BASE))
+    return _at_nine(shown, "contribution", "prob", "base_value")
+
+
 def _split(b: Bound):
     scores = b.rule_scores.select("attrition", "joining_year", "prob")
     return features.time_split(written(scores, "scores"), TRAIN_CUTOFF)
@@ -343,9 +424,44 @@ QUERIES = {
         "SELECT CAST(least(floor(prob * 40), 39) AS BIGINT) AS bin, least(floor(prob * 40), 39) / 40 AS bin_start, "
         f"{big('attrition')} AS attrition, count(*) AS row_count FROM scores WHERE {_TEST} GROUP BY ALL",
     ),
+    # --- on the fixed ensemble, by joins and aggregates ---
+    "h5_scored_employees": (
+        lambda b: scoring.risk_columns(_carded(b)).select(
+            "employee_id", "attrition", "risk_score", "attrition_prob", "predicted_attrition", "risk_tier"
+        ),
+        f"""SELECT employee_id, {big("attrition")} AS attrition, round(prob * 100, 1) AS risk_score, round(prob, 4)
+ AS attrition_prob, CAST(prob >= 0.5 AS BIGINT) AS predicted_attrition, CASE WHEN round(prob * 100, 1) <= 0 THEN NULL
+ WHEN round(prob * 100, 1) <= 20 THEN 'Very Low' WHEN round(prob * 100, 1) <= 40 THEN 'Low'
+ WHEN round(prob * 100, 1) <= 60 THEN 'Medium' WHEN round(prob * 100, 1) <= 80 THEN 'High' ELSE 'Critical' END AS risk_tier
+FROM carded""",
+    ),
+    "n1_contributions": (
+        lambda b: _at_nine(ensemble.contributions(b.matrix, card(b)), "contribution"),
+        "SELECT employee_id, feature, value, round(contribution, 9) AS contribution FROM shapley",
+    ),
+    "n2_feature_importance": (
+        lambda b: explain.importance(_card_parts(b)),
+        "SELECT feature, mean_abs_contribution, rank() OVER (ORDER BY mean_abs_contribution DESC) AS rank FROM importance",
+    ),
+    "n3_contribution_spread": (
+        lambda b: _at_nine(explain.spread_of_top(_card_parts(b), 5), "contribution"),
+        """SELECT rank, feature, employee_id, value, round(contribution, 9) AS contribution FROM shapley JOIN (SELECT feature,
+ rank() OVER (ORDER BY mean_abs_contribution DESC) AS rank FROM importance QUALIFY row_number() OVER (
+ ORDER BY mean_abs_contribution DESC, feature) <= 5) t USING (feature)""",
+    ),
+    "n4_highest_risk": (
+        _card_worst,
+        f"""SELECT employee_id, feature, value, round(contribution, 9) AS contribution, round(prob, 9) AS prob,
+ round(CAST({_CARD_EXPECTED!r} AS DOUBLE), 9) AS base_value FROM shapley JOIN (SELECT employee_id, prob FROM carded
+ ORDER BY prob DESC, employee_id LIMIT 1) w USING (employee_id)""",
+    ),
+    "n5_dependence": (
+        lambda b: _at_nine(explain.dependence(_card_parts(b)), "contribution"),
+        "SELECT employee_id, value, round(contribution, 9) AS contribution FROM shapley WHERE feature = 'tenure_months'",
+    ),
     # --- on the boosted trees: no SQL counterpart ---
     "h2_boosted_trees": (lambda b: flows.run_evaluation(b.train()), None),
-    "h5_scored_employees": (
+    "h5_model_scores": (
         lambda b: _model_risk(b).select(
             "employee_id", "attrition", "risk_score", "attrition_prob", "predicted_attrition", "risk_tier"
         ),
@@ -358,13 +474,13 @@ QUERIES = {
     "i2_model_precision_recall": (lambda b: metrics.precision_recall_points(_model_test(b)), None),
     "i3_model_confusion_matrix": (lambda b: metrics.confusion_matrix(_model_test(b)), None),
     "i4_model_score_histogram": (lambda b: metrics.score_histogram(_model_test(b)), None),
-    "n1_contributions": (
+    "n1_model_contributions": (
         lambda b: explain.contributions(b.trained.model, b.trained.test, b.trained.columns),
         None,
     ),
-    "n2_feature_importance": (lambda b: b.explained["feature_importance"], None),
-    "n3_contribution_spread": (lambda b: b.explained["spread"], None),
-    "n4_highest_risk": (lambda b: b.explained["highest_risk"], None),
-    "n5_dependence": (lambda b: b.explained["dependence"], None),
+    "n2_model_importance": (lambda b: b.explained["feature_importance"], None),
+    "n3_model_spread": (lambda b: b.explained["spread"], None),
+    "n4_model_highest_risk": (lambda b: b.explained["highest_risk"], None),
+    "n5_model_dependence": (lambda b: b.explained["dependence"], None),
 }
 EXTRA["pc"] = "SELECT employee_id, count(*) AS n FROM projects WHERE billable GROUP BY employee_id"

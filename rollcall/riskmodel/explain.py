@@ -13,48 +13,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.functions.boosting import Tree
 from rollcall.functions.kernels import Leaf, leaf_contributions
 from rollcall.operators.ranking import average_ranks, top
-from rollcall.riskmodel.train import score
+from rollcall.riskmodel.train import Ensemble, score
 
-# MLlib's probability is 1 / (1 + exp(-2 margin)): twice the margin is the log-odds.
-LOG_ODDS = 2.0
 
-
-def _leaves(node, scale: float, path: dict[int, tuple[float, float, float]]) -> Iterator[Leaf]:
+def tree_leaves(tree: Tree, node: int = 0, path: dict[int, tuple[float, float, float]] | None = None) -> Iterator[Leaf]:
     """Leaves below ``node``: value and (feature, low, high, share) per feature on the path."""
-    if node.subtreeDepth() == 0:
-        yield scale * node.prediction(), [(f, *bounds) for f, bounds in path.items()]
+    path = path or {}
+    feature = int(tree.feature[node])
+    if feature < 0:
+        yield float(tree.value[node]), [(f, *bounds) for f, bounds in path.items()]
         return
-    split, here = node.split(), node.impurityStats().count()
-    feature, cut = split.featureIndex(), split.threshold()
+    cut, here = float(tree.cut[node]), int(tree.rows[node])
     low, high, share = path.get(feature, (-np.inf, np.inf, 1.0))
-    for child, bounds in ((node.leftChild(), (low, min(high, cut))), (node.rightChild(), (max(low, cut), high))):
-        part = child.impurityStats().count() / here
-        yield from _leaves(child, scale, {**path, feature: (*bounds, share * part)})
+    for child, bounds in ((2 * node + 1, (low, min(high, cut))), (2 * node + 2, (max(low, cut), high))):
+        yield from tree_leaves(tree, child, {**path, feature: (*bounds, share * (int(tree.rows[child]) / here))})
 
 
-def model_leaves(model: PipelineModel) -> list[Leaf]:
+def model_leaves(model: Ensemble) -> list[Leaf]:
     """All leaves of the ensemble; their number depends on rounds and depth only."""
-    gbt = model.stages[-1]
-    found: list[Leaf] = []
-    for tree, weight in zip(gbt.trees, gbt.treeWeights):
-        found.extend(_leaves(tree._call_java("rootNode"), LOG_ODDS * weight, {}))
-    return found
+    return [leaf for tree in model.trees for leaf in tree_leaves(tree)]
 
 
-def base_value(leaves: list[Leaf]) -> float:
+def base_value(model: Ensemble) -> float:
     """Expected log-odds when no feature is known."""
-    return float(sum(value * np.prod([c[3] for c in conditions]) for value, conditions in leaves))
+    leaves = model_leaves(model)
+    return model.base + float(sum(value * np.prod([c[3] for c in conditions]) for value, conditions in leaves))
 
 
-def contributions(model: PipelineModel, matrix: DataFrame, features: list[str]) -> DataFrame:
+def contributions(model: Ensemble, matrix: DataFrame, features: list[str]) -> DataFrame:
     """Contribution of every feature to the log-odds of every row.
 
     One row per employee and feature: employee_id, feature, value, contribution.
@@ -66,7 +59,7 @@ def contributions(model: PipelineModel, matrix: DataFrame, features: list[str])
         return leaf_contributions(vectors, leaves, width)
 
     explain = F.pandas_udf(batch, T.ArrayType(T.DoubleType()))
-    vectors = model.stages[0].transform(matrix).select("employee_id", vector_to_array("features").alias("_x"))
+    vectors = matrix.select("employee_id", F.array(*[F.col(f"`{f}`").cast("double") for f in features]).alias("_x"))
     explained = vectors.withColumn("_phi", explain("_x"))
     names = F.array(*[F.lit(f) for f in features])
     cells = F.arrays_zip(names.alias("feature"), F.col("_x").alias("value"), F.col("_phi").alias("contribution"))
@@ -88,12 +81,15 @@ def spread_of_top(parts: DataFrame, n: int = 15) -> DataFrame:
     return parts.join(F.broadcast(leading), "feature").select("rank", "feature", "employee_id", "value", "contribution")
 
 
-def highest_risk(model: PipelineModel, matrix: DataFrame, features: list[str]) -> DataFrame:
+def highest_risk(model: Ensemble, matrix: DataFrame, features: list[str]) -> DataFrame:
     """Explanation of the row with the highest score, largest contribution first."""
     scored = score(model, matrix)
     worst = top(scored, 1, F.desc("prob"), "employee_id")
-    base = base_value(model_leaves(model))
-    parts = contributions(model, worst.drop("prob", "predicted_attrition"), features)
+    return waterfall(contributions(model, worst.drop("prob", "predicted_attrition"), features), worst, base_value(model))
+
+
+def waterfall(parts: DataFrame, worst: DataFrame, base: float) -> DataFrame:
+    """The contributions of one scored row beside its score and the base value, largest first."""
     return (
         parts.join(worst.select("employee_id", "prob"), "employee_id")
         .withColumn("base_value", F.lit(base))

@@ -1,20 +1,45 @@
-"""Boosted trees on the feature matrix."""
+"""Boosted trees on the feature matrix, grown from second-order histograms.
+
+Values are turned into bins once. For each level of a tree, every task adds up
+gradients and Hessians of its rows by node, feature and bin, Spark sums these
+histograms over all tasks, and the driver, which sees nothing but the sums,
+chooses the splits. Gradients are whole numbers of a fixed unit, so sums do
+not depend on the order of tasks and a model can be trained again bit by bit.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollcall.sources.scratch import scratch_folder
+from rollcall.functions import boosting as tasks
+from rollcall.functions.boosting import Tree
+from rollcall.sources.scratch import discard, written
 
-ROUNDS, RATE, DEPTH, LEAF, SEED = 500, 0.03, 4, 50, 42
+ROUNDS, RATE, DEPTH, LEAF, L2, PATIENCE = 500, 0.03, 4, 50, 1.0, 30
 HOLDOUT = 15
+# Bins of a feature, and places a quantile may be off in a million rows.
+BINS, ACCURACY = 64, 20_000
+# Margins are written down after so many rounds, which bounds the trees a task applies again.
+SNAPSHOT = 50
+# Rows of a task; a job with fewer rows has fewer tasks.
+TASK_ROWS = 500_000
+
+
+@dataclass(frozen=True)
+class Ensemble:
+    """Fitted trees: the score is 1 / (1 + exp(-(base + sum of leaf values)))."""
+
+    features: tuple[str, ...]
+    base: float
+    trees: tuple[Tree, ...]
+    # Mean logarithmic loss on the held-out rows after 0, 1, 2, ... trees; empty without them.
+    losses: tuple[float, ...] = ()
 
 
 def held_out(percent: int = HOLDOUT) -> Column:
@@ -22,6 +47,48 @@ def held_out(percent: int = HOLDOUT) -> Column:
     return F.pmod(F.xxhash64("employee_id"), F.lit(100)) < percent
 
 
+def cut_points(data: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
+    """Ascending values of each feature that may part rows: a row goes left when its value is at most the cut."""
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    found = data.agg(*[F.percentile_approx(F.col(f"`{f}`").cast("double"), shares, ACCURACY).alias(f"q{i}") for i, f in enumerate(features)])
+    row = found.first()
+    return [np.unique(np.array([v for v in row[i] or [] if v == v], dtype=float)) for i in range(len(features))]
+
+
+def best_splits(sums: np.ndarray, leaf: int, l2: float) -> list[tuple[int, int, np.ndarray, np.ndarray] | None]:
+    """For each node, (feature, bin, sums left, sums right) of the greatest gain, or None.
+
+    ``sums`` is (node, feature, bin, [gradient, Hessian, rows]). Equal gains go
+    to the first feature and its lowest bin.
+    """
+    left = sums.cumsum(axis=2)
+    whole = left[:, :, -1:, :]
+    right = whole - left
+    worth = lambda s: s[..., 0] ** 2 / (s[..., 1] + l2)
+    gain = worth(left) + worth(right) - worth(whole)
+    gain = np.where((left[..., 2] >= leaf) & (right[..., 2] >= leaf), gain, -np.inf)
+    flat = gain.reshape(len(gain), -1)
+    out: list = []
+    for node, at in enumerate(flat.argmax(axis=1)):
+        f, b = divmod(int(at), gain.shape[2])
+        good = flat[node, at] > 1e-12
+        out.append((f, b, left[node, f, b], right[node, f, b]) if good else None)
+    return out
+
+
+def _histograms(blocks: DataFrame, job: dict) -> tuple[np.ndarray, float, int]:
+    """Sums over all tasks by (node, feature, bin), and loss and number of held-out rows."""
+    rows = blocks.mapInArrow(lambda it: tasks.histograms(it, job), "slot bigint, g bigint, h bigint, n bigint")
+    table = rows.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
+    slot = table["slot"].to_numpy()
+    cells = np.stack([table[c].to_numpy().astype(float) for c in ("g", "h", "n")], axis=1) / [tasks.UNIT, tasks.UNIT, 1]
+    nodes, features, bins = len(job["open"]), len(job["sizes"]), job["bins"]
+    sums = np.zeros((nodes * features * bins, 3))
+    sums[slot[slot >= 0]] = cells[slot >= 0]
+    loss = cells[slot < 0].sum(axis=0)
+    return sums.reshape(nodes, features, bins, 3), float(loss[0]), int(loss[2])
+
+
 def train(
     matrix: DataFrame,
     features: Sequence[str],
@@ -29,53 +96,94 @@ def train(
     rate: float = RATE,
     depth: int = DEPTH,
     leaf: int = LEAF,
+    l2: float = L2,
     holdout: int = HOLDOUT,
-    tolerance: float = 0.0,
+    patience: int = PATIENCE,
     weight: str | None = None,
-    seed: int = SEED,
-) -> PipelineModel:
-    """Fit gradient-boosted trees with early stopping on a held-out slice.
+    bins: int = BINS,
+) -> Ensemble:
+    """Fit gradient-boosted trees, stopping early on a held-out slice.
 
-    ``holdout`` percent of the rows, chosen by a hash of the key, decide when
-    to stop; 0 turns that off. MLlib has no L2 term on leaves.
+    ``holdout`` percent of the rows, chosen by a hash of the key, decide when to
+    stop: after ``patience`` rounds without a lower loss, and the trees up to the
+    lowest one are kept. 0 turns that off. A leaf has at least ``leaf`` rows and
+    the value -G / (H + l2). NULL and NaN values go right at every cut. Without rows,
+    or rows of both classes, there are no trees.
     """
-    context = matrix.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        # Boosting cuts its lineage there every few rounds.
-        context.setCheckpointDir(scratch_folder(matrix.sparkSession))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    gbt = GBTClassifier(
-        featuresCol="features",
-        labelCol="attrition",
-        maxIter=rounds,
-        stepSize=rate,
-        maxDepth=depth,
-        minInstancesPerNode=leaf,
-        seed=seed,
-        # Depth 4 needs node ids only; the cache avoids replaying all trees each round.
-        cacheNodeIds=True,
-        validationTol=tolerance,
+    features = tuple(features)
+    held = held_out(holdout) if holdout else F.lit(False)
+    values = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
+    data = matrix.select(
+        values.alias("x"),
+        F.col("attrition").cast("double").alias("y"),
+        held.alias("held"),
+        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
     )
-    if weight:
-        gbt = gbt.setWeightCol(weight)
-    data = matrix
-    if holdout:
-        data = data.withColumn("_held", held_out(holdout))
-        gbt = gbt.setValidationIndicatorCol("_held")
-    columns = [*features, "attrition", *(["_held"] if holdout else []), *([weight] if weight else [])]
-    return Pipeline(stages=[assembler, gbt]).fit(data.select(*columns))
+    cuts = cut_points(matrix.where(~held), features, bins)
+    fit = F.expr("CASE WHEN held THEN 0 ELSE w END")
+    rows, positive, total = data.agg(F.count("*"), F.sum(fit * F.col("y")), F.sum(fit)).first()
+    if not rows or not positive or positive == total:
+        share = min(max((positive or 0.0) / (total or 1.0), 1e-6), 1 - 1e-6)
+        return Ensemble(features, float(np.log(share / (1 - share))), ())
+    base = float(np.log(positive / (total - positive)))
+    few = data.coalesce(max(1, -(-rows // TASK_ROWS)))
+    blocks = written(few.mapInArrow(lambda it: tasks.binned(it, cuts, base), tasks.BLOCK), "blocks")
+
+    sizes = [len(c) + 1 for c in cuts]
+    job: dict = {"sizes": sizes, "bins": max(sizes)}
+    trees: list[Tree] = []
+    recent: list[Tree] = []
+    losses: list[float] = []
+    best = 0
+    while True:
+        tree = Tree.empty(depth)
+        live = [0]
+        for level in range(depth + 1):
+            last = level == depth or len(trees) == rounds
+            if level and (last or not live):
+                break
+            sums, loss, n_held = _histograms(blocks, job | {"recent": recent, "tree": tree, "open": live, "loss": level == 0})
+            if level == 0 and n_held:
+                losses.append(loss / n_held)
+                best = int(np.argmin(losses))
+            if level == 0:
+                # The whole is the same in every feature.
+                tree.fill(0, sums[0, 0].sum(axis=0), rate, l2)
+                if last or (n_held and len(trees) - best >= patience):
+                    live = []
+                    break
+            onward = []
+            for node, found in zip(live, best_splits(sums, leaf, l2), strict=True):
+                if found:
+                    f, b, left, right = found
+                    if b < len(cuts[f]):
+                        tree.split(node, f, b, float(cuts[f][b]))
+                        tree.fill(2 * node + 1, left, rate, l2)
+                        tree.fill(2 * node + 2, right, rate, l2)
+                        onward += [2 * node + 1, 2 * node + 2]
+            live = onward
+        if tree.feature[0] < 0:
+            break
+        trees.append(tree)
+        recent.append(tree)
+        if len(recent) == SNAPSHOT:
+            moved = written(blocks.mapInArrow(lambda it, r=tuple(recent): tasks.advanced(it, r), tasks.BLOCK), "blocks")
+            discard(blocks)
+            blocks, recent = moved, []
+    discard(blocks)
+    kept = trees[:best] if losses else trees
+    return Ensemble(features, base, tuple(kept), tuple(losses))
 
 
-def score(model: PipelineModel, matrix: DataFrame, threshold: float = 0.5) -> DataFrame:
+def score(model: Ensemble, matrix: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Add ``prob`` (attrition probability) and ``predicted_attrition`` at ``threshold``."""
-    prob = F.element_at(vector_to_array("probability"), 2)
-    return (
-        model.transform(matrix)
-        .withColumn("prob", prob)
-        .withColumn("predicted_attrition", (F.col("prob") >= threshold).cast("int"))
-        .drop("features", "rawPrediction", "probability", "prediction")
+    trees, base = model.trees, model.base
+    margin = F.pandas_udf(lambda x: tasks.margins(x, trees, base), T.DoubleType())
+    values = F.struct(*[F.col(f"`{f}`").cast("double").alias(f"x{i}") for i, f in enumerate(model.features)])
+    return matrix.withColumn("prob", 1 / (1 + F.exp(-margin(values)))).withColumn(
+        "predicted_attrition", (F.col("prob") >= threshold).cast("int")
     )
 
 
-def rounds_used(model: PipelineModel) -> int:
-    return model.stages[-1].getNumTrees
+def rounds_used(model: Ensemble) -> int:
+    return len(model.trees)

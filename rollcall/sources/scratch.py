@@ -30,6 +30,11 @@ def scratch_folder(spark: SparkSession) -> str:
     return _own_folder[app]
 
 
+def remember(spark: SparkSession, path: str) -> None:
+    """Let ``release`` delete ``path`` too."""
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` as a parquet table in the scratch folder.
 
@@ -39,15 +44,27 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/rollcall/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    remember(spark, path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete one table that ``written`` has returned; nothing may read it any more."""
+    spark, path = table.sparkSession, table._scratch_path
+    _tables[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> int:
     """Delete the tables this session has written; results read from them end with them."""
     paths = _tables.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, name)
     return len(paths)

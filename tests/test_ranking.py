@@ -1,5 +1,6 @@
 """Ranks, tiles, lags and quantiles against plain windows, with hot values."""
 
+import math
 import random
 
 import numpy as np
@@ -127,3 +128,32 @@ def test_no_base_rows_in_a_single_task(skewed):
     for line in plan.splitlines():
         if "SinglePartition" in line:
             assert "Aggregate" in plan.split(line, 1)[1].splitlines()[1]
+
+
+@pytest.mark.parametrize("few", [5_000, 3, 0])
+def test_quantiles_by_many_passes(spark, monkeypatch, few):
+    """Ties, signs, infinities and gaps; with ``few`` at 0 every value is found by counting alone."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "ACCURACY", 20)
+    rng = random.Random(few)
+    rows = [(rng.choice([0.0, -1.5, 7.0, 1e300]) if i % 3 else rng.gauss(0, 1e6), float(rng.randint(0, 9)), None) for i in range(700)]
+    rows += [(float("inf"), None, None), (float("-inf"), 4.0, None), (None, 4.0, None)]
+    df = spark.createDataFrame(rows, "`a b` double, c double, empty double").repartition(5)
+    asked = {"low": 0.0, "q": 0.25, "m": 0.5, "odd": 0.377, "high": 1.0}
+    got = {r["column_name"]: r for r in quantiles.exact_quantiles(df, ["a b", "c", "empty"], asked).collect()}
+    assert set(got) == {"a b", "c"}
+    for i, name in enumerate(["a b", "c"]):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        for label, q in asked.items():
+            spot = q * (len(values) - 1)
+            a, b = values[math.floor(spot)], values[math.ceil(spot)]
+            assert got[name][label] == (a if a == b else a + (b - a) * (spot - math.floor(spot)))
+
+
+def test_quantiles_write_nothing(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a table was written")
+
+    monkeypatch.setattr(ranking, "written", refuse)
+    assert quantiles.exact_quantiles(spark.range(101), ["id"], {"m": 0.5}).first()["m"] == 50.0
+    assert quantiles.describe(spark.range(0), "id").first()["median"] is None

@@ -26,6 +26,12 @@ SAMPLE = (
     "m7_scorecard",
     "t7_college_tier_curves",
     "t11_logrank_statistic",
+    "t11_logrank_test",
+    "h5_scored_employees",
+    "n1_contributions",
+    "n3_contribution_spread",
+    "n4_highest_risk",
+    "s12_model_file",
     "g10_feature_matrix",
     "z2_merit_cycle",
     "z3_attrition_score",

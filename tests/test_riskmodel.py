@@ -257,7 +257,7 @@ def test_contributions_add_up_to_the_score(model):
     fitted, df = model
     parts = explain.contributions(fitted, df, ["a", "b", "c"])
     assert parts.count() == 3 * df.count()
-    base = explain.base_value(explain.model_leaves(fitted))
+    base = explain.base_value(fitted)
     sums = {r[0]: r[1] for r in parts.groupBy("employee_id").agg(F.sum("contribution")).collect()}
     for r in train.score(fitted, df).select("employee_id", "prob").collect():
         assert 1 / (1 + math.exp(-(base + sums[r["employee_id"]]))) == pytest.approx(r["prob"], abs=1e-12)

@@ -1,9 +1,11 @@
 """Readers, sinks, scratch tables and the binding."""
 
 import datetime as dt
+import uuid
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.plans import flows
 from rollcall.schema import FILES, REQUIRED, TABLES
@@ -105,6 +107,45 @@ def test_sinks_round_trip(spark, tmp_path):
     assert back.first()["generated_at"] == "2020-01-01T00:00:00" and "violations" not in back.columns
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
+def test_a_failed_overwrite_keeps_the_old_table(spark, tmp_path, kind):
+    """A task fails midway; what was there stays, and nothing else is left."""
+    path = str(tmp_path / "table")
+    good = spark.createDataFrame([(i, f"line {i}\nnext") for i in range(20)], "a int, b string").repartition(4)
+    sinks.save_dataframe(good, path, kind)
+    bad = good.withColumn("b", F.when(F.col("a") == 13, F.raise_error(F.lit("midway"))).otherwise(F.col("b")))
+    with pytest.raises(Exception, match="midway"):
+        sinks.save_dataframe(bad, path, kind)
+    back = spark.read.options(header=True, multiLine=kind == "csv").schema("a int, b string").format(kind).load(path)
+    assert sorted((r.a, r.b) for r in back.collect()) == [(i, f"line {i}\nnext") for i in range(20)]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["table"]
+    sinks.save_dataframe(good.where("a < 5"), path, kind)
+    assert spark.read.options(header=True, multiLine=kind == "csv").schema("a int, b string").format(kind).load(path).count() == 5
+
+
+def test_a_short_write_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    path = sinks.save_dataframe(spark.range(10), str(tmp_path / "table"))
+    monkeypatch.setattr(sinks, "_rows_below", lambda *_: 3)
+    with pytest.raises(RuntimeError, match="4 rows were written, 3 are there"):
+        sinks.save_dataframe(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 10 and len(list(tmp_path.iterdir())) == 1
+
+
+@pytest.mark.parametrize("placed", [True, False])
+def test_failed_catalogue_tables_keep_their_rows(spark, tmp_path, placed):
+    place = str(tmp_path / "tables") if placed else None
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    (name,) = sinks.save_tables({"x": spark.range(7)}, prefix=prefix, location=place)
+    bad = spark.range(9).select(F.when(F.col("id") == 5, F.raise_error(F.lit("midway")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="midway"):
+        sinks.save_tables({"x": bad}, prefix=prefix, location=place)
+    assert spark.table(name).count() == 7
+    sinks.save_tables({"x": spark.range(3)}, prefix=prefix, location=place)
+    assert spark.table(name).count() == 3
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)] == [name]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_binding_facts(spark):
     t = bind(spark, SMALL)
     assert {r["status"]: r["count"] for r in t.employees.groupBy("status").count().collect()} == {"Active": 118, "Exited": 32}

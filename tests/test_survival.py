@@ -1,11 +1,13 @@
 """Curves and tests against brute force."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.functions import special
 from rollcall.operators import survival
 
 
@@ -79,7 +81,7 @@ def test_logrank_matches_brute_force(spark):
     rng = random.Random(2)
     rows = [(float(rng.randint(1, 30)), int(rng.random() < 0.6), rng.choice("abc")) for _ in range(300)]
     got = survival.logrank_statistics(spells(spark, rows), "college_tier").collect()
-    assert [(r["group_1"], r["group_2"]) for r in got] == [("a", "b"), ("a", "c"), ("b", "c")]
+    assert sorted((r["group_1"], r["group_2"]) for r in got) == [("a", "b"), ("a", "c"), ("b", "c")]
     for r in got:
         parts = [[x for x in rows if x[2] == g] for g in (r["group_1"], r["group_2"])]
         assert r["test_stat"] == pytest.approx(brute_logrank(*parts), rel=1e-10)
@@ -92,15 +94,6 @@ def test_logrank_of_equal_groups(spark):
     assert (row["test_stat"], row["p_value"], row["significant"]) == (0.0, 1.0, "No")
 
 
-def test_chi_square_tail():
-    import pandas as pd
-
-    from rollcall.functions.kernels import chi2_tail
-
-    assert chi2_tail(pd.Series([3.841458820694124]))[0] == pytest.approx(0.05, abs=1e-9)
-    assert pd.isna(chi2_tail(pd.Series([float("nan")]))[0])
-
-
 def test_input_censors_and_drops(spark):
     d = dt.date
     emp = spark.createDataFrame(
@@ -143,3 +136,32 @@ def test_executive_summary_not_reached_and_ties(spark):
     assert got["Retention at 36 months (%)"] == "100.0"
     assert got["Best Retention College Tier"] == got["Worst Retention College Tier"] == "Tier-1"
     assert survival.tier_order(tiers).select(F.count("*")).first()[0] == 2
+
+
+def test_erfc_equals_the_library(spark):
+    values = [0.0, 1e-9, 0.1, 0.5, 1.0, 1.9999, 2.0, 2.0001, 3.0, 5.5, 12.0, 26.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "z double")
+    got = [r[0] for r in df.select(special.erfc(F.col("z"))).collect()]
+    assert got[-1] is None
+    assert all(g == pytest.approx(math.erfc(v), rel=1e-9, abs=1e-15) for g, v in zip(got, values))
+    tails = df.where("z IS NOT NULL").select(special.chi2_tail(F.col("z"))).collect()
+    assert [r[0] for r in tails] == pytest.approx([math.erfc(math.sqrt(v / 2)) for v in values], rel=1e-9, abs=1e-15)
+
+
+def test_logrank_of_many_cohorts(spark):
+    """All pairs of 200 cohorts; three of them against brute force."""
+    rng = random.Random(12)
+    rows = [(rng.randint(1, 40) / 2, int(rng.random() < 0.5), f"g{i % 200:03d}") for i in range(4000)]
+    got = {(r["group_1"], r["group_2"]): r["test_stat"] for r in survival.logrank_statistics(spells(spark, rows), "college_tier").collect()}
+    assert len(got) == 200 * 199 // 2
+    for a, b in (("g000", "g001"), ("g007", "g199"), ("g100", "g150")):
+        parts = [[r for r in rows if r[2] == x] for x in (a, b)]
+        assert got[a, b] == pytest.approx(brute_logrank(*parts), rel=1e-9)
+    some = survival.logrank_statistics(spells(spark, rows), "college_tier", ["g003", "g001", "g002"]).collect()
+    assert {(r["group_1"], r["group_2"]) for r in some} == {("g001", "g002"), ("g001", "g003"), ("g002", "g003")}
+
+
+def test_cohorts_without_events_have_no_statistic(spark):
+    rows = [(1.0, 0, "a"), (2.0, 0, "b"), (1.0, 1, "c")]
+    got = {(r["group_1"], r["group_2"]): r["test_stat"] for r in survival.logrank_statistics(spells(spark, rows), "college_tier").collect()}
+    assert got.keys() == {("a", "b"), ("a", "c"), ("b", "c")} and got["a", "b"] is None

@@ -16,7 +16,7 @@ from rollcall.llm.support import Scratch, table
 
 
 def language(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
-    """Drop documents without a recognisable language: no letter, or no text."""
+    """Drop documents without a letter, and longer ones unlike any language that could be learned."""
     return langid.identified(docs)
 
 

@@ -87,7 +87,8 @@ def lookahead(merges: list[tuple[bytes, bytes]]) -> int:
 class Model:
     """Merge ranks, token bytes and special tokens of a vocabulary file."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, reach: int | None = None):
+        """``reach`` is the lookahead, where it is known already."""
         data = json.loads(text)
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
@@ -95,7 +96,7 @@ class Model:
         vocab = {raw(t): i for t, i in data["model"]["vocab"].items() if t not in self.special}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in data["model"]["merges"]]
         merges = [(raw(a), raw(b)) for a, b in pairs]
-        self.lookahead = lookahead(merges)
+        self.lookahead = lookahead(merges) if reach is None else reach
         self.ids = vocab
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for r, (a, b) in enumerate(merges):
@@ -183,25 +184,28 @@ class Transducer:
 
 
 class Words(dict):
-    """Little-endian 32-bit ids by word; words not met yet are encoded when asked for."""
+    """Little-endian 32-bit ids by word; the transducer reads words not met yet.
+
+    Words of up to WORD_BYTES bytes are remembered, so the memory is bounded.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
+        self.read = 0
 
     def __missing__(self, word: str) -> bytes:
         data = word.encode("utf-8", "surrogatepass")
+        unit, out, step = Transducer(self.model), [], self.model.lookahead
+        self.read += 1
+        for i in range(0, len(data), step):
+            out += unit.feed(data[i : i + step])
+        packed = np.array(out + unit.finish(), dtype="<u4").tobytes()
         if len(data) <= WORD_BYTES:
-            ids = self.model.merge(data)
             if len(self) >= REMEMBERED:
                 self.clear()
-            self[word] = packed = np.array(ids, dtype="<u4").tobytes()
-            return packed
-        unit, out = Transducer(self.model), []
-        step = max(WORD_BYTES, self.model.lookahead)
-        for i in range(0, len(data), step):
-            out += unit.feed(data[i : i + step])
-        return np.array(out + unit.finish(), dtype="<u4").tobytes()
+            self[word] = packed
+        return packed
 
 
 class Encoder:
@@ -314,50 +318,69 @@ class TextDecoder:
         return out
 
 
-def decode(packed: bytes, model: Model) -> Iterator[str]:
-    """Text of packed ids, in pieces."""
-    ids, unit = np.frombuffer(packed, dtype="<u4"), TextDecoder()
-    for i in range(0, len(ids), PIECE):
-        yield unit.feed(b"".join(map(model.bytes.__getitem__, ids[i : i + PIECE].tolist())))
+def decode(parts: Iterable[bytes], model: Model) -> Iterator[str]:
+    """Text of packed ids that come in parts."""
+    unit = TextDecoder()
+    for packed in parts:
+        ids = np.frombuffer(packed, dtype="<u4")
+        for i in range(0, len(ids), PIECE):
+            yield unit.feed(b"".join(map(model.bytes.__getitem__, ids[i : i + PIECE].tolist())))
     yield unit.finish()
 
 
-def coded(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(model)
+def hashed(parts: Iterable[bytes], digest) -> Iterator[bytes]:
+    """The same parts, each added to ``digest`` as it passes."""
+    for packed in parts:
+        digest.update(packed)
+        yield packed
+
+
+def coded(batches: Iterator[pa.RecordBatch], vocabulary: str, reach: int) -> Iterator[pa.RecordBatch]:
+    """Encode and decode texts part by part: neither all ids nor the decoded text of one are ever held."""
+    encoder = Encoder(Model(vocabulary, reach))
     for batch in batches:
         counts, ids_sha, text_sha = [], [], []
         for value in batch.column(1):
             text = value.as_py() or ""
-            if len(text) <= PIECE and not (encoder.split and encoder.split.search(text)):
-                packed = encoder.whole(text)
-            else:
-                packed = b"".join(encoder.encode(text[i : i + PIECE] for i in range(0, len(text), PIECE)))
-            back = hashlib.sha256()
-            for part in decode(packed, model):
+            ids, back = hashlib.sha256(), hashlib.sha256()
+            parts = encoder.encode(text[i : i + PIECE] for i in range(0, len(text), PIECE))
+            n_bytes = [0]
+            for part in decode(hashed(counted(parts, n_bytes), ids), encoder.model):
                 back.update(part.encode("utf-8", "surrogatepass"))
-            counts.append(len(packed) // 4)
-            ids_sha.append(hashlib.sha256(packed).hexdigest())
+            counts.append(n_bytes[0] // 4)
+            ids_sha.append(ids.hexdigest())
             text_sha.append(back.hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
 
-def load(path: str) -> Model:
-    """The model of a vocabulary file that the driver can read."""
+def counted(parts: Iterable[bytes], total: list[int]) -> Iterator[bytes]:
+    """The same parts; ``total[0]`` grows by their bytes."""
+    for packed in parts:
+        total[0] += len(packed)
+        yield packed
+
+
+def load(path: str) -> str:
+    """The text of a vocabulary file that the driver can read."""
     with open(path, encoding="utf-8") as f:
-        return Model(f.read())
+        return f.read()
 
 
-def round_trip(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row; NULL texts are empty and have no tokens.
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row of ``docs``.
 
-    The vocabulary has a fixed size, so it is broadcast.
+    NULL texts are empty and have no tokens; repeated rows are answered each
+    time; no rows give none; a text of any length is read in pieces. Columns
+    besides doc_id and text are not looked at. The vocabulary has a fixed size, so its text is
+    broadcast; tasks build the model from it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    reach = Model(vocabulary).lookahead
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        lambda it: coded(it, shared.value), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        lambda it: coded(it, shared.value, reach), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
 
 

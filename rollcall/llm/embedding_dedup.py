@@ -15,7 +15,6 @@ few links count apart from those with many, so a hot group hides no missing pair
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ NEIGHBOURS, STARTERS, ROUNDS = 10, 3, 3
 # A round that finds fewer new links than this share of those known is the last one.
 SETTLED = 0.001
 # Vectors the recall is audited on, and the recall asked for.
-AUDITED, RECALL = 1000, 0.97
+AUDITED, RECALL, MOST_ATTEMPTS = 1000, 0.97, 12
 # Cosines this near to the threshold may fall on either side of it by rounding: no link is missed there.
 ROUNDING = 1e-12
 EDGE = "u bigint, v bigint, sim double"
@@ -252,25 +251,32 @@ def degrees(listed: DataFrame, scanned: DataFrame, vectors: DataFrame) -> DataFr
     return joined_small(listed, scanned.select("id"), "id", "left_anti").select("id", "links").union(exact)
 
 
-def brute(batches: Iterator[pa.RecordBatch], ids: np.ndarray, x: np.ndarray, comps: np.ndarray) -> Iterator[pa.RecordBatch]:
+def brute(batches: Iterator[pa.RecordBatch], asked: list[tuple[int, bytes, int]]) -> Iterator[pa.RecordBatch]:
     """Links of the audited vectors with the vectors of one partition, and those within scanned components."""
+    ids, comps = np.array([r[0] for r in asked]), np.array([r[2] for r in asked])
+    sizes = np.array([len(r[1]) for r in asked])
+    groups = [(rows, matrix([asked[i][1] for i in rows])) for rows in (np.flatnonzero(sizes == w) for w in np.unique(sizes))]
     total, inside = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
     for batch in batches:
         units_ = batch.column(2).to_pylist()
-        fit = [k for k, u in enumerate(units_) if len(u) == 8 * x.shape[1]]
-        if fit:
-            y = matrix([units_[k] for k in fit])
-            other, copies = batch.column(0).to_numpy()[fit], batch.column(1).to_numpy()[fit]
-            near = (x @ y.T >= THRESHOLD + ROUNDING) & (ids[:, None] != other[None, :])
-            total += near @ copies
-            inside += (near & (comps[:, None] == batch.column(3).to_numpy()[fit][None, :])) @ copies
+        for rows, x in groups:
+            fit = [k for k, u in enumerate(units_) if len(u) == 8 * x.shape[1]]
+            if fit:
+                y = matrix([units_[k] for k in fit])
+                other, copies = batch.column(0).to_numpy()[fit], batch.column(1).to_numpy()[fit]
+                near = (x @ y.T >= THRESHOLD + ROUNDING) & (ids[rows][:, None] != other[None, :])
+                total[rows] += near @ copies
+                inside[rows] += (near & (comps[rows][:, None] == batch.column(3).to_numpy()[fit][None, :])) @ copies
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total), pa.array(inside)], names=["id", "truth", "inside"])
 
 
-def recall_of(truth: np.ndarray, links: np.ndarray) -> float:
-    """The lowest of: the share of links known, and the shares of vectors with few and with many links that have all known."""
+def recall_of(truth: np.ndarray, links: np.ndarray) -> float | None:
+    """The lowest of: the share of links known, and the shares of vectors with few and with many links that have all known.
+
+    None where no audited vector has a link: nothing is measured then.
+    """
     if not truth.any():
-        return 1.0
+        return None
     shares = [np.minimum(truth, links).sum() / truth.sum()]
     for group in ((truth > 0) & (truth < NEIGHBOURS), truth >= NEIGHBOURS):
         if group.any():
@@ -278,27 +284,36 @@ def recall_of(truth: np.ndarray, links: np.ndarray) -> float:
     return float(min(shares))
 
 
-def audit(listed: DataFrame, scanned: DataFrame, vectors: DataFrame) -> float:
-    """Recall on at most AUDITED vectors (ids divisible by 50, smallest hash first), by links and by vectors.
+def audit(listed: DataFrame, scanned: DataFrame, vectors: DataFrame, scratch: Scratch) -> float | None:
+    """Recall on all vectors whose id is divisible by 50, by links and by vectors.
 
-    Known are the links within scanned components, and the listed ones of other vectors.
+    They are compared with all vectors in blocks of AUDITED, each of which is
+    shipped to the tasks. Known are the links within scanned components, and the
+    listed ones of other vectors.
     """
     vectors = marked(vectors, scanned).select("id", "copies", "unit", "comp")
-    sample = vectors.where(F.col("id") % 50 == 0).orderBy(F.xxhash64("id")).limit(AUDITED).select("id", "unit", "comp").collect()
-    width = max([len(r["unit"]) for r in sample], default=0)
-    sample = [r for r in sample if len(r["unit"]) == width]
-    if not sample:
-        return 1.0
-    ids, x, comps = np.array([r["id"] for r in sample]), matrix([r["unit"] for r in sample]), np.array([r["comp"] for r in sample])
-    truth = vectors.mapInArrow(lambda it: brute(it, ids, x, comps), "id bigint, truth bigint, inside bigint")
-    truth = truth.groupBy("id").agg(F.sum("truth").alias("truth"), F.sum("inside").alias("inside"))
+    sample = vectors.where(F.col("id") % 50 == 0)
+    blocks = -(-sample.count() // AUDITED)
+    dealt = scratch.save(sample.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(blocks, 1)))), "asked")
+    truths, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     rest = joined_small(listed, scanned.select("id"), "id", "left_anti").select("id", "links")
-    both = truth.join(rest, "id", "left").select("truth", (F.col("inside") + F.coalesce("links", F.lit(0))).alias("links")).collect()
-    return recall_of(np.array([r["truth"] for r in both]), np.array([r["links"] for r in both]))
+    for i in range(blocks):
+        asked = [(r["id"], bytes(r["unit"]), r["comp"]) for r in dealt.where(F.col("block") == i).collect()]
+        if not asked:
+            continue
+        found = vectors.mapInArrow(lambda it, a=asked: brute(it, a), "id bigint, truth bigint, inside bigint")
+        found = found.groupBy("id").agg(F.sum("truth").alias("truth"), F.sum("inside").alias("inside"))
+        both = found.join(rest, "id", "left").select("truth", (F.col("inside") + F.coalesce("links", F.lit(0))).alias("links")).collect()
+        truths.append(np.array([r["truth"] for r in both], np.int64))
+        links.append(np.array([r["links"] for r in both], np.int64))
+    return recall_of(np.concatenate(truths), np.concatenate(links))
 
 
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
-    """One row per row of ``embeddings``: vec_id, n_links, component_id, kept, audit_recall.
+    """One row per row of ``embeddings``: vec_id, n_links, component_id, kept, audit_recall, attempts.
+
+    ``attempts`` is how often new trees were planted. ``audit_recall`` is NULL where no audited vector has a
+    link. It is at least RECALL unless MOST_ATTEMPTS did not get there, which it then shows.
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components link with
     nothing, and neither do vectors of different widths. Equal vectors are one
@@ -317,7 +332,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     links, recall = None, 0.0
     known, scanned = None, None
     # Any two vectors that link may share a leaf of the next trees, so the recall gets there.
-    for attempt in itertools.count():
+    for attempt in range(MOST_ATTEMPTS):
         apart = vectors.withColumn("comp", F.col("id")) if scanned is None else marked(vectors, scanned)
         edges = scratch.save(seeds(apart, n, attempt, scratch), "edges")
         known = scratch.save(lists(edges if known is None else outside(known, scanned).union(edges)).select("u", "v", "sim"), "lists")
@@ -338,14 +353,15 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         listed, scanned = saturated(links, parts, vectors, scratch)
         # A list full of links may hide more of them outside the component, so lists without the component follow.
         full = known.where(F.col("sim") >= THRESHOLD).groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS)
-        if full.limit(1).count() == 0:
-            recall = audit(listed, scanned, vectors)
-            if recall >= RECALL:
+        last = attempt + 1 == MOST_ATTEMPTS
+        if last or full.limit(1).count() == 0:
+            recall = audit(listed, scanned, vectors, scratch)
+            if last or recall is None or recall >= RECALL:
                 break
-        scratch.drop("codes", "full", "edges")
+        scratch.drop("codes", "full", "edges", "asked")
 
     found = scratch.save(degrees(listed, scanned, vectors), "found")
-    scratch.drop("codes", "full", "edges", "lists", "dense", "degrees", "scanned")
+    scratch.drop("codes", "full", "edges", "asked", "lists", "dense", "degrees", "scanned")
     of_unit = vectors.select(F.col("unit").alias("_unit"), "id", "copies")
     used = valid.select(F.col("vec_id").alias("_id"), F.col("unit").alias("_used"))
     out = rows.join(used, (F.col("vec_id") == F.col("_id")) & (F.col("unit") == F.col("_used")), "left")
@@ -358,7 +374,8 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         links_.cast("bigint").alias("n_links"),
         component.alias("component_id"),
         (F.col("vec_id") == component).alias("kept"),
-        F.lit(recall).alias("audit_recall"),
+        F.lit(recall).cast("double").alias("audit_recall"),
+        F.lit(attempt + 1).cast("bigint").alias("attempts"),
     ).fillna({"kept": False})
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.support import by_value, crc_part, table
+from rollcall.llm.support import Scratch, by_value, crc_part, table
 
 by_value(__name__)
 
@@ -27,6 +27,10 @@ SEED = 20_240_611
 # Characters bundled at once, and the largest alphabet numbered without hashing.
 CHUNK = 400_000
 ALPHABET = 160
+# A text with fewer different n-grams is never rejected: its cosine says too little. The cosine under which one in
+# RARE of a language's longer training texts lies, times SLACK, is the least a text of that language must have.
+ENOUGH, RARE, SLACK = 32, 200, 0.5
+BINS = 1000
 # Cells of the dense count matrix (documents by n-grams) of one multiplication.
 CELLS = 4_000_000
 
@@ -123,11 +127,18 @@ def places(begins: np.ndarray, n: int) -> np.ndarray:
     return np.where(owner[: n - 2] == owner[2:n], owner[: n - 2], -1) if n > 2 else np.zeros(0, np.int64)
 
 
-def bundle(texts: list[str | None], rows: list[int], groups: np.ndarray, n_groups: int, letters: Letters) -> np.ndarray:
-    """Sums of n-gram vectors of the texts of each group; ``groups`` numbers the rows' groups."""
+def bundle(
+    texts: list[str | None], rows: list[int], groups: np.ndarray, n_groups: int, letters: Letters, sizes: list[int] | None = None
+) -> np.ndarray:
+    """Sums of n-gram vectors of the texts of each group; ``groups`` numbers the rows' groups.
+
+    ``sizes`` takes the number of different n-grams of each group.
+    """
     out = np.zeros((n_groups, letters.width))
     seq, begins = sequence(texts, rows, letters)
     if len(seq) < 3:
+        if sizes is not None:
+            sizes += [0] * n_groups
         return out
     grams, at = numbered(seq)
     owner = places(begins, len(seq))
@@ -140,7 +151,10 @@ def bundle(texts: list[str | None], rows: list[int], groups: np.ndarray, n_group
         hi = min(n_groups, lo + step)
         here = (owner >= lo) & (owner < hi) if (lo, hi) != (0, n_groups) else slice(None)
         counts = np.bincount((owner[here] - lo) * total + at[here], minlength=(hi - lo) * total)
-        out[lo:hi] = counts.reshape(hi - lo, total).astype(np.float32) @ vectors
+        counts = counts.reshape(hi - lo, total)
+        out[lo:hi] = counts.astype(np.float32) @ vectors
+        if sizes is not None:
+            sizes += np.count_nonzero(counts, axis=1).tolist()
     return out
 
 
@@ -166,9 +180,11 @@ def predict(batches: Iterator[pa.RecordBatch], names: list[str], prototypes: np.
     letters = Letters()
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-        langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+        langs, scores, grams = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for rows in chunks(texts) if names else ():
-            sums = bundle(texts, rows, np.arange(len(rows)), len(rows), letters)
+            sizes: list[int] = []
+            sums = bundle(texts, rows, np.arange(len(rows)), len(rows), letters, sizes)
+            grams[rows] = sizes
             norms = np.linalg.norm(sums, axis=1)
             cosines = (sums @ prototypes.T) / np.maximum(norms, 1e-12)[:, None]
             best = cosines.argmax(axis=1)
@@ -179,7 +195,7 @@ def predict(batches: Iterator[pa.RecordBatch], names: list[str], prototypes: np.
         rest = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"]
         fields = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*rest, pa.array(langs, pa.string()), pa.array(scores)], names=[*fields, "lang_pred", "score"]
+            [*rest, pa.array(langs, pa.string()), pa.array(scores), pa.array(grams)], names=[*fields, "lang_pred", "score", "n_grams"]
         )
 
 
@@ -209,18 +225,20 @@ def prototypes(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score per row of ``docs``.
+    """doc_id, held_out, lang_pred, score, n_grams per row of ``docs``.
 
     Prototypes are learned from rows whose crc32(doc_id) mod 4 is not 2. Texts
     that are NULL or have no letter get ``und`` and score 0, and so does
-    every text if nothing could be learned. Other columns are not looked at.
+    every text if nothing could be learned. Of languages with equal cosines the
+    first by name counts. Repeated rows teach and are answered each time; no rows
+    give none. Other columns are not looked at.
     """
     folds = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", (crc_part("doc_id", 4) == 2).alias("held_out")
     )
     names, vectors = prototypes(folds.where("NOT held_out"))
     return folds.select("doc_id", "held_out", "text").mapInArrow(
-        lambda it: predict(it, names, vectors), "doc_id bigint, held_out boolean, lang_pred string, score double"
+        lambda it: predict(it, names, vectors), "doc_id bigint, held_out boolean, lang_pred string, score double, n_grams bigint"
     )
 
 
@@ -233,14 +251,49 @@ def predict_rows(batches: Iterator[pa.RecordBatch], names: list[str], vectors: n
     return predict(boxed, names, vectors)
 
 
-def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """Documents with a recognised language: all columns, without ``und`` and scores below ``min_score``."""
+def least_scores(scored: DataFrame) -> dict[str, float]:
+    """For each language, the least cosine of a text that is kept.
+
+    Learned from rightly identified training rows (lang, lang_pred, score, n_grams) with
+    enough n-grams, by a histogram of at most BINS + 1 places a language.
+    """
+    sure = scored.where((F.col("n_grams") >= ENOUGH) & (F.col("lang") == F.col("lang_pred")))
+    counts = sure.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin")).agg(F.count("*").alias("n")).collect()
+    out = {}
+    for lang in sorted({r["lang"] for r in counts}):
+        places = sorted((r["bin"], r["n"]) for r in counts if r["lang"] == lang)
+        allowed = sum(n for _, n in places) // RARE
+        for place, n in places:
+            allowed -= n
+            if allowed < 0:
+                out[lang] = place / BINS * SLACK
+                break
+    return out
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """Documents in a language that could be learned: all their columns, without the rejected ones.
+
+    Rejected are texts that are NULL or have no letter, and longer texts whose
+    best cosine is far below that of their language's training texts, such as
+    random letters. Without any training text nothing is known of languages, and all
+    texts with a letter stay. Repeated rows fare alike; no rows give none.
+    """
     folds = docs.select("text", "lang", (crc_part("doc_id", 4) == 2).alias("held_out"))
     names, vectors = prototypes(folds.where("NOT held_out"))
+    if not names:
+        return docs.where(F.col("text").rlike("\\p{L}"))
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    schema = T.StructType([boxed.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = boxed.mapInArrow(lambda it: predict_rows(it, names, vectors), schema)
-    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
+    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_grams", T.LongType())]
+    out = boxed.mapInArrow(lambda it: predict_rows(it, names, vectors), T.StructType([boxed.schema["row"], *more]))
+    # Scored once: the limits are learned from the same table that they are applied to.
+    out = Scratch(docs.sparkSession, "language").save(out, "scored")
+    training = out.where(crc_part("row.doc_id", 4) != 2)
+    least = least_scores(training.select(F.col("row.lang").alias("lang"), "lang_pred", "score", "n_grams"))
+    limit = F.lit(0.0)
+    for lang, score in least.items():
+        limit = F.when(F.col("lang_pred") == lang, score).otherwise(limit)
+    return out.where((F.col("lang_pred") != "und") & ((F.col("n_grams") < ENOUGH) | (F.col("score") >= limit))).select("row.*")
 
 
 def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:

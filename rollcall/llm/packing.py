@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +17,6 @@ from rollcall.operators.ranking import grouped_row_number
 
 BUCKETS = 16
 BUDGET = 65_536
-# Lengths up to EXACT are told apart; longer ones are rounded up by at most 1/FINE of their length.
-EXACT, FINE = 2048, 64
 
 
 def words(text: Column) -> Column:
@@ -28,36 +25,46 @@ def words(text: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACES))).cast("bigint")
 
 
-def bin_end(length: Column) -> Column:
-    """The histogram bin of a length, named by the largest length in it."""
-    step = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)))) - np.log2(FINE)))
-    rounded = (F.ceil(length / step) * step).cast("bigint")
-    return F.when(length <= EXACT, length).otherwise(rounded).cast("bigint")
-
-
 def best_ends(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
-    """Bucket ends, at most ``buckets``, with the least padding for a histogram in ascending order."""
-    length, n = np.asarray(lengths, dtype=float), len(lengths)
-    if not n:
-        return []
-    rows = np.concatenate([[0.0], np.cumsum(np.asarray(counts, dtype=float))])
-    # Padding of bins i..j-1 in one bucket is length[j-1] * (rows[j] - rows[i]) less what they hold, which is fixed.
-    best = np.concatenate([[0.0], np.full(n, np.inf)])
-    cuts = []
+    """Bucket ends, at most ``buckets``, with the least padding for a histogram in ascending order.
+
+    A bucket over places i to j - 1 holds length[j - 1] * (rows[j] - rows[i]) with its
+    padding; what the rows hold themselves is fixed. With one more bucket, the
+    best total up to j is the least over i of a line in length[j - 1] with slope
+    -rows[i], so a hull of lines gives it: each of them enters and leaves once, in whole numbers.
+    """
+    n = len(lengths)
+    rows = [0]
+    for c in counts:
+        rows.append(rows[-1] + int(c))
+    best: list[int | None] = [0] + [None] * n
+    cuts: list[list[int]] = []
     for _ in range(min(buckets, n)):
-        new, cut = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
-        new[0] = 0.0
+        new: list[int | None] = [0] + [None] * n
+        cut = [0] * (n + 1)
+        hull: list[int] = []
+        at = 0
         for j in range(1, n + 1):
-            cost = best[:j] + length[j - 1] * (rows[j] - rows[:j])
-            cut[j] = int(cost.argmin())
-            new[j] = cost[cut[j]]
+            i = j - 1
+            if best[i] is not None:
+                # Slopes fall from line to line: drop the last line while it is nowhere below its neighbours.
+                while len(hull) - at > 1 and (best[i] - best[hull[-2]]) * (rows[hull[-1]] - rows[hull[-2]]) <= (
+                    best[hull[-1]] - best[hull[-2]]
+                ) * (rows[i] - rows[hull[-2]]):
+                    hull.pop()
+                hull.append(i)
+            x = int(lengths[j - 1])
+            while at + 1 < len(hull) and best[hull[at + 1]] - rows[hull[at + 1]] * x < best[hull[at]] - rows[hull[at]] * x:
+                at += 1
+            cut[j] = hull[at]
+            new[j] = best[hull[at]] + x * (rows[j] - rows[hull[at]])
         cuts.append(cut)
         best = new
     ends, j = [], n
     for cut in reversed(cuts):
         if j:
-            ends.append(int(length[j - 1]))
-            j = int(cut[j])
+            ends.append(int(lengths[j - 1]))
+            j = cut[j]
     return sorted(set(ends))
 
 
@@ -65,15 +72,17 @@ def packed(docs: DataFrame, length: Column, buckets: int = BUCKETS, budget: int
     """One row per row of ``docs``: doc_id, n_tokens, bucket, bucket_length, batch, slot, padding.
 
     ``length`` is the number of tokens; NULL counts as 0. A batch holds as many
-    documents of one bucket, in the order of doc_id, as fit the budget at the
-    bucket's length, and at least one, so a longer document stands alone. No
-    rows give no rows; repeated rows take a slot each.
+    documents of one bucket, in the order of doc_id (NULL first, equal ones by
+    length), as fit the budget at the bucket's length, and at least one, so a
+    longer document stands alone. Of choices that pad alike the first found
+    counts. No rows give no rows; repeated rows take a slot each. Columns besides
+    doc_id and those of ``length`` are not looked at.
     """
     scratch = Scratch(docs.sparkSession, "packing")
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("bigint").alias("n_tokens"))
     sized = scratch.save(sized, "lengths")
-    # At most EXACT + FINE * log2(longest / EXACT) bins.
-    histogram = sized.groupBy(bin_end(F.col("n_tokens")).alias("end")).agg(F.count("*").alias("n")).orderBy("end").collect()
+    # One bin per length: k different lengths need k²/2 tokens, so even 10^13 tokens have at most 4.5 million.
+    histogram = sized.groupBy(F.col("n_tokens").alias("end")).agg(F.count("*").alias("n")).orderBy("end").collect()
     ends = best_ends([r["end"] for r in histogram], [r["n"] for r in histogram], buckets)
     number = F.lit(len(ends) - 1 if ends else 0)
     for i in reversed(range(len(ends) - 1)):

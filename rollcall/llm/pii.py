@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.spans import Span, digest, free, joined, ordered, replaced
+from rollcall.llm.spans import Span, covered, digest, free, joined, ordered, replaced
 from rollcall.llm.support import by_value, table
 
 by_value(__name__)
@@ -92,13 +92,13 @@ def patterns(text: str) -> list[Span]:
 def shape(token: str) -> int:
     """Letters and digits by run and rough length, other characters as they are; hashed."""
     out = []
-    for run in re.findall(r"[0-9]+|[^\W\d_]+|.", token[:200], re.S):
+    for run in re.findall(r"[0-9]+|[^\W\d_]+|.", token, re.S):
         if run[0].isdigit() and run.isascii():
             n = len(run)
             out.append("0123456789abc"[min(12, n if n < 4 else 4 + (n - 4) // 3)] + "d")
         else:
             out.append("a" if run[0].isalpha() else run)
-    return zlib.crc32("".join(out[:12]).encode("utf-8", "replace")) % SHAPES
+    return zlib.crc32("".join(out).encode("utf-8", "replace")) % SHAPES
 
 
 def key_of(token: str) -> str:
@@ -134,12 +134,14 @@ class Chain:
         j = 0
         by_start = sorted(base, key=lambda s: s[1])
         for i, (a, b) in enumerate(self.spans):
-            while j < len(by_start) and max(s[2] for s in by_start[j : j + 1]) <= a:
+            while j < len(by_start) and by_start[j][2] <= a:
                 j += 1
-            for kind, start, end in by_start[j : j + 4]:
-                if start < b and a < end:
-                    self.observed[i] = KINDS.index(kind)
+            m = j
+            while m < len(by_start) and by_start[m][1] < b:
+                if by_start[m][2] > a:
+                    self.observed[i] = KINDS.index(by_start[m][0])
                     break
+                m += 1
         # Neighbours stand side by side; skip edges lead to the last token with the same key.
         self.near = [(i, i + 1) for i in range(n - 1) if self.spans[i + 1][0] - self.spans[i][1] == 1]
         last: dict[str, int] = {}
@@ -252,7 +254,7 @@ def added(text: str, base: list[Span], factors: Factors) -> list[Span]:
     chain = Chain(text, base)
     if not chain.spans:
         return []
-    p = beliefs(chain, factors)
+    p, taken = beliefs(chain, factors), covered(base)
     out = []
     for i, (a, b) in enumerate(chain.spans):
         label = int(p[i].argmax())
@@ -262,7 +264,7 @@ def added(text: str, base: list[Span], factors: Factors) -> list[Span]:
             a += 1
         while b > a and text[b - 1] in TRIM:
             b -= 1
-        if a < b and free(a, b, base):
+        if a < b and free(a, b, taken):
             out.append((KINDS[label], a, b))
     return out
 
@@ -304,7 +306,9 @@ def find(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     The counts and base_sha256 are of pattern matches; ``spans`` has those and the
-    ones the field adds, n_added of them. NULL and empty texts have none.
+    ones the field adds, n_added of them; an added span may share no character with a match.
+    NULL and empty texts have none. Repeated rows teach and are answered each time,
+    rows without doc_id too; no rows give none. Columns besides doc_id and text are not looked at.
     """
     factors = learn(docs)
     schema = ", ".join(f"n_{k} bigint" for k in KINDS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from rollcall.llm.support import by_value
@@ -25,9 +26,21 @@ def digest(spans: Sequence[Span]) -> str:
     return hashlib.sha256(joined(spans).encode()).hexdigest()
 
 
-def free(start: int, end: int, taken: Sequence[Span]) -> bool:
-    """Whether no span of ``taken`` overlaps [start, end)."""
-    return all(end <= a or b <= start for _, a, b in taken)
+def covered(base: list[Span]) -> list[tuple[int, int]]:
+    """The ranges that spans, in order of their starts, cover together."""
+    out: list[tuple[int, int]] = []
+    for _, a, b in base:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def free(start: int, end: int, taken: Sequence[tuple[int, int]]) -> bool:
+    """Whether no range of ``taken``, which ``covered`` has made, overlaps [start, end)."""
+    i = bisect_left(taken, (end,))
+    return not i or taken[i - 1][1] <= start
 
 
 def replaced(text: str, spans: Sequence[Span], mark: str = "<{}>") -> str:

@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.sources.scratch import scratch_folder
+from rollcall.sources.scratch import remember, scratch_folder
 
 # Rows of two integers that may be broadcast (about 50 MB once hashed).
 BROADCAST_ROWS = 400_000
@@ -30,12 +30,14 @@ class Scratch:
     """Tables of one run in the folder all executors share.
 
     A table is read by later passes instead of being computed again, so a lost
-    executor costs a retry of tasks only. ``drop`` removes what is no longer read.
+    executor costs a retry of tasks only. ``drop`` removes what is no longer read,
+    ``scratch.release`` all that the session has written.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{scratch_folder(spark)}/rollcall/{name}-{uuid.uuid4().hex}"
+        remember(spark, self.root)
         self.count = 0
         # Texts can be long: unless the session says otherwise, fewer rows go to Python at once.
         if spark.conf.get(ARROW_ROWS) == "10000":

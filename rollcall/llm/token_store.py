@@ -75,6 +75,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.pieces = by_pieces(json.loads(vocabulary))
         self.forget()
 
@@ -102,28 +103,32 @@ class Encoder:
     def learn(self) -> None:
         """Find the ids of the new pieces: of plain words from the model, of others from the whole tokenizer."""
         fresh, self.numbers.fresh = self.numbers.fresh, []
-        ids, words, others = self.ids, self.words, []
-        for key in fresh:
+        ids, others, known, word_ids = self.ids, [], self.words.get, self.word
+        extend, start, size, plain = ids.extend, self.starts.append, self.sizes.append, PLAIN.fullmatch
+        for i, key in enumerate(fresh, len(self.starts)):
             at = len(ids)
-            match = PLAIN.fullmatch(key) if self.pieces else None
+            match = plain(key) if self.pieces else None
             if match is None:
-                others.append(len(self.starts))
+                others.append(i)
             else:
                 lead, word, marks, more = match.groups()
-                name = ("" if lead else "\u0120") + (word if word.isascii() else byte_letters(word))
-                ids.extend(words.get(name) or self.word(name))
+                name = word if word.isascii() else byte_letters(word)
+                name = name if lead else "\u0120" + name
+                extend(known(name) or word_ids(name))
                 if marks:
-                    ids.extend(words.get(marks) or self.word(marks))
-                for line in more.split("\n")[1:]:
-                    word = line.rstrip(MARKS)
-                    ids.extend(self.word("\u010a"))
-                    ids.extend(self.word(word if word.isascii() else byte_letters(word)))
-                    if len(word) < len(line):
-                        ids.extend(self.word(line[len(word) :]))
-            self.starts.append(at)
-            self.sizes.append(len(ids) - at)
+                    extend(known(marks) or word_ids(marks))
+                if more:
+                    for line in more.split("\n")[1:]:
+                        word = line.rstrip(MARKS)
+                        extend(word_ids("\u010a"))
+                        extend(word_ids(word if word.isascii() else byte_letters(word)))
+                        if len(word) < len(line):
+                            extend(word_ids(line[len(word) :]))
+            start(at)
+            size(len(ids) - at)
         if others:
-            keys = [fresh[i - len(self.starts)] for i in others]
+            first = len(self.starts) - len(fresh)
+            keys = [fresh[i - first] for i in others]
             # A key that begins with a space is a text's first piece, without that space.
             whole = [key[1:] if key[:1] == " " else " " + key for key in keys]
             for i, found in zip(others, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
@@ -134,7 +139,7 @@ class Encoder:
         """Ids of one word of the splitting pattern, in byte letters."""
         ids = self.words.get(letters)
         if ids is None:
-            ids = self.words[letters] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            ids = self.words[letters] = [t.id for t in self.model.tokenize(letters)]
         return ids
 
 
@@ -216,6 +221,7 @@ def options(delta: bool, group_bytes: int, page_bytes: int, page_rows: int) -> d
         "parquet.page.size": str(page_bytes),
         "parquet.page.row.count.limit": str(page_rows),
         "compression": "zstd",
+        "parquet.compression.codec.zstd.level": "1",
     }
 
 

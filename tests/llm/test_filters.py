@@ -149,6 +149,26 @@ def test_language(documents):
     assert {r.lang_pred for r in langid.identify(documents([(0, "abc"), (1, "x")])).collect()} == {"und"}
 
 
+def test_random_letters_are_rejected_and_nothing_else(documents):
+    rng = random.Random(5)
+    words = {"aa": ["alpha", "beta", "gama", "tau"], "bb": ["uno", "dos", "tres", "seis"]}
+    text = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    clean = [(i, text("ab"[i % 2] * 2, rng.choice([3, 20, 90])), "ab"[i % 2] * 2) for i in range(120)]
+    noise = [(1000 + i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxyz", k=6)) for _ in range(30))) for i in range(20)]
+    short = [(2000, "Qwrt."), (2001, "zzz")]
+    empty = [(3000, None), (3001, "12 !"), (None, text("aa", 50))]
+    kept = [r.doc_id for r in langid.identified(documents([*clean, *noise, *short, *empty])).collect()]
+    assert sorted(k for k in kept if k is not None) == [*range(120), 2000, 2001] and None in kept
+    without = [(i, t) for i, t, _ in clean] + empty
+    assert langid.identified(documents(without)).count() == len(clean) + 1
+    assert langid.identified(documents([])).count() == 0
+
+
+def test_ties_go_to_the_first_language(documents):
+    rows = [(i, "same words here", lang) for i, lang in enumerate(["zz", "yy"] * 20)]
+    assert {r.lang_pred for r in langid.identify(documents(rows)).collect()} == {"yy"}
+
+
 def test_language_vectors_bundle_what_a_loop_bundles():
     letters = langid.Letters(64)
     texts = ["Ab ba, b", "", None, "ÀÉ x"]

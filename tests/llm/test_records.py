@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from rollcall.llm import embedding_dedup, exact_dedup, queries, warc
+from rollcall.llm import embedding_dedup, queries, warc
 from rollcall.llm.support import Scratch, components
 
 SMALL = "/root/testdata/sf0.001"
@@ -85,6 +85,20 @@ def test_recall_counts_pairs_beside_a_hot_group(spark, monkeypatch):
     assert len(few) > 300
     assert np.mean([out[i].n_links == truth[i] for i in few]) >= 0.97 and out[0].audit_recall >= 0.97
     assert embedding_dedup.recall_of(np.array([5000, 1, 1]), np.array([5000, 0, 1])) == 0.5
+    assert embedding_dedup.recall_of(np.array([0, 0]), np.array([0, 0])) is None
+
+
+def test_audit_takes_all_widths_in_blocks(spark, monkeypatch):
+    """Vectors of two widths, more of them than a block holds; without any link nothing is measured."""
+    monkeypatch.setattr(embedding_dedup, "AUDITED", 7)
+    rng = np.random.Generator(np.random.PCG64(5))
+    rows = [(50 * i, np.repeat(rng.normal(size=(40, 8 if i % 2 else 6)), 1, axis=0)[i % 40].tolist()) for i in range(60)]
+    rows += [(50 * i + 1, (np.array(v) * 1.5 + 1e-3).tolist()) for i, v in ((r[0] // 50, r[1]) for r in rows)]
+    out = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.audit_recall for r in out} == {1.0} and all(r.n_links >= 1 for r in out)
+    alone = [(50 * i, [float(i == k) for k in range(20)]) for i in range(20)]
+    out = embedding_dedup.near_duplicates(spark.createDataFrame(alone, "vec_id long, embedding array<double>")).collect()
+    assert {r.audit_recall for r in out} == {None} and {r.attempts for r in out} == {1}
 
 
 def test_links_between_saturated_groups(spark):
@@ -113,12 +127,15 @@ def test_components_of_chains_and_hubs(spark):
     assert components(df.limit(0), Scratch(spark, "test")).count() == 0
 
 
-def test_sql_equals_query(spark):
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql_equals_query(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
-    df = exact_dedup.op8_exact_dedup(spark, SMALL)
-    mine = sorted(map(tuple, df.collect()))
-    assert mine == sorted(con.execute(queries.SQL["op8_exact_dedup"]).fetchall())
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, SMALL)
+    result = con.execute(queries.SQL[name])
+    assert [d[0] for d in result.description] == df.columns
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, result.fetchall()))
 
 
 def test_pipeline_stages(spark, documents):
@@ -140,6 +157,16 @@ def test_pipeline_stages(spark, documents):
 
 def test_registered_names():
     names = set(entry_module.queries())
-    assert set(queries.QUERIES) | {"pipeline"} <= names and len(queries.QUERIES) == 10
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert set(queries.QUERIES) | {"pipeline"} <= names and len(queries.QUERIES) == 13
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.SQL) <= set(entry_module.oracle_sql())
+
+
+def test_release_deletes_scratch_tables(spark, monkeypatch):
+    from rollcall.sources import scratch
+
+    monkeypatch.setattr(scratch, "_tables", {})
+    table = Scratch(spark, "short").save(spark.range(3), "x")
+    assert scratch.release(spark) == 1
+    with pytest.raises(Exception):
+        table.count()

@@ -1,15 +1,19 @@
 """Spans, tokens, quality and packing on small hand-made tables."""
 
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, packing, pii, quality, secret_scan
+from rollcall.llm import bpe, packing, pii, quality, secret_scan, spans
 
 LONG = "ab 12 " * 20_000
 
@@ -77,8 +81,7 @@ def test_field_labels_without_a_match(documents):
     token = pii.shape("(030)55-66")
     counts.node[token] = np.log([0.001, 0.001, 0.001, 0.98, 0.017])
     for text, n in (("Ring (030)55-66 today", 1), ("Ring (030)55-66 or (030)55-66", 2), ("Room 7 of 9", 0)):
-        spans = pii.added(text, [], counts)
-        assert [k for k, _, _ in spans] == ["phone"] * n
+        assert [k for k, _, _ in pii.added(text, [], counts)] == ["phone"] * n
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["Ring (030)55-66 today"])], names=["row", "text"])
     assert "<PHONE>" in next(pii.masked_texts(iter([batch]), counts)).column(1)[0].as_py()
 
@@ -105,6 +108,45 @@ def test_markov_models_tell_random_strings(documents):
     assert secret_scan.find(documents([])).count() == 0
 
 
+def test_secret_models_tell_random_from_ordinary(documents):
+    rng = random.Random(2)
+    stems = ["configuration", "manager", "service", "provider", "report", "value", "house", "river", "customer", "yellow", "number", "window", "winter"]
+    rows = [(i, " ".join(rng.choice(stems) for _ in range(120)) + f" in {1990 + i % 30}.") for i in range(300)]
+    ratio, limit = secret_scan.learn(documents(rows))
+    states, sure = secret_scan.state_table(), lambda t: secret_scan.total(t, ratio, secret_scan.state_table()) >= limit
+    for plain in ("configuration_manager_service_provider", "ReportValueWindowHouse", "customer-number-winter", "-" * 60, "=" * 30, "river/window/house", "YELLOW_NUMBER_VALUE_7"):
+        assert not sure(plain), plain
+    assert sure("xK9fQ2LmZ7pRt4WvB1")
+    fresh = secret_scan.random_strings(600, seed=5)
+    mixed = [t for t in fresh if len(t) >= 14 and len(set(t)) > 6 and not set(t) <= set("0123456789abcdef")]
+    assert len(mixed) > 400 and sum(map(sure, mixed)) >= 0.97 * len(mixed)
+    # What a match leaves of a token is judged by itself.
+    text = "AKIA" + "Q" * 16 + "_" + "xK9fQ2LmZ7pRt4WvB1kk"
+    base, _ = secret_scan.patterns(text)
+    assert secret_scan.added(text, base, (ratio, limit), states) == [("random", 20, len(text))]
+
+
+def test_covered_ranges():
+    assert spans.covered([("a", 0, 4), ("b", 2, 3), ("c", 4, 9), ("a", 12, 13)]) == [(0, 9), (12, 13)]
+    taken = [(0, 9), (12, 13)]
+    for a, b in itertools.combinations(range(16), 2):
+        assert spans.free(a, b, taken) == all(b <= x or y <= a for x, y in taken)
+    assert secret_scan.limit_of({0: 10**6, 30: 5, 40: 3}) == 6.0 and secret_scan.limit_of({0: 10**6, 30: 50}) == 31.0
+
+
+def test_ratios_equal_a_plain_count():
+    """The ordinary model's pairs by a dictionary over the same strings."""
+    texts = ["the old house", "new_value and an_other one"]
+    states, seen = secret_scan.state_table(), {}
+    for text in texts:
+        data = f" {secret_scan.ordinary(text)} "
+        for a, b in itertools.pairwise(data):
+            seen[states[ord(a)], states[ord(b)]] = seen.get((states[ord(a)], states[ord(b)]), 0) + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    got = {divmod(c, secret_scan.STATES): n for b in secret_scan.count(iter([batch])) for r, c, n in zip(*[x.to_pylist() for x in b.columns], strict=True) if not r}
+    assert got == seen
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pytest.importorskip("public_tokenizers").path(bpe.VOCABULARY)
@@ -112,7 +154,7 @@ def vocabulary():
 
 @pytest.fixture(scope="module")
 def model(vocabulary):
-    return bpe.load(vocabulary)
+    return bpe.Model(bpe.load(vocabulary))
 
 
 @pytest.fixture(scope="module")
@@ -129,10 +171,10 @@ def test_codes_equal_the_library(model, library):
         ids = np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         n = rng.randint(1, 5)
         assert b"".join(encoder.encode(text[i : i + n] for i in range(0, len(text), n))) == ids
-        assert "".join(bpe.decode(ids, model)) == text
+        assert "".join(bpe.decode([ids[:8], ids[8:]], model)) == text
     for _ in range(200):
         ids = [rng.randrange(50257) for _ in range(20)]
-        assert "".join(bpe.decode(np.array(ids, dtype="<u4").tobytes(), model)) == library.decode(ids, skip_special_tokens=False)
+        assert "".join(bpe.decode([np.array(ids, dtype="<u4").tobytes()], model)) == library.decode(ids, skip_special_tokens=False)
 
 
 @pytest.mark.parametrize("text", ["a" * 150_000, "é😀" * 40_000, " " * 140_000 + "x", "thereinon" * 9000 + "<|endoftext|>" + "q" * 70_000])
@@ -174,7 +216,8 @@ def test_lookahead_settles_boundaries():
             assert all(s == settled[0] for s in settled)
 
 
-def test_round_trip_of_edge_cases(documents, model):
+def test_round_trip_of_edge_cases(documents, vocabulary):
+    model = bpe.load(vocabulary)
     rows = [(1, None), (2, ""), (3, LONG), (3, LONG), (None, "x")]
     out = bpe.round_trip(documents(rows), model).collect()
     assert [r.n_tokens for r in out if r.doc_id in (1, 2)] == [0, 0]
@@ -182,6 +225,34 @@ def test_round_trip_of_edge_cases(documents, model):
     assert bpe.round_trip(documents([]), model).count() == 0
 
 
+def test_every_word_is_read_by_the_transducer(model, library):
+    encoder = bpe.Encoder(model)
+    text = "one two one two " + "three" * 100 + " two" + " x" * 70_000
+    ids = b"".join(encoder.encode(text[i : i + 65_536] for i in range(0, len(text), 65_536)))
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    # Short words once each; the long one is not remembered.
+    assert set(encoder.words) == {"one", " two", " one", " x", " "} - ({" "} if " " not in encoder.words else set())
+    assert encoder.words.read == len(encoder.words) + 1
+
+
+def test_tasks_need_no_package(tmp_path):
+    """From another folder, with the package on the driver's path only."""
+    root = Path(__file__).resolve().parents[2]
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from rollcall.session import build_session
+from rollcall.llm.queries import QUERIES
+spark = build_session("local[2]", 2, "2g", settings={{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+for name in ("op10_bpe", "op11_token_store", "op12_prefix_trie", "op13_collocations"):
+    print(name, QUERIES[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert [line.split()[0] for line in done.stdout.splitlines()] == ["op10_bpe", "op11_token_store", "op12_prefix_trie", "op13_collocations"]
+
+
 def test_quality_learns_and_takes_edge_cases(spark, documents):
     rng = random.Random(9)
     good = lambda: " ".join(rng.choice(["river", "stone", "walks", "green", "over", "the"]) for _ in range(60)) + "."
@@ -210,6 +281,22 @@ def test_best_ends_equal_brute_force():
     assert packing.best_ends([], [], 4) == []
 
 
+def test_best_ends_of_long_lengths():
+    """Against the plain dynamic programme, with lengths far above any rounding."""
+    rng = random.Random(6)
+    lengths = sorted({int(rng.paretovariate(0.6) * 300) for _ in range(250)})
+    counts = [rng.randint(1, 50) for _ in lengths]
+    n, k, best = len(lengths), 9, [0] + [10**30] * len(lengths)
+    for _ in range(k):
+        new = [0] + [10**30] * n
+        for j in range(1, n + 1):
+            new[j] = min(best[i] + lengths[j - 1] * sum(counts[i:j]) for i in range(j))
+        best = new
+    ends = packing.best_ends(lengths, counts, k)
+    assert set(ends) <= set(lengths) and lengths[-1] in ends and len(ends) <= k
+    assert sum(c * min(e for e in ends if e >= x) for x, c in zip(lengths, counts, strict=True)) == best[n]
+
+
 def test_batches_fit_the_budget(spark, documents):
     rows = [(i, "w " * (i % 50)) for i in range(300)] + [(900, None), (901, LONG), (901, LONG), (None, "x")]
     out = packing.packed(documents(rows), packing.words(F.col("text")), buckets=4, budget=200).collect()
@@ -221,3 +308,39 @@ def test_batches_fit_the_budget(spark, documents):
         assert len(group) == 1 or len(group) * group[0].bucket_length <= 200
     assert packing.packed(documents([]), packing.words(F.col("text"))).count() == 0
     assert {r.n_tokens for r in documents([(1, " \n"), (2, "")]).select(packing.words(F.col("text")).alias("n_tokens")).collect()} == {0}
+
+
+def test_shapes_see_whole_tokens():
+    long = "a1-" * 200
+    assert pii.shape(long + "x") != pii.shape(long + "@") and pii.shape("12-34") == pii.shape("98-76")
+
+
+def test_labels_of_crowded_tokens():
+    """A token that many spans touch takes the first that overlaps it."""
+    text = ",".join(["10.0.0.1"] * 30) + " 5 +4930123456789"
+    chain = pii.Chain(text, pii.patterns(text))
+    assert [pii.LABELS[k] for k in chain.observed] == ["ip", "other", "phone"]
+
+
+def exact_marginals(chain, factors):
+    """Label probabilities by adding up all labellings."""
+    n, k = len(chain.spans), len(pii.LABELS)
+    out = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        if any(o != pii.OTHER and o != x for o, x in zip(chain.observed, labels, strict=True)):
+            continue
+        weight = sum(0.0 if chain.observed[i] != pii.OTHER else factors.node[chain.shapes[i], x] for i, x in enumerate(labels))
+        weight += sum(factors.near[labels[i], labels[j]] for i, j in chain.near) + sum(factors.skip[labels[i], labels[j]] for i, j in chain.skip)
+        out[np.arange(n), labels] += np.exp(weight)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("text", ["tel 4930123456 x", "call +4930123456 or 4930123456 now", "a1 b2 c3 4930123456 then 4930123456"])
+def test_beliefs_equal_exact_marginals(documents, text):
+    """On trees message passing is exact; with loops it comes near."""
+    rows = [(i, f"Call +4930{1000000 + i} or 4930{1000000 + i} of {i} items.") for i in range(100)]
+    factors = pii.learn(documents(rows))
+    chain = pii.Chain(text, pii.patterns(text))
+    got, want = pii.beliefs(chain, factors), exact_marginals(chain, factors)
+    loops = len(chain.near) + len(chain.skip) >= len(chain.spans)
+    assert np.abs(got - want).max() < (0.1 if loops else 1e-3)

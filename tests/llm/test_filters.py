@@ -151,7 +151,8 @@ def test_language(documents):
 
 def test_random_letters_are_rejected_and_nothing_else(documents):
     rng = random.Random(5)
-    words = {"aa": ["alpha", "beta", "gama", "tau"], "bb": ["uno", "dos", "tres", "seis"]}
+    made = lambda syllables: ["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(60)]
+    words = {"aa": made(["al", "pha", "be", "ta", "gam", "ma"]), "bb": made(["u", "no", "dos", "tres", "sei", "ocho"])}
     text = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
     clean = [(i, text("ab"[i % 2] * 2, rng.choice([3, 20, 90])), "ab"[i % 2] * 2) for i in range(120)]
     noise = [(1000 + i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxyz", k=6)) for _ in range(30))) for i in range(20)]

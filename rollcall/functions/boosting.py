@@ -79,12 +79,11 @@ def packed(n: int, *arrays: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["n", "bins", "label", "held", "weight", "margin"])
 
 
-def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(n, bins, label, held, weight, margin) of each block."""
-    for batch in batches:
-        for n, bins, label, held, weight, margin in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            codes = np.frombuffer(bins, np.uint8).reshape(-1, n)
-            yield n, codes, np.frombuffer(label), np.frombuffer(held, np.uint8) > 0, np.frombuffer(weight), np.frombuffer(margin)
+def arrays(rows: Iterator) -> Iterator[tuple]:
+    """(bins, label, held, weight, margin) of blocks."""
+    for n, bins, label, held, weight, margin in rows:
+        codes = np.frombuffer(bins, np.uint8).reshape(-1, n)
+        yield codes, np.frombuffer(label), np.frombuffer(held, np.uint8) > 0, np.frombuffer(weight), np.frombuffer(margin)
 
 
 def with_trees(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
@@ -95,18 +94,19 @@ def with_trees(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) ->
 
 def advanced(batches: Iterator[pa.RecordBatch], trees: Sequence[Tree]) -> Iterator[pa.RecordBatch]:
     """Blocks with the trees added to their margins."""
-    for n, codes, label, held, weight, margin in unpacked(batches):
-        yield packed(n, codes, label, held.astype(np.uint8), weight, with_trees(margin, codes, trees))
+    for batch in batches:
+        for codes, label, held, weight, margin in arrays(zip(*[c.to_pylist() for c in batch.columns], strict=True)):
+            yield packed(len(label), codes, label, held.astype(np.uint8), weight, with_trees(margin, codes, trees))
 
 
-def histograms(batches: Iterator[pa.RecordBatch], job: dict) -> Iterator[pa.RecordBatch]:
-    """Sums (slot, g, h, n) of a task's rows by open node, feature and bin; slot -1 is the held-out loss."""
+def histograms(blocks: Iterator[tuple], job: dict) -> Iterator[tuple[np.ndarray, int, int]]:
+    """A task's sums of [gradient, Hessian, rows] by open node, feature and bin, and its held-out loss and rows."""
     sizes, width, nodes = job["sizes"], job["bins"], job["open"]
     totals = np.zeros((3, len(nodes), len(sizes), width), np.int64)
     loss = lost = 0
     number = np.full(len(job["tree"].feature), -1)
     number[nodes] = np.arange(len(nodes))
-    for _, codes, label, held, weight, margin in unpacked(batches):
+    for codes, label, held, weight, margin in blocks:
         margin = with_trees(margin, codes, job["recent"])
         if job["loss"] and held.any():
             m, y = margin[held], label[held]
@@ -122,10 +122,12 @@ def histograms(batches: Iterator[pa.RecordBatch], job: dict) -> Iterator[pa.Reco
                 # Whole numbers below 2^53 add up exactly in floating point.
                 part = np.bincount(slots, what, len(nodes) * size)
                 totals[i, :, f, :size] += part.reshape(len(nodes), size).astype(np.int64)
-    flat = totals.reshape(3, -1)
-    full = np.flatnonzero(flat[2])
-    columns = [np.append(full, -1), np.append(flat[0, full], loss), np.append(flat[1, full], 0), np.append(flat[2, full], lost)]
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["slot", "g", "h", "n"])
+    yield totals, loss, lost
+
+
+def added(a: tuple, b: tuple) -> tuple:
+    """The sums of two tasks."""
+    return tuple(x + y for x, y in zip(a, b, strict=True))
 
 
 def margins(values: pd.DataFrame, trees: Sequence[Tree], base: float) -> pd.Series:

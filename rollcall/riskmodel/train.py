@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,8 @@ BINS, ACCURACY = 64, 20_000
 SNAPSHOT = 50
 # Rows of a task; a job with fewer rows has fewer tasks.
 TASK_ROWS = 500_000
+# Sums of so many tasks are added on the driver.
+FEW_TASKS = 16
 
 
 @dataclass(frozen=True)
@@ -76,17 +80,24 @@ def best_splits(sums: np.ndarray, leaf: int, l2: float) -> list[tuple[int, int,
     return out
 
 
-def _histograms(blocks: DataFrame, job: dict) -> tuple[np.ndarray, float, int]:
-    """Sums over all tasks by (node, feature, bin), and loss and number of held-out rows."""
-    rows = blocks.mapInArrow(lambda it: tasks.histograms(it, job), "slot bigint, g bigint, h bigint, n bigint")
-    table = rows.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
-    slot = table["slot"].to_numpy()
-    cells = np.stack([table[c].to_numpy().astype(float) for c in ("g", "h", "n")], axis=1) / [tasks.UNIT, tasks.UNIT, 1]
-    nodes, features, bins = len(job["open"]), len(job["sizes"]), job["bins"]
-    sums = np.zeros((nodes * features * bins, 3))
-    sums[slot[slot >= 0]] = cells[slot >= 0]
-    loss = cells[slot < 0].sum(axis=0)
-    return sums.reshape(nodes, features, bins, 3), float(loss[0]), int(loss[2])
+def _arrays(blocks: DataFrame) -> RDD:
+    """The blocks as arrays in the executors' memory or disk; what is lost is read again from the table."""
+    return blocks.rdd.mapPartitions(tasks.arrays).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _histograms(arrays: RDD, job: dict) -> tuple[np.ndarray, float, int]:
+    """Sums over all tasks by (node, feature, bin), and loss and number of held-out rows.
+
+    One of hundreds of small jobs that wait for each other: planning a query for
+    each would take longer than the work, hence the partition functions. The sums
+    of many tasks meet in executors first; each is at most 8 nodes x features x bins numbers.
+    """
+    parts = arrays.mapPartitions(lambda it: tasks.histograms(it, job))
+    if arrays.getNumPartitions() > FEW_TASKS:
+        totals, loss, lost = parts.treeReduce(tasks.added)
+    else:
+        totals, loss, lost = reduce(tasks.added, parts.collect())
+    return np.moveaxis(totals, 0, 3) / [tasks.UNIT, tasks.UNIT, 1], loss / tasks.UNIT, lost
 
 
 def train(
@@ -128,6 +139,7 @@ def train(
     base = float(np.log(positive / (total - positive)))
     few = data.coalesce(max(1, -(-rows // TASK_ROWS)))
     blocks = written(few.mapInArrow(lambda it: tasks.binned(it, cuts, base), tasks.BLOCK), "blocks")
+    arrays = _arrays(blocks)
 
     sizes = [len(c) + 1 for c in cuts]
     job: dict = {"sizes": sizes, "bins": max(sizes)}
@@ -142,7 +154,7 @@ def train(
             last = level == depth or len(trees) == rounds
             if level and (last or not live):
                 break
-            sums, loss, n_held = _histograms(blocks, job | {"recent": recent, "tree": tree, "open": live, "loss": level == 0})
+            sums, loss, n_held = _histograms(arrays, job | {"recent": recent, "tree": tree, "open": live, "loss": level == 0})
             if level == 0 and n_held:
                 losses.append(loss / n_held)
                 best = int(np.argmin(losses))
@@ -168,8 +180,10 @@ def train(
         recent.append(tree)
         if len(recent) == SNAPSHOT:
             moved = written(blocks.mapInArrow(lambda it, r=tuple(recent): tasks.advanced(it, r), tasks.BLOCK), "blocks")
+            arrays.unpersist()
             discard(blocks)
-            blocks, recent = moved, []
+            blocks, arrays, recent = moved, _arrays(moved), []
+    arrays.unpersist()
     discard(blocks)
     kept = trees[:best] if losses else trees
     return Ensemble(features, base, tuple(kept), tuple(losses))

@@ -33,11 +33,10 @@ END = 0
 # Bytes of text of a file, of ids of a row group and of a page, and rows of a page.
 FILE_BYTES, GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 1 << 26, 1 << 24, 1 << 17, 512
 # Texts encoded by one call of the tokenizer, at most this many characters unless one text is longer.
-CALL_CHARS = 1 << 22
-# Where texts are cut, and where they may hold a space that no cut belongs to.
-CUT, RUN = re.compile(r"(?= \S)"), re.compile(r" (?:$|[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
+CALL_CHARS = 1 << 20
+CUT = re.compile(r"(?= \S)")
 # Pieces remembered by a worker.
-MOST_PIECES = 600_000
+MOST_PIECES = 500_000
 # Lines of one word of Latin letters and the marks that may follow it: words and marks are words of the splitting pattern.
 MARKS = ".,;:!?"
 LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
@@ -81,24 +80,36 @@ class Encoder:
 
     def forget(self) -> None:
         self.numbers, self.ids, self.starts, self.sizes, self.words = Numbers(), array("i"), array("q"), array("q"), {}
+        # Pieces that only a careless cut gives: empty, or with white space behind the space they were cut at.
+        self.unsure: set[int] = set()
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of each text's ids."""
         if len(self.numbers) > MOST_PIECES:
             self.forget()
+        which, counts = self.number(texts, np.zeros(len(texts), bool))
+        if self.unsure:
+            odd = np.isin(which, list(self.unsure))
+            if odd.any():
+                again = np.add.reduceat(odd, np.cumsum(counts) - counts) > 0
+                which, counts = self.number(texts, again)
+        table, starts = np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64)
+        sizes = np.frombuffer(self.sizes, np.int64)[which]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.diff(np.append(0, ends)[np.append(0, np.cumsum(counts))])
+
+    def number(self, texts: list[str], careful: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all pieces of the texts, and how many each text has."""
         keys: list[str] = []
         counts = np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
-            mine = keys_of(text) if self.pieces else [" " + text]
+            mine = keys_of(text, careful[i]) if self.pieces else [" " + text]
             counts[i] = len(mine)
             keys += mine
         which = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
         self.learn()
-        table, starts = np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64)
-        sizes = np.frombuffer(self.sizes, np.int64)[which]
-        ends = np.cumsum(sizes)
-        ids = table[np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
-        return ids, np.diff(np.append(0, ends)[np.append(0, np.cumsum(counts))])
+        return which, counts
 
     def learn(self) -> None:
         """Find the ids of the new pieces: of plain words from the model, of others from the whole tokenizer."""
@@ -110,6 +121,8 @@ class Encoder:
             match = plain(key) if self.pieces else None
             if match is None:
                 others.append(i)
+                if not key or (key[0] != " " and key[0].isspace()):
+                    self.unsure.add(i)
             else:
                 lead, word, marks, more = match.groups()
                 name = word if word.isascii() else byte_letters(word)
@@ -148,10 +161,13 @@ def byte_letters(word: str) -> str:
     return "".join(chr(b) if b < 0x80 or 0xA1 <= b != 0xAD else chr(0x122 + b - 0x80 if b <= 0xA0 else 0x143) for b in word.encode())
 
 
-def keys_of(text: str) -> list[str]:
-    """The pieces of a text: the first behind an added space, all others without their space."""
+def keys_of(text: str, careful: bool) -> list[str]:
+    """The pieces of a text: the first behind an added space, all others without their space.
+
+    Unless careful, it is cut at every space, which is the same for texts whose spaces stand alone.
+    """
     words = text.split(" ")
-    if RUN.search(text):
+    if careful:
         words = CUT.split(text)
         words[1:] = [w[1:] for w in words[1:]]
     words[0] = " " + words[0]

@@ -19,27 +19,40 @@ Leaf = tuple[float, list[tuple[int, float, float, float]]]
 
 
 def add_leaf(x: np.ndarray, leaf: Leaf, out: np.ndarray) -> None:
-    """Add the Shapley values of one leaf for all rows of ``x``."""
+    """Add the Shapley values of one leaf for all rows of ``x``.
+
+    They depend on which conditions a row meets, and on nothing else of it, so
+    they are worked out once for each such set while those are fewer than the rows.
+    """
     value, conditions = leaf
     k = len(conditions)
-    met = [((x[:, f] > low) & (x[:, f] <= high)).astype(float) for f, low, high, _ in conditions]
+    met = [(x[:, f] > low) & (x[:, f] <= high) for f, low, high, _ in conditions]
+    if 2**k < len(x):
+        state = np.zeros(len(x), np.intp)
+        for i, m in enumerate(met):
+            state += m * np.intp(1 << i)
+        met = list(((np.arange(2**k)[:, None] >> np.arange(k)) & 1).T)
+    else:
+        state = np.arange(len(x))
+    met = [m.astype(float) for m in met]
     weights = np.array([factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)])
     for j, (feature, _, _, share) in enumerate(conditions):
         # Column s: total over the sets of s other features that are known.
-        sizes = np.zeros((len(x), k))
+        sizes = np.zeros((len(met[j]), k))
         sizes[:, 0] = 1.0
         for i, other in enumerate(conditions):
             if i != j:
                 known = sizes[:, :-1] * met[i][:, None]
                 sizes *= other[3]
                 sizes[:, 1:] += known
-        out[:, feature] += value * (met[j] - share) * (sizes @ weights)
+        out[:, feature] += (value * (met[j] - share) * (sizes @ weights))[state]
 
 
 def leaf_contributions(vectors: pd.Series, leaves: list[Leaf], width: int) -> pd.Series:
     """Contributions of all leaves to each feature vector of a batch."""
-    x = np.array(vectors.tolist(), dtype=float).reshape(-1, width)
+    # Leaves look at a few columns each.
+    x = np.asfortranarray(np.array(vectors.tolist(), dtype=float).reshape(-1, width))
     out = np.zeros_like(x)
     for leaf in leaves:
         add_leaf(x, leaf, out)
-    return pd.Series(list(out))
+    return pd.Series(list(np.ascontiguousarray(out)))

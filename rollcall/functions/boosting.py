@@ -48,15 +48,93 @@ class Tree:
     def depth(self) -> int:
         return (len(self.feature) + 1).bit_length() - 2
 
+    def plain(self) -> tuple[np.ndarray, ...]:
+        """The fields, which are quick to pickle."""
+        return self.feature, self.bin, self.cut, self.value, self.rows
 
-def places(tree: Tree, codes: np.ndarray) -> np.ndarray:
-    """The node each row has reached, given its bins (features x rows)."""
-    at, rows = np.zeros(codes.shape[1], np.int64), np.arange(codes.shape[1])
-    for _ in range(tree.depth()):
-        feature = tree.feature[at]
-        on = feature >= 0
-        right = codes[feature, rows] > tree.bin[at]
-        at = np.where(on, 2 * at + 1 + right, at)
+
+@dataclass
+class Layout:
+    """Where the bins of features lie in the columns of a block.
+
+    A column holds one feature, or several of which no row has more than one outside
+    its usual bin, as the flags of a category are: 0 where all are usual, and for each
+    feature a run of values from ``start``, one per other bin.
+    """
+
+    column: np.ndarray
+    start: np.ndarray
+    usual: np.ndarray
+    sizes: np.ndarray
+    widths: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray, both: np.ndarray, sizes: np.ndarray) -> Layout:
+        """From rows by feature and bin, and rows in which two features are both outside their usual bins."""
+        usual = counts.argmax(axis=1)
+        column, start = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        widths: list[int] = []
+        members: list[list[int]] = []
+        for f, size in enumerate(sizes):
+            for c, inside in enumerate(members):
+                if widths[c] + size - 1 <= 256 and not both[f, inside].any():
+                    break
+            else:
+                c = len(members)
+                members.append([])
+                widths.append(1)
+            column[f], start[f] = c, widths[c]
+            members[c].append(f)
+            widths[c] += int(size) - 1
+        return Layout(column, start, usual, np.asarray(sizes), np.array(widths))
+
+    def pack(self, codes: np.ndarray) -> np.ndarray:
+        """Columns (columns x rows) of bins (features x rows)."""
+        out = np.zeros((len(self.widths), codes.shape[1]), np.uint8)
+        for f, bins in enumerate(codes):
+            other = bins != self.usual[f]
+            place = self.start[f] + bins[other].astype(np.int64) - (bins[other] > self.usual[f])
+            out[self.column[f], other] = place.astype(np.uint8)
+        return out
+
+    def right(self, columns: np.ndarray, feature: int, at: int) -> np.ndarray:
+        """Whether rows lie in a bin of ``feature`` above ``at``."""
+        usual, start, values = self.usual[feature], int(self.start[feature]), columns[self.column[feature]]
+        if usual > at:
+            return ~_between(values, start, at + 1)
+        return _between(values, start + at, int(self.sizes[feature]) - 1 - at)
+
+    def spread(self, cells: np.ndarray) -> np.ndarray:
+        """Sums by (..., feature, bin) from sums by (..., cell), the cells of all columns side by side."""
+        whole = cells[..., : self.widths[0]].sum(axis=-1)
+        first = np.concatenate([[0], np.cumsum(self.widths)])
+        out = np.zeros((*cells.shape[:-1], len(self.sizes), int(self.sizes.max())), cells.dtype)
+        for f, size in enumerate(self.sizes):
+            run = first[self.column[f]] + self.start[f]
+            others = cells[..., run : run + size - 1]
+            usual = self.usual[f]
+            out[..., f, :usual] = others[..., :usual]
+            out[..., f, usual] = whole - others.sum(axis=-1)
+            out[..., f, usual + 1 : size] = others[..., usual:]
+        return out
+
+
+def _between(values: np.ndarray, low: int, n: int) -> np.ndarray:
+    """Whether bytes are among the ``n`` from ``low`` on."""
+    if n <= 0:
+        return np.zeros(len(values), bool)
+    # Bytes below wrap around to large ones.
+    return (values - np.uint8(low)) < n
+
+
+def places(tree: Tree, columns: np.ndarray, layout: Layout) -> np.ndarray:
+    """The node each row has reached, given the columns of its block."""
+    at = np.zeros(columns.shape[1], np.int16)
+    # Parents come before their children.
+    for node in np.flatnonzero(tree.feature >= 0):
+        here = at == node
+        right = layout.right(columns, int(tree.feature[node]), int(tree.bin[node]))
+        at += here * np.int16(node + 1) + (here & right)
     return at
 
 
@@ -79,49 +157,93 @@ def packed(n: int, *arrays: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["n", "bins", "label", "held", "weight", "margin"])
 
 
-def arrays(rows: Iterator) -> Iterator[tuple]:
+def unpacked(rows: Iterator) -> Iterator[tuple]:
     """(bins, label, held, weight, margin) of blocks."""
     for n, bins, label, held, weight, margin in rows:
         codes = np.frombuffer(bins, np.uint8).reshape(-1, n)
         yield codes, np.frombuffer(label), np.frombuffer(held, np.uint8) > 0, np.frombuffer(weight), np.frombuffer(margin)
 
 
-def with_trees(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+def arrays(rows: Iterator, layout: Layout, most: int) -> Iterator[tuple]:
+    """(columns, label, held, weight, margin) of blocks, small ones joined to about ``most`` rows."""
+    parts: list[tuple] = []
+    for codes, *others in unpacked(rows):
+        parts.append((layout.pack(codes), *others))
+        if sum(len(p[1]) for p in parts) >= most:
+            yield _joined(parts)
+            parts = []
+    if parts:
+        yield _joined(parts)
+
+
+def _joined(parts: list[tuple]) -> tuple:
+    return tuple(np.concatenate(p, axis=-1) for p in zip(*parts, strict=True))
+
+
+def bin_counts(rows: Iterator, sizes: Sequence[int]) -> Iterator[tuple]:
+    """A task's rows by feature and bin."""
+    counts = np.zeros((len(sizes), max(sizes)), np.int64)
+    for codes, *_ in unpacked(rows):
+        for f, bins in enumerate(codes):
+            counts[f] += np.bincount(bins, minlength=max(sizes))
+    yield (counts,)
+
+
+def overlaps(rows: Iterator, usual: np.ndarray) -> Iterator[tuple]:
+    """A task's rows in which two features are both outside their usual bins, by pair."""
+    both = np.zeros((len(usual), len(usual)), np.int64)
+    for codes, *_ in unpacked(rows):
+        other = (codes != usual[:, None]).astype(float)
+        both += (other @ other.T).astype(np.int64)
+    yield (both,)
+
+
+def with_trees(margin: np.ndarray, columns: np.ndarray, trees: Sequence[Tree], layout: Layout) -> np.ndarray:
     for tree in trees:
-        margin = margin + tree.value[places(tree, codes)]
+        margin = margin + tree.value[places(tree, columns, layout)]
     return margin
 
 
-def advanced(batches: Iterator[pa.RecordBatch], trees: Sequence[Tree]) -> Iterator[pa.RecordBatch]:
+def moved(blocks: Iterator[tuple], trees: Sequence[Tree], layout: Layout) -> Iterator[tuple]:
+    """Arrays with the trees added to their margins."""
+    for columns, label, held, weight, margin in blocks:
+        yield columns, label, held, weight, with_trees(margin, columns, trees, layout)
+
+
+def advanced(batches: Iterator[pa.RecordBatch], trees: Sequence[Tree], layout: Layout) -> Iterator[pa.RecordBatch]:
     """Blocks with the trees added to their margins."""
     for batch in batches:
-        for codes, label, held, weight, margin in arrays(zip(*[c.to_pylist() for c in batch.columns], strict=True)):
-            yield packed(len(label), codes, label, held.astype(np.uint8), weight, with_trees(margin, codes, trees))
+        for codes, label, held, weight, margin in unpacked(zip(*[c.to_pylist() for c in batch.columns], strict=True)):
+            margin = with_trees(margin, layout.pack(codes), trees, layout)
+            yield packed(len(label), codes, label, held.astype(np.uint8), weight, margin)
 
 
-def histograms(blocks: Iterator[tuple], job: dict) -> Iterator[tuple[np.ndarray, int, int]]:
-    """A task's sums of [gradient, Hessian, rows] by open node, feature and bin, and its held-out loss and rows."""
-    sizes, width, nodes = job["sizes"], job["bins"], job["open"]
-    totals = np.zeros((3, len(nodes), len(sizes), width), np.int64)
+def histograms(blocks: Iterator[tuple], layout: Layout, job: dict) -> Iterator[tuple[np.ndarray, int, int]]:
+    """A task's sums of [gradient, Hessian, rows] by open node and cell, and its held-out loss and rows."""
+    nodes = job["open"]
+    tree, recent = Tree(*job["tree"]), [Tree(*t) for t in job["recent"]]
+    first = np.concatenate([[0], np.cumsum(layout.widths)])
+    totals = np.zeros((3, len(nodes), first[-1]), np.int64)
     loss = lost = 0
-    number = np.full(len(job["tree"].feature), -1)
+    number = np.full(len(tree.feature), -1)
     number[nodes] = np.arange(len(nodes))
-    for codes, label, held, weight, margin in blocks:
-        margin = with_trees(margin, codes, job["recent"])
+    for columns, label, held, weight, margin in blocks:
+        margin = with_trees(margin, columns, recent, layout)
         if job["loss"] and held.any():
             m, y = margin[held], label[held]
             loss += int(np.rint((np.logaddexp(0, m) - y * m) * UNIT).sum())
             lost += int(held.sum())
-        at = number[places(job["tree"], codes)]
+        at = number[places(tree, columns, layout)]
         use = np.flatnonzero((at >= 0) & ~held)
+        at = at[use]
         p = 1 / (1 + np.exp(-margin[use]))
-        at, g, h = at[use], np.rint((p - label[use]) * weight[use] * UNIT), np.rint(p * (1 - p) * weight[use] * UNIT)
-        for f, size in enumerate(sizes):
-            slots = at * size + codes[f, use]
+        g, h = np.rint((p - label[use]) * weight[use] * UNIT), np.rint(p * (1 - p) * weight[use] * UNIT)
+        for c, width in enumerate(layout.widths):
+            slots = at * width + columns[c].take(use)
             for i, what in enumerate((g, h, None)):
                 # Whole numbers below 2^53 add up exactly in floating point.
-                part = np.bincount(slots, what, len(nodes) * size)
-                totals[i, :, f, :size] += part.reshape(len(nodes), size).astype(np.int64)
+                part = np.bincount(slots, what, len(nodes) * width)
+                totals[i, :, first[c] : first[c + 1]] += part.reshape(len(nodes), width).astype(np.int64)
     yield totals, loss, lost
 
 

@@ -9,30 +9,33 @@ not depend on the order of tasks and a model can be trained again bit by bit.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark import RDD, StorageLevel
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions import boosting as tasks
-from rollcall.functions.boosting import Tree
+from rollcall.functions.boosting import Layout, Tree
 from rollcall.sources.scratch import discard, written
 
 ROUNDS, RATE, DEPTH, LEAF, L2, PATIENCE = 500, 0.03, 4, 50, 1.0, 30
 HOLDOUT = 15
 # Bins of a feature, and places a quantile may be off in a million rows.
 BINS, ACCURACY = 64, 20_000
-# Margins are written down after so many rounds, which bounds the trees a task applies again.
+# Margins are written down after so many rounds, which bounds the trees a task applies again after a loss.
 SNAPSHOT = 50
-# Rows of a task; a job with fewer rows has fewer tasks.
-TASK_ROWS = 500_000
+# Margins in the executors' memory are renewed after so many rounds: every job applies the trees since then.
+REFRESH = 5
+# Most rows of a task, and rows too few to share with another one; a task works on so many at a time.
+TASK_ROWS, FEW_ROWS, CHUNK = 500_000, 20_000, 50_000
 # Sums of so many tasks are added on the driver.
-FEW_TASKS = 16
+FEW_TASKS = 64
 
 
 @dataclass(frozen=True)
@@ -80,24 +83,49 @@ def best_splits(sums: np.ndarray, leaf: int, l2: float) -> list[tuple[int, int,
     return out
 
 
-def _arrays(blocks: DataFrame) -> RDD:
+def _summed(parts: RDD) -> tuple:
+    """The sums of all tasks; those of many tasks meet in executors first."""
+    return parts.treeReduce(tasks.added) if parts.getNumPartitions() > FEW_TASKS else reduce(tasks.added, parts.collect())
+
+
+def _layout(blocks: DataFrame, sizes: np.ndarray) -> Layout:
+    """Features that no row has outside their usual bins together share a column: fewer sums to add up."""
+    (counts,) = _summed(blocks.rdd.mapPartitions(lambda it: tasks.bin_counts(it, sizes)))
+    usual = counts.argmax(axis=1)
+    (both,) = _summed(blocks.rdd.mapPartitions(lambda it: tasks.overlaps(it, usual)))
+    return Layout.of(counts, both, sizes)
+
+
+def _arrays(blocks: DataFrame, layout: Layout) -> RDD:
     """The blocks as arrays in the executors' memory or disk; what is lost is read again from the table."""
-    return blocks.rdd.mapPartitions(tasks.arrays).persist(StorageLevel.MEMORY_AND_DISK)
+    most = CHUNK
+    return blocks.rdd.mapPartitions(lambda it: tasks.arrays(it, layout, most)).persist(StorageLevel.MEMORY_AND_DISK)
+
 
+def _pickled(layout: Layout) -> bytes:
+    """The kernel of all histogram jobs; pickling its module by value anew for each takes as long as the work."""
+    return cloudpickle.dumps((tasks.histograms, layout))
 
-def _histograms(arrays: RDD, job: dict) -> tuple[np.ndarray, float, int]:
-    """Sums over all tasks by (node, feature, bin), and loss and number of held-out rows.
+
+def _histograms(arrays: RDD, layout: Layout, kernel: bytes, job: dict) -> tuple[np.ndarray, float, int]:
+    """Whole sums over all tasks by (node, feature, bin), and loss and number of held-out rows.
 
     One of hundreds of small jobs that wait for each other: planning a query for
-    each would take longer than the work, hence the partition functions. The sums
-    of many tasks meet in executors first; each is at most 8 nodes x features x bins numbers.
+    each would take longer than the work, hence the partition functions. A task's
+    sums are at most 4 nodes x features x bins numbers.
     """
-    parts = arrays.mapPartitions(lambda it: tasks.histograms(it, job))
-    if arrays.getNumPartitions() > FEW_TASKS:
-        totals, loss, lost = parts.treeReduce(tasks.added)
-    else:
-        totals, loss, lost = reduce(tasks.added, parts.collect())
-    return np.moveaxis(totals, 0, 3) / [tasks.UNIT, tasks.UNIT, 1], loss / tasks.UNIT, lost
+
+    def sums(blocks):
+        run, where = pickle.loads(kernel)
+        return run(blocks, where, job)
+
+    totals, loss, lost = _summed(arrays.mapPartitions(sums))
+    return np.moveaxis(layout.spread(totals), 0, 3), loss / tasks.UNIT, lost
+
+
+def _tasks(rows: int, slots: int) -> int:
+    """One task per core while each has enough to do, and more where one would have too much."""
+    return max(1, -(-rows // TASK_ROWS), min(-(-rows // FEW_ROWS), slots))
 
 
 def train(
@@ -137,16 +165,21 @@ def train(
         share = min(max((positive or 0.0) / (total or 1.0), 1e-6), 1 - 1e-6)
         return Ensemble(features, float(np.log(share / (1 - share))), ())
     base = float(np.log(positive / (total - positive)))
-    few = data.coalesce(max(1, -(-rows // TASK_ROWS)))
-    blocks = written(few.mapInArrow(lambda it: tasks.binned(it, cuts, base), tasks.BLOCK), "blocks")
-    arrays = _arrays(blocks)
+    binned = data.mapInArrow(lambda it: tasks.binned(it, cuts, base), tasks.BLOCK)
+    # Blocks are small beside the rows they are made from, so they are what is dealt to tasks.
+    blocks = written(binned.repartition(_tasks(rows, matrix.sparkSession.sparkContext.defaultParallelism)), "blocks")
+    layout = _layout(blocks, np.array([len(c) + 1 for c in cuts]))
+    arrays = _arrays(blocks, layout)
+    stale: list[RDD] = []
 
-    sizes = [len(c) + 1 for c in cuts]
-    job: dict = {"sizes": sizes, "bins": max(sizes)}
+    kernel = _pickled(layout)
     trees: list[Tree] = []
+    # Trees that the margins in memory, and those in the table, lack.
     recent: list[Tree] = []
+    unwritten: list[Tree] = []
     losses: list[float] = []
     best = 0
+    parents: dict[int, np.ndarray] = {}
     while True:
         tree = Tree.empty(depth)
         live = [0]
@@ -154,7 +187,22 @@ def train(
             last = level == depth or len(trees) == rounds
             if level and (last or not live):
                 break
-            sums, loss, n_held = _histograms(arrays, job | {"recent": recent, "tree": tree, "open": live, "loss": level == 0})
+            # Of two children the smaller one is summed; what it lacks of the parent is the other.
+            lesser = [min(pair, key=lambda n: (tree.rows[n], n)) for pair in zip(live[::2], live[1::2])] if level else live
+            found_sums, loss, n_held = _histograms(
+                arrays,
+                layout,
+                kernel,
+                {"recent": [t.plain() for t in recent], "tree": tree.plain(), "open": lesser, "loss": level == 0},
+            )
+            whole = dict(zip(lesser, found_sums, strict=True))
+            for node in lesser if level else ():
+                other, parent = node + 1 if node % 2 else node - 1, (node - 1) // 2
+                whole[other] = parents[parent] - whole[node]
+            parents = whole
+            sums = np.stack([whole[n] for n in live]) / [tasks.UNIT, tasks.UNIT, 1]
+            while stale:
+                stale.pop().unpersist()
             if level == 0 and n_held:
                 losses.append(loss / n_held)
                 best = int(np.argmin(losses))
@@ -178,11 +226,17 @@ def train(
             break
         trees.append(tree)
         recent.append(tree)
-        if len(recent) == SNAPSHOT:
-            moved = written(blocks.mapInArrow(lambda it, r=tuple(recent): tasks.advanced(it, r), tasks.BLOCK), "blocks")
+        unwritten.append(tree)
+        if len(unwritten) == SNAPSHOT:
+            moved = written(blocks.mapInArrow(lambda it, r=tuple(unwritten): tasks.advanced(it, r, layout), tasks.BLOCK), "blocks")
             arrays.unpersist()
             discard(blocks)
-            blocks, arrays, recent = moved, _arrays(moved), []
+            blocks, arrays, recent, unwritten = moved, _arrays(moved, layout), [], []
+        elif len(recent) == REFRESH:
+            # Made by the next job, which also reads it; the old arrays are of no use after that.
+            stale.append(arrays)
+            arrays = arrays.mapPartitions(lambda it, r=tuple(recent): tasks.moved(it, r, layout)).persist(StorageLevel.MEMORY_AND_DISK)
+            recent = []
     arrays.unpersist()
     discard(blocks)
     kept = trees[:best] if losses else trees

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.functions import boosting, kernels
 from rollcall.functions.boosting import UNIT, Tree
 from rollcall.plans import flows
 from rollcall.riskmodel import ensemble, explain, train
@@ -161,3 +162,44 @@ def test_explanations_of_a_table(spark, matrix):
     model = train.train(matrix, COLUMNS, rounds=2, rate=0.5, depth=2, leaf=10)
     parts = flows.explain.importance(ensemble.contributions(matrix, ensemble.as_table(spark, model)))
     assert parts.count() == len({f for t in model.trees for f in t.feature if f >= 0})
+
+
+def test_flags_of_a_category_share_a_column():
+    rng = np.random.default_rng(5)
+    kind, wide, gone = rng.integers(0, 4, 300), rng.integers(0, 7, 300), np.zeros(300, int)
+    flags = [(kind == k).astype(int) for k in range(4)]
+    codes = np.array([*flags, wide, gone, rng.integers(0, 2, 300)], np.uint8)
+    sizes = np.array([2, 2, 2, 2, 7, 1, 2])
+    counts = np.array([np.bincount(c, minlength=7) for c in codes])
+    usual = counts.argmax(axis=1)
+    other = codes != usual[:, None]
+    layout = boosting.Layout.of(counts, other.astype(int) @ other.T.astype(int), sizes)
+    assert len(layout.widths) < len(codes) and len({*layout.column[:4]}) == 1
+    columns = layout.pack(codes)
+    for f, size in enumerate(sizes):
+        for at in range(size):
+            assert np.array_equal(layout.right(columns, f, at), codes[f] > at)
+    cells = np.concatenate([np.bincount(c, minlength=w) for c, w in zip(columns, layout.widths)])
+    assert np.array_equal(layout.spread(cells), counts)
+
+
+def test_rows_are_dealt_to_all_cores():
+    assert [train._tasks(n, 12) for n in (1, 11_695, 100_000, 701_700, 10**8)] == [1, 1, 5, 12, 200]
+
+
+def test_renewed_margins_and_joined_blocks_change_nothing(matrix, monkeypatch):
+    settings = dict(rounds=7, rate=0.2, depth=3, leaf=5)
+    first = train.train(matrix, COLUMNS, **settings)
+    for name, value in (("REFRESH", 2), ("SNAPSHOT", 5), ("CHUNK", 50), ("FEW_ROWS", 100)):
+        monkeypatch.setattr(train, name, value)
+    assert same(first, train.train(matrix.repartition(5), COLUMNS, **settings))
+
+
+def test_a_leaf_is_worked_out_by_sets_of_conditions():
+    x = np.random.default_rng(2).normal(size=(200, 3))
+    leaf = (0.7, [(0, -np.inf, 0.1, 0.4), (2, -0.5, 0.9, 0.3), (1, 0.0, np.inf, 0.5)])
+    whole, alone = np.zeros_like(x), np.zeros_like(x)
+    kernels.add_leaf(x, leaf, whole)
+    for i in range(len(x)):
+        kernels.add_leaf(x[i : i + 1], leaf, alone[i : i + 1])
+    assert np.allclose(whole, alone, atol=1e-15)

@@ -142,16 +142,25 @@ def null_check(employees: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS)
     return _inline(counted, [_row(SECTIONS["employees"], "No Null Values", total, good, bad)])
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Every different row once, with its number of copies as ``_n``."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column, as one count."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias("_n")).agg(
+    return distinct_rows(df).agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")
     )
 
 
-def duplicate_row_check(projects: DataFrame) -> DataFrame:
+def assignments(projects: DataFrame) -> DataFrame:
     # A serial key would make every row distinct.
-    rows = projects.drop("assignment_id")
+    return projects.drop("assignment_id")
+
+
+def duplicate_row_check(projects: DataFrame) -> DataFrame:
+    rows = assignments(projects)
     good, bad = "concat(rows, ' rows – no duplicates')", "concat(n, ' fully duplicate rows found')"
     row = _row(SECTIONS["projects"], "No Duplicate Assignment Rows", "n", good, bad)
     return _inline(duplicate_rows(rows), [row])
@@ -394,16 +403,18 @@ def row_check(df: DataFrame, table: str, check_id: str, as_of: dt.date) -> DataF
     return run_row_checks(df, SECTIONS[table], chosen)
 
 
-def table_checks(df: DataFrame, employees: DataFrame, table: str, as_of: dt.date) -> DataFrame:
+def table_checks(df: DataFrame, employees: DataFrame, table: str, as_of: dt.date, copies: str | None = None) -> DataFrame:
     """All row checks of a history table and its foreign key from one scan.
 
     Violations are counted per employee first. That leaves the distinct keys,
-    which then meet the distinct employees once.
+    which then meet the distinct employees once. ``copies`` names a column that
+    says how many rows a row stands for.
     """
     checks = ROW_CHECKS[table](as_of)
     section = SECTIONS[table]
     known = employees.select("employee_id").distinct().withColumn("_known", F.lit(True))
-    keyed = df.groupBy("employee_id").agg(*[F.count_if(c.violated).alias(c.id) for c in checks])
+    rows = F.col(copies) if copies else F.lit(1)
+    keyed = df.groupBy("employee_id").agg(*[F.sum(F.when(c.violated, rows).otherwise(0)).alias(c.id) for c in checks])
     totals = keyed.join(known, "employee_id", "left").agg(
         *[F.coalesce(F.sum(c.id), F.lit(0)).alias(c.id) for c in checks],
         F.count_if(F.col("_known").isNull()).alias("fk"),
@@ -424,7 +435,13 @@ def validation_report(tables: Mapping[str, DataFrame], bands: DataFrame, as_of:
         duplicate_row_check(tables["projects"]),
         exit_order_check(tables["exits"], employees),
     ]
-    parts += [table_checks(tables[t], employees, t, as_of) for t in ROW_CHECKS if t != "employees"]
+    # The rows the duplicate check has grouped: Spark reuses that exchange, so the table is joined and shuffled once.
+    grouped = distinct_rows(assignments(tables["projects"]))
+    parts += [
+        table_checks(grouped, employees, t, as_of, "_n") if t == "projects" else table_checks(tables[t], employees, t, as_of)
+        for t in ROW_CHECKS
+        if t != "employees"
+    ]
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -208,6 +208,18 @@ def test_one_pass_table_checks_agree_with_single_checks(spark):
     assert together[quality.REFERENCE][1] == 2 and together["Performance Rating (1–5)"][1] == 2
 
 
+def test_checks_of_grouped_rows_count_copies(spark):
+    emp = spark.createDataFrame([person(1)], EMPLOYEE)
+    late, early = D(AS_OF.year + 1, 1, 1), D(2019, 1, 1)
+    rows = [(1, "a", late, None, True)] * 3 + [(1, "a", early, late, True), (None, "b", late, early, None), (None, "b", late, early, None), (9, "c", None, None, False)]
+    proj = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "assignment_id int, employee_id bigint, project_name string, start_date date, end_date date, billable boolean")
+    grouped = quality.distinct_rows(quality.assignments(proj))
+    assert grouped.count() == 4
+    together = results(quality.table_checks(grouped, emp, "projects", AS_OF, "_n"))
+    assert together == results(quality.table_checks(proj, emp, "projects", AS_OF))
+    assert together["Project Start Date (No Future)"][1] == 5 and together[quality.REFERENCE][1] == 2
+
+
 def test_empty_tables_pass(spark, tables):
     t = {k: df.limit(0) for k, df in tables.items()}
     t["projects"] = spark.createDataFrame([], "employee_id bigint, project_name string, client_name string, start_date date, end_date date, billable boolean")

@@ -21,6 +21,9 @@ UNIT = float(1 << 30)
 # Rows of a task as arrays: bins (feature by feature), label, held-out flag, weight, margin so far.
 BLOCK = "n int, bins binary, label binary, held binary, weight binary, margin binary"
 
+# Combinations of bins that one count of rows tells apart; columns' sums are sums of these.
+JOINT = 4096
+
 
 @dataclass
 class Tree:
@@ -97,6 +100,18 @@ class Layout:
             out[self.column[f], other] = place.astype(np.uint8)
         return out
 
+    def groups(self, most: int = JOINT) -> list[list[int]]:
+        """Columns whose bins are counted together, with at most ``most`` combinations unless one has more."""
+        out: list[list[int]] = []
+        for c in np.argsort(-self.widths, kind="stable").tolist():
+            for group in out:
+                if self.widths[group].prod() * self.widths[c] <= most:
+                    group.append(c)
+                    break
+            else:
+                out.append([c])
+        return out
+
     def right(self, columns: np.ndarray, feature: int, at: int) -> np.ndarray:
         """Whether rows lie in a bin of ``feature`` above ``at``."""
         usual, start, values = self.usual[feature], int(self.start[feature]), columns[self.column[feature]]
@@ -218,32 +233,47 @@ def advanced(batches: Iterator[pa.RecordBatch], trees: Sequence[Tree], layout: L
             yield packed(len(label), codes, label, held.astype(np.uint8), weight, margin)
 
 
+def members(columns: np.ndarray, rows: np.ndarray, nodes: Sequence[tuple], layout: Layout) -> list[np.ndarray]:
+    """Places of the rows of each node that is wanted; ``rows`` are those of the root.
+
+    Nodes are (parent, feature, bin, right, wanted), parents before their children.
+    """
+    masks: list[np.ndarray] = []
+    for parent, feature, at, right, _ in nodes:
+        if parent < 0:
+            masks.append(rows)
+            continue
+        above = layout.right(columns, feature, at)
+        masks.append(masks[parent] & (above if right else ~above))
+    return [np.flatnonzero(m) for m, node in zip(masks, nodes, strict=True) if node[4]]
+
+
 def histograms(blocks: Iterator[tuple], layout: Layout, job: dict) -> Iterator[tuple[np.ndarray, int, int]]:
-    """A task's sums of [gradient, Hessian, rows] by open node and cell, and its held-out loss and rows."""
-    nodes = job["open"]
-    tree, recent = Tree(*job["tree"]), [Tree(*t) for t in job["recent"]]
-    first = np.concatenate([[0], np.cumsum(layout.widths)])
-    totals = np.zeros((3, len(nodes), first[-1]), np.int64)
+    """A task's sums of [gradient, Hessian, rows] by wanted node and cell, and its held-out loss and rows."""
+    nodes, recent = job["nodes"], [Tree(*t) for t in job["recent"]]
+    first, groups = np.concatenate([[0], np.cumsum(layout.widths)]), layout.groups()
+    totals = np.zeros((3, sum(node[4] for node in nodes), first[-1]), np.int64)
     loss = lost = 0
-    number = np.full(len(tree.feature), -1)
-    number[nodes] = np.arange(len(nodes))
     for columns, label, held, weight, margin in blocks:
         margin = with_trees(margin, columns, recent, layout)
         if job["loss"] and held.any():
             m, y = margin[held], label[held]
             loss += int(np.rint((np.logaddexp(0, m) - y * m) * UNIT).sum())
             lost += int(held.sum())
-        at = number[places(tree, columns, layout)]
-        use = np.flatnonzero((at >= 0) & ~held)
-        at = at[use]
-        p = 1 / (1 + np.exp(-margin[use]))
-        g, h = np.rint((p - label[use]) * weight[use] * UNIT), np.rint(p * (1 - p) * weight[use] * UNIT)
-        for c, width in enumerate(layout.widths):
-            slots = at * width + columns[c].take(use)
-            for i, what in enumerate((g, h, None)):
-                # Whole numbers below 2^53 add up exactly in floating point.
-                part = np.bincount(slots, what, len(nodes) * width)
-                totals[i, :, first[c] : first[c + 1]] += part.reshape(len(nodes), width).astype(np.int64)
+        p = 1 / (1 + np.exp(-margin))
+        g, h = np.rint((p - label) * weight * UNIT), np.rint(p * (1 - p) * weight * UNIT)
+        parts = [(use, g.take(use), h.take(use)) for use in members(columns, ~held, nodes, layout)]
+        for group in groups:
+            widths = layout.widths[group]
+            codes = np.ravel_multi_index([columns[c] for c in group], widths)
+            for node, (use, *weights) in enumerate(parts):
+                slots = codes.take(use)
+                for i, what in enumerate((*weights, None)):
+                    # Whole numbers below 2^53 add up exactly in floating point.
+                    cells = np.bincount(slots, what, widths.prod()).reshape(widths)
+                    for axis, c in enumerate(group):
+                        others = tuple(k for k in range(len(group)) if k != axis)
+                        totals[i, node, first[c] : first[c + 1]] += cells.sum(axis=others).astype(np.int64)
     yield totals, loss, lost
 
 

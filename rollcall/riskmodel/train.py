@@ -1,14 +1,18 @@
 """Boosted trees on the feature matrix, grown from second-order histograms.
 
-Values are turned into bins once. For each level of a tree, every task adds up
-gradients and Hessians of its rows by node, feature and bin, Spark sums these
-histograms over all tasks, and the driver, which sees nothing but the sums,
-chooses the splits. Gradients are whole numbers of a fixed unit, so sums do
-not depend on the order of tasks and a model can be trained again bit by bit.
+Values are turned into bins once. Every task adds up gradients and Hessians of
+its rows by node, feature and bin, Spark sums these histograms over all tasks,
+and the driver, which sees nothing but the sums, chooses the splits. Trees that
+follow each other are alike, so a job also sums the nodes below those it is for,
+as earlier trees have split them: where the sums lead to the same split, they are
+there already, and elsewhere another job sums the right nodes. Gradients are
+whole numbers of a fixed unit, so sums do not depend on the order of tasks and a
+model can be trained again bit by bit.
 """
 
 from __future__ import annotations
 
+import heapq
 import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -34,10 +38,17 @@ SNAPSHOT = 50
 REFRESH = 5
 # Most rows of a task, and rows too few to share with another one; a task works on so many at a time.
 TASK_ROWS, FEW_ROWS, CHUNK = 500_000, 20_000, 50_000
+# Earlier splits of a node that are tried in advance, and rows a task may add up for others than the last one.
+GUESSES, SPARE_ROWS = 3, 200_000
 # Sums of so many tasks are added on the driver.
 FEW_TASKS = 64
 
 
+# The way from the root to a node, as (feature, bin, whether right), and a split as (feature, bin, rows left, rows right).
+Road = tuple[tuple[int, int, bool], ...]
+Split = tuple[int, int, int, int]
+
+
 @dataclass(frozen=True)
 class Ensemble:
     """Fitted trees: the score is 1 / (1 + exp(-(base + sum of leaf values)))."""
@@ -112,7 +123,7 @@ def _histograms(arrays: RDD, layout: Layout, kernel: bytes, job: dict) -> tuple[
 
     One of hundreds of small jobs that wait for each other: planning a query for
     each would take longer than the work, hence the partition functions. A task's
-    sums are at most 4 nodes x features x bins numbers.
+    sums are 3 x nodes x features x bins numbers.
     """
 
     def sums(blocks):
@@ -123,6 +134,48 @@ def _histograms(arrays: RDD, layout: Layout, kernel: bytes, job: dict) -> tuple[
     return np.moveaxis(layout.spread(totals), 0, 3), loss / tasks.UNIT, lost
 
 
+def _lesser(rows_left: int, rows_right: int) -> bool:
+    """Whether the right one of two children is the one to sum; the other is what it lacks of the parent."""
+    return rows_right < rows_left
+
+
+def _nodes(lacking: Sequence[Road], below: Sequence[Road], seen: dict[Road, list[Split]], depth: int, spare: int) -> dict[Road, list]:
+    """Nodes of a job: those that are lacking, and the lesser children that earlier splits give below others.
+
+    By road, as [parent, feature, bin, right, wanted]. The last split of a node is
+    always tried, earlier ones while their children have at most ``spare`` rows in all.
+    """
+    nodes: dict[Road, list] = {(): [-1, 0, 0, False, False]}
+
+    def want(road: Road) -> None:
+        for n in range(1, len(road) + 1):
+            if road[:n] not in nodes:
+                nodes[road[:n]] = [list(nodes).index(road[: n - 1]), *road[n - 1], False]
+        nodes[road][4] = True
+
+    queue: list[tuple[int, Road, Split]] = []
+
+    def guess(road: Road, rank: int) -> None:
+        if len(road) < depth - 1:
+            for i, split in enumerate(seen.get(road, ())):
+                heapq.heappush(queue, (rank + i, road, split))
+
+    for road in lacking:
+        want(road)
+    for road in below:
+        guess(road, 0)
+    while queue:
+        rank, road, (feature, at, left, right) = heapq.heappop(queue)
+        if rank:
+            if min(left, right) > spare:
+                continue
+            spare -= min(left, right)
+        want((*road, (feature, at, _lesser(left, right))))
+        for side in (False, True):
+            guess((*road, (feature, at, side)), rank)
+    return nodes
+
+
 def _tasks(rows: int, slots: int) -> int:
     """One task per core while each has enough to do, and more where one would have too much."""
     return max(1, -(-rows // TASK_ROWS), min(-(-rows // FEW_ROWS), slots))
@@ -173,55 +226,60 @@ def train(
     stale: list[RDD] = []
 
     kernel = _pickled(layout)
+    units = [tasks.UNIT, tasks.UNIT, 1]
     trees: list[Tree] = []
     # Trees that the margins in memory, and those in the table, lack.
     recent: list[Tree] = []
     unwritten: list[Tree] = []
     losses: list[float] = []
     best = 0
-    parents: dict[int, np.ndarray] = {}
+    seen: dict[Road, list[Split]] = {}
+    spare = SPARE_ROWS * arrays.getNumPartitions()
     while True:
         tree = Tree.empty(depth)
+        roads: dict[int, Road] = {0: ()}
+        known: dict[Road, np.ndarray] = {}
+        last = depth == 0 or len(trees) == rounds
         live = [0]
-        for level in range(depth + 1):
-            last = level == depth or len(trees) == rounds
-            if level and (last or not live):
-                break
+        while live:
+            start = not known
             # Of two children the smaller one is summed; what it lacks of the parent is the other.
-            lesser = [min(pair, key=lambda n: (tree.rows[n], n)) for pair in zip(live[::2], live[1::2])] if level else live
-            found_sums, loss, n_held = _histograms(
-                arrays,
-                layout,
-                kernel,
-                {"recent": [t.plain() for t in recent], "tree": tree.plain(), "open": lesser, "loss": level == 0},
-            )
-            whole = dict(zip(lesser, found_sums, strict=True))
-            for node in lesser if level else ():
-                other, parent = node + 1 if node % 2 else node - 1, (node - 1) // 2
-                whole[other] = parents[parent] - whole[node]
-            parents = whole
-            sums = np.stack([whole[n] for n in live]) / [tasks.UNIT, tasks.UNIT, 1]
+            lacking = [roads[b if _lesser(tree.rows[a], tree.rows[b]) else a] for a, b in zip(live[::2], live[1::2])] if live[0] else [()]
+            nodes = _nodes(lacking, [] if last else [roads[n] for n in live], seen, depth, spare)
+            job = {"recent": [t.plain() for t in recent], "nodes": list(nodes.values()), "loss": start}
+            found_sums, loss, n_held = _histograms(arrays, layout, kernel, job)
+            known.update(zip((road for road, node in nodes.items() if node[4]), found_sums, strict=True))
             while stale:
                 stale.pop().unpersist()
-            if level == 0 and n_held:
-                losses.append(loss / n_held)
-                best = int(np.argmin(losses))
-            if level == 0:
+            if start:
+                if n_held:
+                    losses.append(loss / n_held)
+                    best = int(np.argmin(losses))
                 # The whole is the same in every feature.
-                tree.fill(0, sums[0, 0].sum(axis=0), rate, l2)
+                tree.fill(0, known[()][0].sum(axis=0) / units, rate, l2)
                 if last or (n_held and len(trees) - best >= patience):
-                    live = []
                     break
-            onward = []
-            for node, found in zip(live, best_splits(sums, leaf, l2), strict=True):
-                if found:
+            queue, live = live, []
+            for node in queue:
+                road = roads[node]
+                if road not in known:
+                    *way, (f, b, side) = road
+                    other = known.get((*way, (f, b, not side)))
+                    if other is None:
+                        live.append(node)
+                        continue
+                    known[road] = known[tuple(way)] - other
+                (found,) = best_splits(known[road][None] / units, leaf, l2)
+                if found and found[1] < len(cuts[found[0]]):
                     f, b, left, right = found
-                    if b < len(cuts[f]):
-                        tree.split(node, f, b, float(cuts[f][b]))
-                        tree.fill(2 * node + 1, left, rate, l2)
-                        tree.fill(2 * node + 2, right, rate, l2)
-                        onward += [2 * node + 1, 2 * node + 2]
-            live = onward
+                    tree.split(node, f, b, float(cuts[f][b]))
+                    tree.fill(2 * node + 1, left, rate, l2)
+                    tree.fill(2 * node + 2, right, rate, l2)
+                    split = (f, b, int(left[2]), int(right[2]))
+                    seen[road] = [split, *(s for s in seen.get(road, ()) if s != split)][:GUESSES]
+                    if len(road) < depth - 1:
+                        roads[2 * node + 1], roads[2 * node + 2] = (*road, (f, b, False)), (*road, (f, b, True))
+                        queue += [2 * node + 1, 2 * node + 2]
         if tree.feature[0] < 0:
             break
         trees.append(tree)

@@ -203,3 +203,39 @@ def test_a_leaf_is_worked_out_by_sets_of_conditions():
     for i in range(len(x)):
         kernels.add_leaf(x[i : i + 1], leaf, alone[i : i + 1])
     assert np.allclose(whole, alone, atol=1e-15)
+
+
+def test_nodes_summed_in_advance_change_nothing_but_the_number_of_jobs(matrix, monkeypatch):
+    settings = dict(rounds=12, rate=0.05, depth=4, leaf=5)
+    jobs = []
+    real = train._histograms
+    monkeypatch.setattr(train, "_histograms", lambda *a: jobs.append(1) or real(*a))
+    model = train.train(matrix, COLUMNS, **settings)
+    few = len(jobs)
+    assert few < 3 * len(model.trees)
+    for guesses, spare in ((0, 0), (1, 0), (3, 40)):
+        monkeypatch.setattr(train, "GUESSES", guesses)
+        monkeypatch.setattr(train, "SPARE_ROWS", spare)
+        jobs.clear()
+        assert same(model, train.train(matrix, COLUMNS, **settings)) and len(jobs) >= few
+
+
+def test_columns_counted_together_have_the_sums_of_each(monkeypatch):
+    rng = np.random.default_rng(7)
+    sizes = np.array([5, 60, 64, 3])
+    codes = np.array([rng.integers(0, n, 400) for n in sizes], np.uint8)
+    counts = np.array([np.bincount(c, minlength=64) for c in codes])
+    layout = boosting.Layout.of(counts, np.ones((4, 4), int), sizes)
+    assert sorted(c for g in layout.groups() for c in g) == [0, 1, 2, 3] and len(layout.groups()) == 2
+    assert len(layout.groups(1)) == 4
+    label, held, margin = rng.integers(0, 2, 400).astype(float), rng.random(400) < 0.2, rng.normal(size=400)
+    nodes = [[-1, 0, 0, False, True], [0, 1, 20, True, False], [1, 2, 9, False, True]]
+    job = {"recent": [], "nodes": nodes, "loss": True}
+    ((totals, _, lost),) = boosting.histograms(iter([(layout.pack(codes), label, held, np.ones(400), margin)]), layout, job)
+    got, p = layout.spread(totals), 1 / (1 + np.exp(-margin))
+    g, h = np.rint((p - label) * UNIT), np.rint(p * (1 - p) * UNIT)
+    assert lost == held.sum()
+    for node, rows in enumerate((~held, ~held & (codes[1] > 20) & (codes[2] <= 9))):
+        for f in range(4):
+            for i, what in enumerate((g, h, np.ones(400))):
+                assert np.array_equal(got[i, node, f], np.bincount(codes[f][rows], what[rows], 64).astype(np.int64))

@@ -35,8 +35,8 @@ FILE_BYTES, GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 1 << 26, 1 << 24, 1 << 17, 512
 # Texts encoded by one call of the tokenizer, at most this many characters unless one text is longer.
 CALL_CHARS = 1 << 20
 CUT = re.compile(r"(?= \S)")
-# Pieces remembered by a worker.
-MOST_PIECES = 500_000
+# Pieces remembered by a worker, and those of them that stay when there are too many: the ones met most often.
+MOST_PIECES, KEPT_PIECES = 250_000, 125_000
 # Lines of one word of Latin letters and the marks that may follow it: words and marks are words of the splitting pattern.
 MARKS = ".,;:!?"
 LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
@@ -80,19 +80,38 @@ class Encoder:
 
     def forget(self) -> None:
         self.numbers, self.ids, self.starts, self.sizes, self.words = Numbers(), array("i"), array("q"), array("q"), {}
+        self.uses = np.zeros(0, np.int64)
         # Pieces that only a careless cut gives: empty, or with white space behind the space they were cut at.
         self.unsure: set[int] = set()
 
+    def thin(self) -> None:
+        """Forget the pieces met least often, and those met once."""
+        often = np.argsort(-self.uses, kind="stable")[:KEPT_PIECES]
+        kept = np.sort(often[self.uses[often] > 1])
+        keys, unsure, uses = np.array(list(self.numbers), object)[kept].tolist(), self.unsure, self.uses[kept]
+        table, sizes = np.frombuffer(self.ids, np.int32), np.frombuffer(self.sizes, np.int64)[kept]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(np.frombuffer(self.starts, np.int64)[kept] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.forget()
+        self.numbers.update(zip(keys, range(len(keys)), strict=True))
+        self.ids, self.starts, self.sizes = array("i", ids.tobytes()), array("q", (ends - sizes).tobytes()), array("q", sizes.tobytes())
+        # What was met often long ago goes some day.
+        self.uses = uses // 2
+        self.unsure = set(np.flatnonzero(np.isin(kept, list(unsure))).tolist())
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of each text's ids."""
         if len(self.numbers) > MOST_PIECES:
-            self.forget()
+            self.thin()
         which, counts = self.number(texts, np.zeros(len(texts), bool))
         if self.unsure:
             odd = np.isin(which, list(self.unsure))
             if odd.any():
                 again = np.add.reduceat(odd, np.cumsum(counts) - counts) > 0
                 which, counts = self.number(texts, again)
+        uses = np.bincount(which, minlength=len(self.numbers))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         table, starts = np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64)
         sizes = np.frombuffer(self.sizes, np.int64)[which]
         ends = np.cumsum(sizes)
@@ -148,11 +167,11 @@ class Encoder:
                 self.starts[i], self.sizes[i] = len(ids), len(found)
                 ids.extend(found.ids)
 
-    def word(self, letters: str) -> list[int]:
+    def word(self, letters: str) -> array:
         """Ids of one word of the splitting pattern, in byte letters."""
         ids = self.words.get(letters)
         if ids is None:
-            ids = self.words[letters] = [t.id for t in self.model.tokenize(letters)]
+            ids = self.words[letters] = array("i", [t.id for t in self.model.tokenize(letters)])
         return ids
 
 

@@ -99,3 +99,21 @@ def test_missing_ids_and_no_rows(spark, tokenizer, vocabulary, tmp_path, documen
     empty = str(tmp_path / "empty")
     token_store.write(documents([(1, "a")]).limit(0), empty, vocabulary)
     assert token_store.checksums(spark, empty).count() == 0 and token_store.tokens(spark, empty, 0, 5).count() == 0
+
+
+def test_pieces_met_often_stay_when_others_are_forgotten(tokenizer, vocabulary, monkeypatch):
+    monkeypatch.setattr(token_store, "MOST_PIECES", 60)
+    monkeypatch.setattr(token_store, "KEPT_PIECES", 20)
+    encoder = token_store.Encoder(vocabulary)
+    for n in range(30):
+        texts = [f"The naïve one, the  new\n\nword{chr(97 + n % 26)}{'xyz'[n % 3]} and  \t{n * 7919}.\nend" for _ in range(3)]
+        texts += ["", " ", "the and the and", " ".join(f"q{n}w{k}" for k in range(40))]
+        ids, counts = encoder.texts(texts)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+        if n:
+            # Among the few pieces kept, though the ones of this call alone are more than those.
+            assert {"the", "and"} <= set(list(encoder.numbers)[:20]) and len(encoder.numbers) < 130
+    encoder.forget()
+    once = [" ".join(f"z{k}" for k in range(100))]
+    assert all(encoder.texts(once)[0].tolist() == tokenizer.encode(once[0], add_special_tokens=False).ids for _ in range(4))

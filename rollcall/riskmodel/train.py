@@ -38,8 +38,9 @@ SNAPSHOT = 50
 REFRESH = 5
 # Most rows of a task, and rows too few to share with another one; a task works on so many at a time.
 TASK_ROWS, FEW_ROWS, CHUNK = 500_000, 20_000, 50_000
-# Earlier splits of a node that are tried in advance, and rows a task may add up for others than the last one.
-GUESSES, SPARE_ROWS = 3, 200_000
+# Earlier splits of a node that are tried in advance, and, for others than the last one, rows a task may
+# add up and nodes of a job: a job more costs far more than the sums of some nodes more.
+GUESSES, SPARE_ROWS, SPARE_NODES = 10, 200_000, 32
 # Sums of so many tasks are added on the driver.
 FEW_TASKS = 64
 
@@ -143,7 +144,8 @@ def _nodes(lacking: Sequence[Road], below: Sequence[Road], seen: dict[Road, list
     """Nodes of a job: those that are lacking, and the lesser children that earlier splits give below others.
 
     By road, as [parent, feature, bin, right, wanted]. The last split of a node is
-    always tried, earlier ones while their children have at most ``spare`` rows in all.
+    always tried, earlier ones while their children have at most ``spare`` rows in all
+    and are at most ``SPARE_NODES``, which bounds the sums of a task.
     """
     nodes: dict[Road, list] = {(): [-1, 0, 0, False, False]}
 
@@ -154,6 +156,7 @@ def _nodes(lacking: Sequence[Road], below: Sequence[Road], seen: dict[Road, list
         nodes[road][4] = True
 
     queue: list[tuple[int, Road, Split]] = []
+    others = 0
 
     def guess(road: Road, rank: int) -> None:
         if len(road) < depth - 1:
@@ -167,8 +170,9 @@ def _nodes(lacking: Sequence[Road], below: Sequence[Road], seen: dict[Road, list
     while queue:
         rank, road, (feature, at, left, right) = heapq.heappop(queue)
         if rank:
-            if min(left, right) > spare:
+            if others == SPARE_NODES or min(left, right) > spare:
                 continue
+            others += 1
             spare -= min(left, right)
         want((*road, (feature, at, _lesser(left, right))))
         for side in (False, True):

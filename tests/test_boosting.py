@@ -239,3 +239,25 @@ def test_columns_counted_together_have_the_sums_of_each(monkeypatch):
         for f in range(4):
             for i, what in enumerate((g, h, np.ones(400))):
                 assert np.array_equal(got[i, node, f], np.bincount(codes[f][rows], what[rows], 64).astype(np.int64))
+
+
+def test_nodes_that_trees_return_to_need_no_job_of_their_own(spark, monkeypatch):
+    rng, rows = random.Random(11), []
+    for i in range(1500):
+        x = [rng.random() for _ in range(6)]
+        rows.append((i, *x, int(rng.random() < sum(x) / 6)))
+    names = [f"x{i}" for i in range(6)]
+    near = spark.createDataFrame(rows, "employee_id bigint, " + ", ".join(f"{n} double" for n in names) + ", attrition int")
+    jobs = []
+    real = train._histograms
+    monkeypatch.setattr(train, "_histograms", lambda *a: jobs.append(1) or real(*a))
+    model = train.train(near, names, rounds=60, rate=0.05, depth=2, leaf=20, holdout=0, bins=8)
+    # The first splits of many trees are nearly equal; a job for each of their levels would be 120.
+    assert len(model.trees) == 60 and len(jobs) < 80
+
+
+def test_sums_in_advance_are_bounded():
+    road, splits = (), [(f, b, 60, 50) for f in range(4) for b in range(10)]
+    seen = {(): splits} | {((f, b, side),): splits for f, b, _, _ in splits for side in (False, True)}
+    nodes = train._nodes([road], [road], seen, 4, 10**6)
+    assert sum(n[4] for n in nodes.values()) <= 40

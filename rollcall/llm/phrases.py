@@ -34,31 +34,54 @@ LEAST_BITS, MOST_BITS, PER_CELL = 16, 27, 4
 PIECE = 1 << 15
 # Phrases of one trie, which bounds what is broadcast; further ones go to further tries.
 TRIE_PHRASES = 1_000_000
-# Bytes of text handled at once, to the end of the piece they end in.
-BLOCK = 1 << 22
+# Bytes of text handled at once, twice as many at most, to the end of the piece they end in.
+BLOCK = 3 << 20
+# Bytes of text of all langs that wait for a block to be full.
+WAITING = 1 << 23
 # A-Z become a-z, and characters that end a piece become a stop.
 STOP = b"."
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + STOP * 9)
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """(lang, distinct words as bytes, word numbers of the positions); stops are number -1."""
+    """(lang, distinct words as bytes, word numbers of the positions); stops are number -1.
+
+    Texts of a lang wait for others until they fill a block, so that what is done once per
+    distinct word or phrase of a block is done less often; all langs together hold a few blocks.
+    """
+    waiting: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), dtype=object)
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         for lang in sorted(set(langs)):
-            whole = STOP.join([texts[i].translate(FOLD) for i in np.flatnonzero(langs == lang)])
-            at = 0
-            while at < len(whole):
-                cut = len(whole) if len(whole) - at <= BLOCK else whole.find(STOP, at + BLOCK)
-                cut = len(whole) if cut < 0 else cut
-                words = (whole[at:cut] + STOP).replace(STOP, b" . ")
-                # Other white space has become a stop, so this splits at spaces and tabs only.
-                found = pa.array(words.split(), pa.binary()).dictionary_encode()
-                known, ids = np.array(found.dictionary.to_pylist(), dtype=object), found.indices.to_numpy()
-                stop = known == STOP
-                yield lang, known, np.where(stop[ids], -1, ids)
-                at = cut + 1
+            more = [texts[i].translate(FOLD) for i in np.flatnonzero(langs == lang)]
+            waiting.setdefault(lang, []).extend(more)
+            sizes[lang] = sizes.get(lang, 0) + sum(map(len, more))
+        del texts
+        for lang in sorted(waiting, key=sizes.get, reverse=True):
+            if sizes[lang] >= BLOCK or sum(sizes.values()) >= WAITING:
+                sizes.pop(lang)
+                yield from numbered(lang, STOP.join(waiting.pop(lang)))
+    for lang in sorted(waiting):
+        yield from numbered(lang, STOP.join(waiting.pop(lang)))
+
+
+def numbered(lang: str, whole: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """The blocks of texts of one lang."""
+    at = 0
+    while at < len(whole):
+        cut = len(whole) if len(whole) - at <= 2 * BLOCK else whole.find(STOP, at + BLOCK)
+        cut = len(whole) if cut < 0 else cut
+        words = (whole[at:cut] + STOP).replace(STOP, b" . ").replace(b"\t", b" ").strip()
+        # Other white space has become a stop, so words are what stands between spaces.
+        found = pc.split_pattern(pa.array([words], pa.large_binary()), " ").flatten().dictionary_encode()
+        known, ids = np.array(found.dictionary.to_pylist(), dtype=object), found.indices.to_numpy()
+        number = np.where(known == STOP, -1, np.arange(len(known)))
+        empty = known == b""
+        ids = ids[~empty[ids]] if empty.any() else ids
+        yield lang, known, number[ids]
+        at = cut + 1
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import phrases
@@ -103,3 +104,23 @@ def test_no_texts_and_the_small_table(spark):
     assert phrases.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert tuples(phrases.op13_collocations(spark, SMALL)) == brute(rows)
+
+
+def test_texts_of_many_batches_share_blocks(monkeypatch):
+    texts = [("en", "The\tcat  sat. "), ("de", "Der Hund"), ("en", ""), ("en", "a cat,the end"), ("de", " \t "), ("en", "sat\nThe cat")]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in row], names=["lang", "text"]) for row in texts]
+
+    def read():
+        return [(lang, [b"." if i < 0 else known[i] for i in ids]) for lang, known, ids in phrases.blocks(iter(batches))]
+
+    found = read()
+    assert [lang for lang, _ in found] == ["de", "en"]
+    assert found[0][1] == b"der hund . .".split()
+    assert found[1][1] == b"the cat sat . . . a cat . the end . sat . the cat .".split()
+    # Small blocks, and few texts that wait, hold the same words.
+    for block, waiting in ((4, 100), (1000, 10)):
+        monkeypatch.setattr(phrases, "BLOCK", block)
+        monkeypatch.setattr(phrases, "WAITING", waiting)
+        small = read()
+        assert len(small) > 2
+        assert sorted(w for _, words in small for w in words if w != b".") == sorted(w for _, words in found for w in words if w != b".")

@@ -20,6 +20,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 UNIT = float(1 << 30)
 # Rows of a task as arrays: bins (feature by feature), label, held-out flag, weight, margin so far.
 BLOCK = "n int, bins binary, label binary, held binary, weight binary, margin binary"
+# Rows of a value of a feature.
+COUNTS = "feature int, value double, n bigint"
 
 # Combinations of bins that one count of rows tells apart; columns' sums are sums of these.
 JOINT = 4096
@@ -153,6 +155,30 @@ def places(tree: Tree, columns: np.ndarray, layout: Layout) -> np.ndarray:
     return at
 
 
+def value_counts(batches: Iterator[pa.RecordBatch], features: int, few: int) -> Iterator[pa.RecordBatch]:
+    """A task's rows by feature and value from arrays of values; 0 rows of NULL for a feature with more than ``few`` values."""
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {i: (np.zeros(0), np.zeros(0, np.int64)) for i in range(features)}
+    many: list[int] = []
+    for batch in batches:
+        flat, n = batch.column(0).flatten(), batch.num_rows
+        known = flat.is_valid().to_numpy(zero_copy_only=False).reshape(n, features)
+        rows = flat.to_numpy(zero_copy_only=False).astype(float).reshape(n, features)
+        for i, (values, counts) in list(found.items()):
+            more, times = np.unique(rows[known[:, i], i], return_counts=True)
+            values, at = np.unique(np.concatenate([values, more]), return_inverse=True)
+            # Whole numbers below 2^53.
+            found[i] = values, np.bincount(at, np.concatenate([counts, times]), len(values)).astype(np.int64)
+            if len(values) > few:
+                many.append(i)
+                del found[i]
+    columns = [
+        pa.array([*np.repeat(list(found), [len(v) for v, _ in found.values()]).tolist(), *many], pa.int32()),
+        pa.array([*[x for v, _ in found.values() for x in v.tolist()], *[None] * len(many)], pa.float64()),
+        pa.array([*[x for _, c in found.values() for x in c.tolist()], *[0] * len(many)], pa.int64()),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, names=["feature", "value", "n"])
+
+
 def binned(batches: Iterator[pa.RecordBatch], cuts: Sequence[np.ndarray], base: float) -> Iterator[pa.RecordBatch]:
     """One block per batch of (x, y, held, w)."""
     for batch in batches:

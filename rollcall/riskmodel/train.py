@@ -32,6 +32,8 @@ ROUNDS, RATE, DEPTH, LEAF, L2, PATIENCE = 500, 0.03, 4, 50, 1.0, 30
 HOLDOUT = 15
 # Bins of a feature, and places a quantile may be off in a million rows.
 BINS, ACCURACY = 64, 20_000
+# Most values of a feature that are counted one by one.
+FEW_VALUES = 1_000
 # Margins are written down after so many rounds, which bounds the trees a task applies again after a loss.
 SNAPSHOT = 50
 # Margins in the executors' memory are renewed after so many rounds: every job applies the trees since then.
@@ -67,11 +69,37 @@ def held_out(percent: int = HOLDOUT) -> Column:
 
 
 def cut_points(data: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
-    """Ascending values of each feature that may part rows: a row goes left when its value is at most the cut."""
-    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    found = data.agg(*[F.percentile_approx(F.col(f"`{f}`").cast("double"), shares, ACCURACY).alias(f"q{i}") for i, f in enumerate(features)])
-    row = found.first()
-    return [np.unique(np.array([v for v in row[i] or [] if v == v], dtype=float)) for i in range(len(features))]
+    """Ascending values of each feature that may part rows: a row goes left when its value is at most the cut.
+
+    Most features are flags or small numbers. Their values are counted, which is exact; sketches,
+    which cost far more, are made of the others only.
+    """
+    counts = _counted(data, features)
+    many = [i for i in range(len(features)) if i not in counts]
+    shares = [i / bins for i in range(1, bins)]
+    asked = F.array(*[F.lit(s) for s in shares])
+    found = [F.percentile_approx(F.col(f"`{features[i]}`").cast("double"), asked, ACCURACY).alias(f"q{i}") for i in many]
+    row = data.agg(*found).first() if many else ()
+    quantiles = {i: row[at] or [] for at, i in enumerate(many)}
+    for i, (values, n) in counts.items():
+        ends = np.cumsum(n)
+        quantiles[i] = values[np.searchsorted(ends, np.ceil(np.array(shares) * ends[-1]))]
+    return [np.unique(np.array([v for v in quantiles[i] if v == v], dtype=float)) for i in range(len(features))]
+
+
+def _counted(data: DataFrame, features: Sequence[str], few: int = FEW_VALUES) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ascending values, NaN last, and their rows of each feature that has at most ``few`` of them, and one at least."""
+    values = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
+    parts = data.select(values.alias("x")).mapInArrow(lambda it: tasks.value_counts(it, len(features), few), tasks.COUNTS)
+    sums = parts.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    # A task sends at most this many values of a feature, too.
+    whole = sums.groupBy("feature").agg(F.collect_list(F.struct("value", "n")).alias("found"), F.min("n").alias("least"))
+    out = {}
+    for feature, found, _ in whole.where((F.col("least") > 0) & (F.size("found") <= few)).collect():
+        seen, n = np.array([r["value"] for r in found], float), np.array([r["n"] for r in found], np.int64)
+        order = np.argsort(seen)
+        out[feature] = seen[order], n[order]
+    return out
 
 
 def best_splits(sums: np.ndarray, leaf: int, l2: float) -> list[tuple[int, int, np.ndarray, np.ndarray] | None]:

@@ -261,3 +261,28 @@ def test_sums_in_advance_are_bounded():
     seen = {(): splits} | {((f, b, side),): splits for f, b, _, _ in splits for side in (False, True)}
     nodes = train._nodes([road], [road], seen, 4, 10**6)
     assert sum(n[4] for n in nodes.values()) <= 40
+
+
+def test_cut_points_of_few_values_are_exact(spark):
+    rng = np.random.default_rng(5)
+    few = np.minimum(rng.zipf(1.3, 40_000), 900) / 7.0
+    flag, wide = (rng.random(40_000) < 0.03).astype(float), rng.random(40_000)
+    rows = [(float(a) if i % 9 else None, float(b) if i % 11 else math.nan, float(c)) for i, (a, b, c) in enumerate(zip(few, flag, wide))]
+    data = spark.createDataFrame(rows, "few double, flag double, wide double").repartition(7)
+    assert sorted(train._counted(data, ["few", "flag", "wide"])) == [0, 1]
+    cuts = train.cut_points(data, ["few", "flag", "wide"])
+    ranks = np.array([i / 64 for i in range(1, 64)])
+    for place in (0, 1):
+        # NULLs don't count, and NaN is the greatest value.
+        known = np.sort([r[place] for r in rows if r[place] is not None])
+        exact = known[np.ceil(ranks * len(known)).astype(int) - 1]
+        assert cuts[place].tolist() == np.unique(exact[exact == exact]).tolist()
+    assert len(cuts[2]) == 63 and np.abs(cuts[2] - ranks).max() < 0.02
+
+
+def test_values_are_counted_up_to_a_bound_whatever_the_tasks(spark):
+    rows = [(float(i % 5), float(i), None) for i in range(100)]
+    data = spark.createDataFrame(rows, "a double, b double, c double").repartition(3)
+    found = train._counted(data, ["a", "b", "c"], few=50)
+    assert list(found) == [0] and found[0][0].tolist() == [0, 1, 2, 3, 4] and found[0][1].tolist() == [20] * 5
+    assert sorted(train._counted(data, ["a", "b", "c"], few=100)) == [0, 1]

@@ -40,6 +40,7 @@ BLOCK = 3 << 20
 WAITING = 1 << 23
 # A-Z become a-z, and characters that end a piece become a stop.
 STOP = b"."
+SPACE = ord(" ")
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + STOP * 9)
 
 
@@ -73,10 +74,13 @@ def numbered(lang: str, whole: bytes) -> Iterator[tuple[str, np.ndarray, np.ndar
     while at < len(whole):
         cut = len(whole) if len(whole) - at <= 2 * BLOCK else whole.find(STOP, at + BLOCK)
         cut = len(whole) if cut < 0 else cut
-        words = (whole[at:cut] + STOP).replace(STOP, b" . ").replace(b"\t", b" ").strip()
-        # Other white space has become a stop, so words are what stands between spaces.
-        found = pc.split_pattern(pa.array([words], pa.large_binary()), " ").flatten().dictionary_encode()
-        known, ids = np.array(found.dictionary.to_pylist(), dtype=object), found.indices.to_numpy()
+        words = (whole[at:cut] + STOP).replace(STOP, b" . ").replace(b"\t", b" ").strip() + b" "
+        # Other white space has become a stop, so words are what ends at a space, which they keep until they are told apart.
+        ends = np.flatnonzero(np.frombuffer(words, np.uint8) == SPACE) + 1
+        offsets = pa.py_buffer(np.append(0, ends).astype(np.int64))
+        found = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, offsets, pa.py_buffer(words)]).dictionary_encode()
+        known, ids = np.empty(len(found.dictionary), dtype=object), found.indices.to_numpy()
+        known[:] = [w[:-1] for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
         number = np.where(known == STOP, -1, np.arange(len(known)))
         empty = known == b""
         ids = ids[~empty[ids]] if empty.any() else ids
@@ -130,8 +134,12 @@ def sketched(batches: Iterator[pa.RecordBatch], bits: int, number: int, passes:
     for lang, known, ids in blocks(batches):
         for row, (_, counts, hashes) in zip(sketch, block_phrases(lang, known, ids), strict=True):
             mine = of_pass(hashes, number, passes)
-            cell, back = np.unique(cells(hashes[mine], bits), return_inverse=True)
-            more = np.bincount(back, counts[mine], len(cell))
+            # One sort of cells and counts together, which 255 of are as good as more.
+            both = np.sort(cells(hashes[mine], bits) << 8 | np.minimum(counts[mine], 255))
+            cell = both >> 8
+            first = np.flatnonzero(np.diff(cell, prepend=-1))
+            more = np.add.reduceat(both & 255, first) if len(first) else both
+            cell = cell[first]
             row[cell] = np.minimum(row[cell] + more, 255).astype(np.uint8)
     for level in range(2):
         for piece in range(-(-(1 << bits) // PIECE)):

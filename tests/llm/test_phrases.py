@@ -124,3 +124,24 @@ def test_texts_of_many_batches_share_blocks(monkeypatch):
         small = read()
         assert len(small) > 2
         assert sorted(w for _, words in small for w in words if w != b".") == sorted(w for _, words in found for w in words if w != b".")
+
+
+def test_words_keep_their_numbers_without_the_spaces_around_them():
+    whole = b"  a\tb  ab .a. \t c  b"
+    ((lang, known, ids),) = phrases.numbered("x", whole)
+    words = ["a", "b", "ab", ".", "a", ".", "c", "b", "."]
+    assert lang == "x" and [known[i].decode() if i >= 0 else "." for i in ids] == words
+    assert not any(w.startswith(b" ") or w.endswith(b" ") for w in known.tolist())
+
+
+def test_a_sketch_adds_up_cells_that_phrases_share(monkeypatch):
+    monkeypatch.setattr(phrases, "cells", lambda hashes, bits: (hashes % phrases.np.uint64(3)).astype(phrases.np.int64))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 2), pa.array(["a b " * 400, "c d e f g h"])], names=["lang", "text"])
+    (_, known, ids), *_ = phrases.blocks(iter([batch]))
+    for level, (_, counts, hashes) in enumerate(phrases.block_phrases("x", known, ids)):
+        expected = phrases.np.minimum(phrases.np.bincount((hashes % phrases.np.uint64(3)).astype(int), counts, 3), 255)
+        pieces = [b.to_pylist()[0] for b in phrases.sketched(iter([batch]), 16, 0, 1)]
+        data = next(p["counts"] for p in pieces if p["piece"] == level * (1 << phrases.MOST_BITS) // phrases.PIECE)
+        n = len(data) // 3
+        at, got = phrases.np.frombuffer(data, "<u2", n), phrases.np.frombuffer(data, phrases.np.uint8, n, 2 * n)
+        assert dict(zip(at.tolist(), got.tolist())) == {i: int(e) for i, e in enumerate(expected) if e}

@@ -23,6 +23,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +41,12 @@ SKETCH_BITS = 1024
 SKETCH_LONGS = SKETCH_BITS // 64
 # Pairs with more shingles than this are told apart by sketches of 2 ** WIDE_BITS bits.
 LONG, WIDE_BITS = 1500, 14
-# A shingle is common from this share of documents on. That only orders prefixes; results don't depend on it.
-COMMON_SHARE, COMMON_LEAST = 0.001, 16
+# Shingles are counted in 2 ** CELL_BITS cells, which travel in pieces of 2 ** PIECE_BITS. That only orders prefixes; results don't depend on it.
+CELL_BITS, PIECE_BITS = 26, 16
+# Cells of a task that wait to be sent.
+WAITING_CELLS = 1 << 23
+# A shingle is common when its cell has this share of documents, and often met when it has so many and twice the mean of its piece.
+COMMON_SHARE, COMMON_LEAST, OFTEN_LEAST = 0.001, 16, 16
 # Entries of the inverted lists packed into one bucket.
 BUCKET_ENTRIES = 500_000
 # Members of a list compared in one task.
@@ -132,47 +137,98 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(i, rows)
 
 
-def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that are common in a partition: (shingle, documents), by lossy counting.
+def cells_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
 
-    A shingle common in the whole table is common in one partition at least.
+
+def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(piece, cells): the cells of the shingles of all sets, once for each set.
+
+    Places of cells in their piece are sorted, first all high bytes, then all low ones, which packs well.
     """
-    shingler = Shingler()
-    keys, counts, rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    shingler, waiting, n = Shingler(), [], 0
     for batch in sliced(batches):
-        sets = [s for _, s in shingler.of(batch, 0)]
-        rows += len(sets)
-        if sets:
-            keys, at = np.unique(np.concatenate([keys, *sets]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([counts, np.ones(len(at) - len(counts))]), minlength=len(keys))
-            keep = counts > COMMON_SHARE / 4 * rows + 1
-            keys, counts = keys[keep], counts[keep]
-    keep = counts >= max(COMMON_LEAST / 4, COMMON_SHARE / 2 * rows)
-    if keep.any():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["shingle", "documents"]
-        )
+        waiting += [cells_of(s) for _, s in shingler.of(batch, 0)]
+        n += sum(map(len, waiting[-batch.num_rows :]))
+        if n >= WAITING_CELLS:
+            yield cell_batch(waiting)
+            waiting, n = [], 0
+    if n:
+        yield cell_batch(waiting)
+
+
+def cell_batch(waiting: list[np.ndarray]) -> pa.RecordBatch:
+    found = np.sort(np.concatenate(waiting))
+    pieces_, first = np.unique(found >> np.uint32(PIECE_BITS), return_index=True)
+    parts = np.split(found.astype(np.uint16), first[1:])
+    data = [(x >> 8).astype(np.uint8).tobytes() + x.astype(np.uint8).tobytes() for x in parts]
+    return pa.RecordBatch.from_arrays([pa.array(pieces_, pa.int64()), pa.array(data, pa.binary())], names=["piece", "cells"])
+
+
+def summed_cells(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """(piece, often, common) from rows sorted by piece: a bit for each cell met often, and the cells of common shingles."""
+    now, total = None, np.zeros(0, np.int64)
+    for batch in batches:
+        for piece, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if piece != now:
+                if now is not None:
+                    yield from frequent_cells(now, total, least)
+                now, total = piece, np.zeros(1 << PIECE_BITS, np.int64)
+            high, low = np.frombuffer(data.as_buffer(), np.uint8).reshape(2, -1)
+            total += np.bincount(high.astype(np.int64) << 8 | low, minlength=len(total))
+    if now is not None:
+        yield from frequent_cells(now, total, least)
 
 
-def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
-    """Sorted common shingles: at most the mean number of shingles in a document divided by COMMON_SHARE."""
-    least = max(COMMON_LEAST, COMMON_SHARE * rows)
-    found = docs.select("text").mapInArrow(common, "shingle bigint, documents bigint")
-    found = found.groupBy("shingle").agg(F.sum("documents").alias("n")).where(F.col("n") >= least).select("shingle").toPandas()
-    return np.sort(found["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+def frequent_cells(piece: int, total: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
+    often = total >= OFTEN_LEAST + 2 * total.mean()
+    common = total >= least
+    if (often | common).any():
+        places = (np.flatnonzero(common) + (piece << PIECE_BITS)).astype(np.uint32).tobytes()
+        columns = [pa.array([piece], pa.int64()), pa.array([np.packbits(often).tobytes()], pa.binary()), pa.array([places], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["piece", "often", "common"])
 
 
-def is_common(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    if not len(frequent):
+# A bit for each cell met often, and the sorted cells of common shingles.
+Frequent = tuple[np.ndarray, np.ndarray]
+
+
+def frequent_shingles(docs: DataFrame, rows: int) -> Frequent:
+    """What orders shingles by how many documents have them: 2 ** CELL_BITS bits, and at most the mean number of shingles in a document divided by COMMON_SHARE cells."""
+    least = max(COMMON_LEAST, COMMON_SHARE * rows)
+    found = docs.select("text").mapInArrow(tallied, "piece bigint, cells binary")
+    found = found.repartition("piece").sortWithinPartitions("piece")
+    found = found.mapInArrow(lambda it: summed_cells(it, least), "piece bigint, often binary, common binary")
+    often, common = np.zeros((1 << CELL_BITS) // 8, np.uint8), [np.zeros(0, np.uint32)]
+    for r in found.collect():
+        at = (r["piece"] << PIECE_BITS) // 8
+        often[at : at + (1 << PIECE_BITS) // 8] = np.frombuffer(r["often"], np.uint8)
+        common.append(np.frombuffer(r["common"], np.uint32))
+    return often, np.sort(np.concatenate(common))
+
+
+def is_common(shingles: np.ndarray, frequent: Frequent) -> np.ndarray:
+    common = frequent[1]
+    if not len(common):
         return np.zeros(len(shingles), dtype=bool)
-    return frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+    cells = cells_of(shingles)
+    return common[np.minimum(np.searchsorted(common, cells), len(common) - 1)] == cells
+
 
+def is_often(shingles: np.ndarray, frequent: Frequent) -> np.ndarray:
+    cells = cells_of(shingles)
+    return (frequent[0][cells >> np.uint32(3)] >> (7 - (cells & np.uint32(7))).astype(np.uint8)) & 1 == 1
 
-def prefixes(shingles: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rare and the common part of a prefix. The global order has rare shingles by hash, then common ones by hash."""
+
+def prefixes(shingles: np.ndarray, frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
+    """The rare and the common part of a prefix.
+
+    The global order has shingles met seldom by hash, then those met often by hash, then common ones by hash:
+    what many documents share gets into a prefix last, so lists stay short as tables grow.
+    """
     size = prefix_length(len(shingles))
-    hot = is_common(shingles, frequent)
-    rare = shingles[~hot][:size]
+    hot, often = is_common(shingles, frequent), is_often(shingles, frequent)
+    rare = np.concatenate([shingles[~hot & ~often], shingles[~hot & often]])[:size]
     return rare, shingles[hot][: size - len(rare)]
 
 
@@ -185,7 +241,7 @@ def sketch(shingles: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def describe(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def describe(batches: Iterator[pa.RecordBatch], frequent: Frequent) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint of the set, sketch and prefix of each text; small sets are kept whole."""
     shingler, none = Shingler(), np.zeros(0, np.int64)
     for batch in sliced(batches):
@@ -223,7 +279,7 @@ def subset_keys(shingles: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(keys), np.concatenate(common_)
 
 
-def entries(batch: pa.RecordBatch, edge: int, frequent: np.ndarray, hot: bool) -> tuple[np.ndarray, np.ndarray]:
+def entries(batch: pa.RecordBatch, edge: int, frequent: Frequent, hot: bool) -> tuple[np.ndarray, np.ndarray]:
     """Keys and ids of the sets (id, n, rare, common, whole) of a batch.
 
     Heavy sets, and light ones that a heavy set may link to, enter their prefix;
@@ -249,14 +305,14 @@ def entries(batch: pa.RecordBatch, edge: int, frequent: np.ndarray, hot: bool) -
     return np.concatenate(keys), np.concatenate(ids)
 
 
-def hot_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def hot_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: Frequent) -> Iterator[pa.RecordBatch]:
     """(key, id) rows of the keys made of common shingles."""
     for batch in batches:
         keys, ids = entries(batch, edge, frequent, True)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], names=["key", "id"])
 
 
-def packed_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+def packed_entries(batches: Iterator[pa.RecordBatch], edge: int, frequent: Frequent, buckets: int) -> Iterator[pa.RecordBatch]:
     """Entries of the other keys, packed by bucket: (bucket, keys, ids)."""
     for batch in batches:
         keys, ids = entries(batch, edge, frequent, False)
@@ -331,10 +387,15 @@ def wide_sketch(shingles: np.ndarray) -> bytes:
 
 
 def keyed(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.RecordBatch]:
-    """The set, or its wide sketch, of each text."""
+    """The set, or its wide sketch, of each text; texts that follow themselves are split once."""
     shingler = Shingler()
     for batch in sliced(batches, 500):
-        found = [wide_sketch(s) if wide else s.tobytes() for _, s in shingler.of(batch, 4)]
+        texts = batch.column(4)
+        new = np.ones(len(texts), dtype=bool)
+        new[1:] = pc.fill_null(pc.not_equal(texts[1:], texts[:-1]), True).to_numpy(zero_copy_only=False)
+        once = pa.RecordBatch.from_arrays([texts.filter(pa.array(new))], names=["text"])
+        made = [wide_sketch(s) if wide else s.tobytes() for _, s in shingler.of(once, 0)]
+        found = [made[i] for i in (np.cumsum(new) - 1).tolist()]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:4], pa.array(found, pa.binary())], names=["head", "part", "member", "id", "data"]
         )
@@ -455,8 +516,7 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    frequent = common_shingles(docs, docs.count())
-    shared = spark.sparkContext.broadcast(frequent)
+    shared = spark.sparkContext.broadcast(frequent_shingles(docs, docs.count()))
     long, many = "bigint", "array<bigint>"
     described = docs.mapInArrow(
         lambda it: describe(it, shared.value),

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import exact_dedup, langid, ngram_join
@@ -120,6 +121,35 @@ def test_hub_lists_scanned_in_blocks(monkeypatch, documents, block):
     assert {r.doc_id: r.component_id for r in out} == brute_classes(rows)
 
 
+def test_a_passage_of_many_texts_proposes_no_pairs(monkeypatch, documents):
+    """Long texts that share a passage only are not held against each other, however many they are."""
+    tried = []
+    verified = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *rest: tried.append(pairs.count()) or verified(pairs, *rest))
+    # In a large table a passage of so many texts is not common yet.
+    monkeypatch.setattr(ngram_join, "COMMON_LEAST", 1000)
+    passage = [f"p{i}" for i in range(200)]
+    rows = [(i, " ".join([f"w{i}x{j}" for j in range(2400)] + passage)) for i in range(30)]
+    rows.append((99, rows[7][1] + " and an end"))
+    out = ngram_join.classes(documents(rows)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: i for i in range(30)} | {99: 7}
+    assert tried == [1, 0]
+
+
+def test_texts_that_follow_themselves_are_split_once(monkeypatch):
+    texts = ["a b c d e f", "a b c d e f", None, None, "", "a b c d e f", "g h"]
+    n = len(texts)
+    columns = [pa.array(range(n)), pa.array([0] * n), pa.array([True] * n), pa.array(range(n)), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["head", "part", "member", "id", "text"])
+    seen = []
+    of = ngram_join.Shingler.of
+    monkeypatch.setattr(ngram_join.Shingler, "of", lambda self, b, c: seen.extend(b.column(c).to_pylist()) or of(self, b, c))
+    (out,) = ngram_join.keyed(iter([batch]), False)
+    sizes = [len(x) // 8 for x in out.column(4).to_pylist()]
+    assert sizes == [2, 2, 0, 0, 0, 2, 1] and out.column(3).to_pylist() == list(range(n))
+    assert len(seen) < n
+
+
 def test_subsets_meet_for_every_similar_pair():
     """Two light sets that link share a subset of a size both enumerate."""
     for a in range(1, 24):

@@ -1,12 +1,13 @@
 """Collocations: phrases of two or three words that occur together more often than their parts.
 
-Three passes over the texts. The first counts hashed phrases in a sketch of
+Two passes over the texts. The first counts hashed phrases in a sketch of
 fixed size; a phrase whose cell stays below the least count cannot reach it,
 so only phrases whose cells and whose parts' cells reach it are candidates, and
-none that counts is lost. The second pass writes these candidates down. The
-last one holds them in a double-array trie, advances every position of a text
-by one word at a time, and counts the states it arrives in; counts of all
-tasks are summed.
+none that counts is lost. The second pass sends the candidates of every block of
+text, with their counts, to tries by hash. A double-array trie holds its share of
+the candidates, advances every one it is sent by one word at a time, and adds
+its count to the state it arrives in. However many tries there are, texts are
+not read again for them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.double_array import DoubleArray, step
+from rollcall.llm.double_array import DoubleArray
 from rollcall.llm.support import Scratch, by_value, table
 
 by_value(__name__)
@@ -29,18 +30,20 @@ by_value(__name__)
 # The fixed values of the score: least count, parts per unit, share of a count that hides a shorter phrase.
 LEAST, UNIT, HIDES, TOP = 10, 1_000_000, 50, 2000
 # Cells of a sketch are 2^bits, at most 2^MOST_BITS of one byte; more words than PER_CELL of these take further passes.
-LEAST_BITS, MOST_BITS, PER_CELL = 16, 27, 4
+LEAST_BITS, MOST_BITS, PER_CELL = 16, 28, 10
 # Cells of a piece of a sketch.
-PIECE = 1 << 15
-# Phrases of one trie, which bounds what is broadcast; further ones go to further tries.
-TRIE_PHRASES = 1_000_000
+PIECE = 1 << 16
+# Cells of a task's sketch that wait to be sent.
+WAITING_CELLS = 1 << 22
+# A trie for so many phrases that blocks send, of which there is less than one in PHRASE_BYTES of text; further ones go to further tries.
+TRIE_PHRASES, PHRASE_BYTES = 1_000_000, 16
 # Bytes of text handled at once, twice as many at most, to the end of the piece they end in.
 BLOCK = 3 << 20
 # Bytes of text of all langs that wait for a block to be full.
 WAITING = 1 << 23
 # A-Z become a-z, and characters that end a piece become a stop.
 STOP = b"."
-SPACE = ord(" ")
+SPACE, LINE = ord(" "), ord("\n")
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + STOP * 9)
 
 
@@ -96,12 +99,16 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def word_hashes(lang: str, known: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    seed = pd.util.hash_array(np.array([lang], dtype=object), categorize=False)[0]
+    return pd.util.hash_array(known, categorize=False), seed
+
+
 def block_phrases(lang: str, known: np.ndarray, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For two and for three words: distinct word numbers (rows x words), counts and hashes of a block's phrases."""
     if len(known) >= 1 << 21:
         raise ValueError("too many different words in one block")
-    hashes = pd.util.hash_array(known, categorize=False)
-    seed = pd.util.hash_array(np.array([lang], dtype=object), categorize=False)[0]
+    hashes, seed = word_hashes(lang, known)
     out = []
     for n in (2, 3):
         columns = [ids[i : len(ids) - n + 1 + i].astype(np.int64) for i in range(n)]
@@ -129,28 +136,40 @@ def of_pass(hashes: np.ndarray, number: int, passes: int) -> np.ndarray:
 
 
 def sketched(batches: Iterator[pa.RecordBatch], bits: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
-    """The task's sketch of two- and three-word phrases, piece by piece: places and counts (at most 255) of full cells."""
-    sketch = np.zeros((2, 1 << bits), np.uint8)
+    """The task's sketch of two- and three-word phrases: pieces with places and counts (at most 255) of full cells.
+
+    Only cells that the task has met are held, however large the sketch is; a piece may come more than once.
+    """
+    waiting: list[list[np.ndarray]] = [[], []]
+    held = 0
     for lang, known, ids in blocks(batches):
-        for row, (_, counts, hashes) in zip(sketch, block_phrases(lang, known, ids), strict=True):
+        for row, (_, counts, hashes) in zip(waiting, block_phrases(lang, known, ids), strict=True):
             mine = of_pass(hashes, number, passes)
-            # One sort of cells and counts together, which 255 of are as good as more.
-            both = np.sort(cells(hashes[mine], bits) << 8 | np.minimum(counts[mine], 255))
-            cell = both >> 8
-            first = np.flatnonzero(np.diff(cell, prepend=-1))
-            more = np.add.reduceat(both & 255, first) if len(first) else both
-            cell = cell[first]
-            row[cell] = np.minimum(row[cell] + more, 255).astype(np.uint8)
-    for level in range(2):
-        for piece in range(-(-(1 << bits) // PIECE)):
-            part = sketch[level, piece * PIECE : (piece + 1) * PIECE]
-            full = np.flatnonzero(part)
-            if len(full):
-                data = full.astype("<u2").tobytes() + part[full].tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([level * (1 << MOST_BITS) // PIECE + piece], pa.int64()), pa.array([data], pa.binary())],
-                    names=["piece", "counts"],
-                )
+            row.append(cells(hashes[mine], bits) << 8 | np.minimum(counts[mine], 255))
+            held += len(row[-1])
+        if held >= WAITING_CELLS:
+            yield from sketch_rows(waiting)
+            waiting, held = [[], []], 0
+    yield from sketch_rows(waiting)
+
+
+def sketch_rows(waiting: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for level, parts in enumerate(waiting):
+        # One sort of cells and counts together, which 255 of are as good as more.
+        both = np.sort(np.concatenate([np.zeros(0, np.int64), *parts]))
+        if not len(both):
+            continue
+        cell = both >> 8
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        counts = np.minimum(np.add.reduceat(both & 255, first), 255).astype(np.uint8)
+        cell = cell[first]
+        pieces, at = np.unique(cell // PIECE, return_index=True)
+        spans = list(zip(at.tolist(), [*at[1:].tolist(), len(cell)], strict=True))
+        places = (cell % PIECE).astype("<u2")
+        data = [places[a:b].tobytes() + counts[a:b].tobytes() for a, b in spans]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pieces + level * (1 << MOST_BITS) // PIECE, pa.int64()), pa.array(data, pa.binary())], names=["piece", "counts"]
+        )
 
 
 def summed_pieces(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -168,128 +187,113 @@ def summed_pieces(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
     )
 
 
-def survivors(batches: Iterator[pa.RecordBatch], full: list[np.ndarray], bits: int, number: int, passes: int) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase) of a block's distinct phrases whose cells are full; of one pass, also their parts' cells."""
+def survivors(
+    batches: Iterator[pa.RecordBatch], full: list[np.ndarray], bits: int, number: int, passes: int, tries: int
+) -> Iterator[pa.RecordBatch]:
+    """(trie, lang, phrases, counts): a block's distinct phrases whose cells are full, with their counts, by trie.
+
+    Of one pass, their parts' cells are full as well. The first pass also sends all single words.
+    Every phrase ends with a line end, which no word has.
+    """
     for lang, known, ids in blocks(batches):
-        phrases = block_phrases(lang, known, ids)
+        word = pa.array(known, pa.binary())
+        last = pa.array([w + b"\n" for w in known.tolist()], pa.binary())
+        found, many, shard = [], [], []
+        if number == 0:
+            counts = np.bincount(ids[ids >= 0], minlength=len(known))
+            some = np.flatnonzero(counts)
+            hashes, seed = word_hashes(lang, known)
+            found.append(last.take(pa.array(some)))
+            many.append(counts[some])
+            shard.append(of_trie(mixed(np.full(len(some), seed), hashes[some]), tries))
         pairs = None
-        for level, (words, _, hashes) in enumerate(phrases):
+        for level, (words, counts, hashes) in enumerate(block_phrases(lang, known, ids)):
             cell = cells(hashes, bits)
             keep = (full[level][cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
             keep &= of_pass(hashes, number, passes)
+            on = np.flatnonzero(keep)
             if level == 0:
-                pairs = words[keep] @ np.array([len(known), 1])
+                pairs = words[on] @ np.array([len(known), 1])
             elif passes == 1:
                 for at in (0, 1):
-                    keep &= np.isin(words[:, at : at + 2] @ np.array([len(known), 1]), pairs)
-            names = known[words[keep]]
-            found = [b" ".join(row).decode() for row in names.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string())], names=["lang", "phrase"])
-
-
-def packed_trie(part: pa.Table) -> pa.Table:
-    """One row from a trie's share of (id, lang, phrase, trie): its words, arrays, and ids by state, as bytes."""
-    split = pc.split_pattern(part["phrase"].cast(pa.binary()).combine_chunks(), " ")
-    sizes = np.diff(split.offsets.to_numpy())
-    flat = split.flatten().dictionary_encode()
-    found, langs = flat.dictionary, part["lang"].combine_chunks().dictionary_encode()
-    # Word numbers follow no order; those of langs come behind them.
-    which, row = flat.indices.to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
-    paths = np.full((len(sizes), 4), -1, np.int32)
-    paths[:, 0] = langs.indices.to_numpy() + len(found)
-    paths[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = which
-    trie, states = DoubleArray(len(found) + len(langs.dictionary)), np.zeros(len(sizes), np.int64)
-    for level in range(4):
-        on = np.flatnonzero(paths[:, level] >= 0)
-        states[on] = trie.extend(states[on], paths[on, level].astype(np.int64))
-    base, check = trie.packed()
-    order = np.argsort(states, kind="stable")
-    ids = part["id"].to_numpy()[order]
-    fields = {
-        "trie": pa.array([part["trie"][0].as_py()], pa.int64()),
-        "words": pa.array([b" ".join(found.to_pylist())], pa.binary()),
-        "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())),
-        "width": pa.array([trie.width], pa.int32()),
-    }
-    for name, data in (("base", base), ("check", check), ("states", states[order].astype(np.int32)), ("ids", ids)):
-        fields[name] = pa.array([data.tobytes()], pa.binary())
-    return pa.table(fields)
-
-
-TRIE = "trie bigint, words binary, langs array<string>, width int, base binary, check binary, states binary, ids binary"
-COUNTS = "piece bigint, counts binary, lang string, n bigint"
-
-
-def counted(batches: Iterator[pa.RecordBatch], trie: dict, totals: bool) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the trie's phrases in the task's texts, piece by piece, and, with ``totals``, words per lang."""
-    words = trie["words"].split(b" ")
-    number, n_langs = {w: i for i, w in enumerate(words)}, {x: len(words) + i for i, x in enumerate(trie["langs"])}
-    base, check = (np.frombuffer(trie[k], np.int32) for k in ("base", "check"))
-    width, accepting = trie["width"], np.frombuffer(trie["states"], np.int32)
-    # Accepting states are numbered by their place among the sorted ones.
-    accept = np.full(len(base), -1, np.int32)
-    accept[accepting] = np.arange(len(accepting))
-    seen, n_words = np.zeros(len(accepting), np.int64), {}
-    for lang, known, ids in blocks(batches):
-        n_words[lang] = n_words.get(lang, 0) + int((ids >= 0).sum())
-        if lang not in n_langs:
+                    on = on[np.isin(words[on, at : at + 2] @ np.array([len(known), 1]), pairs)]
+            columns = [word.take(pa.array(words[on, i])) for i in range(level + 1)] + [last.take(pa.array(words[on, level + 1]))]
+            found.append(pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())))
+            many.append(counts[on])
+            shard.append(of_trie(hashes[on], tries))
+        shard = np.concatenate(shard)
+        if not len(shard):
             continue
-        symbol = np.array([*[number.get(w, -1) for w in known.tolist()], -1], np.int64)[ids]
-        _, start = step(base, check, width, np.zeros(1, np.int64), np.array([n_langs[lang]]))
-        at, states = np.arange(len(symbol)), np.repeat(start, len(symbol))
-        for level in range(3):
-            inside = at + level < len(symbol)
-            at, states = at[inside], states[inside]
-            live, states = step(base, check, width, states, symbol[at + level])
-            at = at[live]
-            reached = accept[states]
-            seen += np.bincount(reached[reached >= 0], minlength=len(seen))
-    for piece in range(-(-len(seen) // PIECE)):
-        part = seen[piece * PIECE : (piece + 1) * PIECE]
-        some = np.flatnonzero(part)
-        if len(some):
-            data = some.astype("<u2").tobytes() + part[some].tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([piece], pa.int64()), pa.array([data], pa.binary()), pa.array([None], pa.string()), pa.array([None], pa.int64())],
-                names=["piece", "counts", "lang", "n"],
-            )
-    if totals:
-        langs = sorted(n_words)
-        none = [None] * len(langs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1] * len(langs), pa.int64()), pa.array(none, pa.binary()), pa.array(langs, pa.string()), pa.array([n_words[x] for x in langs], pa.int64())],
-            names=["piece", "counts", "lang", "n"],
-        )
-
-
-def summed_counts(batches: Iterator[pa.RecordBatch], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(id, lang, n): the pieces of all tasks added up; sums per lang pass through as they are."""
-    totals: dict[int, np.ndarray] = {}
-    langs: dict[str, int] = {}
-    for batch in batches:
-        for piece, data, lang, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if piece < 0:
-                langs[lang] = langs.get(lang, 0) + n
-                continue
-            k = len(data) // 10
-            total = totals.setdefault(piece, np.zeros(PIECE, np.int64))
-            total[np.frombuffer(data, "<u2", k)] += np.frombuffer(data, np.int64, k, 2 * k)
-    for piece, total in totals.items():
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[piece * PIECE + some]), pa.nulls(len(some), pa.string()), pa.array(total[some])], names=["id", "lang", "n"]
-        )
-    if langs:
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(langs), pa.int64()), pa.array(langs.keys(), pa.string()), pa.array(langs.values(), pa.int64())], names=["id", "lang", "n"]
-        )
+        order = np.argsort(shard, kind="stable")
+        phrases = pa.concat_arrays(found).take(pa.array(order))
+        counts = np.concatenate(many)[order].astype("<u4")
+        at, first = np.unique(shard[order], return_index=True)
+        spans = list(zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True))
+        offsets = np.frombuffer(phrases.buffers()[1], np.int32, len(phrases) + 1, 4 * phrases.offset).tolist()
+        data = phrases.buffers()[2] or b""
+        columns = [
+            pa.array(at, pa.int64()),
+            pa.array([lang] * len(at), pa.string()),
+            pa.array([data[offsets[a] : offsets[b]].to_pybytes() for a, b in spans], pa.binary()),
+            pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["trie", "lang", "phrases", "counts"])
+
+
+def of_trie(hashes: np.ndarray, tries: int) -> np.ndarray:
+    return (hashes >> np.uint64(8)) % np.uint64(tries)
+
+
+SENT = "trie bigint, lang string, phrases binary, counts binary"
+COUNTS = "lang string, phrase string, f bigint"
+
+
+def counted(part: pa.Table, least: int) -> pa.Table:
+    """(lang, phrase, f) of a trie's phrases that reach ``least``, and (lang, NULL, words) of its single words."""
+    counts = [np.frombuffer(c, "<u4") for c in part["counts"].to_pylist()]
+    langs = part["lang"].combine_chunks().dictionary_encode()
+    lang = np.repeat(langs.indices.to_numpy(), [len(c) for c in counts])
+    counts = np.concatenate(counts).astype(np.int64)
+    data = b"".join(part["phrases"].to_pylist())
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero((raw == SPACE) | (raw == LINE))
+    done = np.flatnonzero(raw[ends] == LINE)
+    # Words are what ends at a space, phrases what ends at a line end.
+    first = np.append(0, done[:-1] + 1)
+    sizes = done - first + 1
+    split = lambda at, text: pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(0, at + 1).astype(np.int64)), pa.py_buffer(text)])
+    words = split(ends, data.replace(b"\n", b" ")).dictionary_encode()
+    symbols, n_words = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+    # Word numbers follow no order; those of langs come behind them.
+    trie = DoubleArray(n_words + len(langs.dictionary))
+    states = trie.extend(np.zeros(len(lang), np.int64), lang.astype(np.int64) + n_words)
+    for level in range(3):
+        on = np.flatnonzero(sizes > level)
+        states[on] = trie.extend(states[on], symbols[first[on] + level])
+    # Sums stay below 2^53, so they are whole.
+    seen = np.bincount(states, weights=counts).astype(np.int64)
+    arrived, where = np.unique(states, return_index=True)
+    where = where[seen[arrived] >= least]
+    phrases = pc.utf8_rtrim(split(ends[done], data).take(pa.array(where)).cast(pa.large_string()), "\n").cast(pa.string())
+    single = np.bincount(lang, weights=np.where(sizes == 1, counts, 0), minlength=len(langs.dictionary)).astype(np.int64)
+    names = langs.dictionary
+    return pa.table(
+        {
+            "lang": pa.concat_arrays([names.take(pa.array(lang[where])), names]),
+            "phrase": pa.concat_arrays([phrases, pa.nulls(len(names), pa.string())]),
+            "f": np.concatenate([seen[states[where]], single]),
+        }
+    )
 
 
-def candidates(texts: DataFrame, n_bytes: int, least: int, scratch: Scratch, most_bits: int = MOST_BITS) -> DataFrame:
-    """(lang, phrase) of every phrase of two or three words that may occur ``least`` times, and their single words."""
+def candidates(
+    texts: DataFrame, n_bytes: int, least: int, scratch: Scratch, most_bits: int = MOST_BITS, trie_phrases: int = TRIE_PHRASES
+) -> DataFrame:
+    """(lang, phrase, f): counts of all phrases of one to three words that occur ``least`` times, and parts of a lang's words without phrase."""
     words = max(1, n_bytes // 4)
     bits = min(most_bits, max(LEAST_BITS, math.ceil(math.log2(words / 2))))
     passes = -(-words // (PER_CELL << bits))
+    tries = max(1, -(-n_bytes // (trie_phrases * PHRASE_BYTES)))
     found = []
     for number in range(passes):
         pieces = texts.mapInArrow(lambda it, i=number: sketched(it, bits, i, passes), "piece bigint, counts binary")
@@ -301,45 +305,22 @@ def candidates(texts: DataFrame, n_bytes: int, least: int, scratch: Scratch, mos
             data = np.frombuffer(r["bits"], np.uint8)
             maps[level][piece * PIECE // 8 : piece * PIECE // 8 + len(data)] = data
         shared = texts.sparkSession.sparkContext.broadcast(maps)
-        rows = texts.mapInArrow(lambda it, i=number, m=shared: survivors(it, m.value, bits, i, passes), "lang string, phrase string")
-        found.append(scratch.save(rows.distinct(), "found"))
-    phrases = found[0]
+        rows = texts.mapInArrow(lambda it, i=number, m=shared: survivors(it, m.value, bits, i, passes, tries), SENT)
+        found.append(scratch.save(rows.groupBy("trie").applyInArrow(lambda part: counted(part, least), COUNTS), "counts"))
+        shared.unpersist()
+    whole = found[0]
     for more in found[1:]:
-        phrases = phrases.union(more)
-    single = phrases.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    return scratch.save(phrases.union(single).withColumn("id", F.monotonically_increasing_id()), "candidates")
+        whole = whole.union(more)
+    return whole
 
 
 def frequencies(docs: DataFrame, least: int, scratch: Scratch, trie_phrases: int = TRIE_PHRASES, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame]:
-    """Exact (lang, phrase, f) of all candidates and (lang, n) of all words."""
+    """Exact (lang, phrase, f) of all phrases and words that occur ``least`` times, and (lang, n) of all words."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n_bytes = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    wanted = candidates(texts, n_bytes, least, scratch, most_bits)
-    tries = max(1, -(-wanted.count() // trie_phrases))
-    # Dealt by hash, so each trie holds about as many; tasks pack them, and one at a time is broadcast.
-    dealt = wanted.withColumn("trie", F.pmod(F.xxhash64("id"), F.lit(tries))).select("id", "lang", "phrase", "trie")
-    packed = scratch.save(dealt.groupBy("trie").applyInArrow(packed_trie, TRIE), "tries")
-    counts, totals = [], True
-    for i in range(tries):
-        row = packed.where(F.col("trie") == i).first()
-        if row is None:
-            continue
-        trie = {k: bytes(v) if isinstance(v, bytearray) else v for k, v in row.asDict().items()}
-        shared = docs.sparkSession.sparkContext.broadcast(trie)
-        rows = texts.mapInArrow(lambda it, t=shared, first=totals: counted(it, t.value, first), COUNTS)
-        rows = rows.repartition("piece").mapInArrow(lambda it, t=shared: summed_counts(it, np.frombuffer(t.value["ids"], np.int64)), "id bigint, lang string, n bigint")
-        counts.append(scratch.save(rows, "counts"))
-        shared.unpersist()
-        totals = False
-    if not counts:
-        none = docs.sparkSession.createDataFrame([], "lang string, phrase string, f bigint, n bigint")
-        return none.select("lang", "phrase", "f"), none.select("lang", "n")
-    whole = counts[0]
-    for more in counts[1:]:
-        whole = whole.union(more)
-    f = wanted.join(whole.where("id IS NOT NULL").select("id", F.col("n").alias("f")), "id").select("lang", "phrase", "f")
-    return scratch.save(f, "frequencies"), whole.where("id IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    counts = candidates(texts, n_bytes, least, scratch, most_bits, trie_phrases)
+    return counts.where("phrase IS NOT NULL"), counts.where("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def score_of(a: Column, left: Column, right: Column) -> Column:
@@ -376,7 +357,7 @@ def collocations(docs: DataFrame, least: int = LEAST, hides: int = HIDES, top: i
     Pieces end at ``.,;:!?`` and line ends, words at spaces and tabs; A-Z are
     lower-cased. NULL lang is ``und``, NULL text empty. Repeated rows count
     each time. Columns besides lang and text are not looked at; no texts give no rows.
-    Texts are read once more for every ``trie_phrases`` candidates.
+    A trie stands for ``trie_phrases`` phrases; texts are read twice, however many tries there are.
     """
     scratch = Scratch(docs.sparkSession, "phrases")
     return ranked(*frequencies(docs, least, scratch, trie_phrases, most_bits), least, hides, top)

@@ -145,3 +145,52 @@ def test_a_sketch_adds_up_cells_that_phrases_share(monkeypatch):
         n = len(data) // 3
         at, got = phrases.np.frombuffer(data, "<u2", n), phrases.np.frombuffer(data, phrases.np.uint8, n, 2 * n)
         assert dict(zip(at.tolist(), got.tolist())) == {i: int(e) for i, e in enumerate(expected) if e}
+
+
+def test_texts_are_read_as_often_for_many_tries(spark, monkeypatch):
+    rows = made(10)
+    frame = spark.createDataFrame([(t, x) for x, t in rows], "text string, lang string")
+    calls = spark.sparkContext.accumulator(0)
+    passed = phrases.blocks
+
+    def counting(batches):
+        calls.add(1)
+        yield from passed(batches)
+
+    monkeypatch.setattr(phrases, "blocks", counting)
+    reads = []
+    for trie_phrases in (1_000_000, 20):
+        before = calls.value
+        assert tuples(phrases.collocations(frame.coalesce(1), trie_phrases=trie_phrases)) == brute(rows)
+        reads.append(calls.value - before)
+    assert reads == [2, 2]
+
+
+def test_a_trie_adds_up_what_blocks_send():
+    sent = [(0, "en", b"a\na b\na b c\nb\n", [5, 2, 1, 300]), (0, "de", b"a\na b\n", [9, 1]), (0, "en", b"a b\nb c\xc3\xa9 a\na\n", [4, 7, 1])]
+    columns = [pa.array([r[i] for r in sent]) for i in range(3)] + [pa.array([phrases.np.array(r[3], "<u4").tobytes() for r in sent])]
+    out = phrases.counted(pa.table(dict(zip(("trie", "lang", "phrases", "counts"), columns, strict=True))), 6).to_pylist()
+    assert {(r["lang"], r["phrase"], r["f"]) for r in out} == {
+        ("en", "a", 6), ("en", "a b", 6), ("en", "b", 300), ("en", "b cé a", 7), ("de", "a", 9), ("en", None, 306), ("de", None, 9),
+    }
+
+
+def test_a_sketch_holds_the_cells_it_met_only(monkeypatch):
+    """Pieces that are sent early add up, and a large sketch takes no more memory than its phrases."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 3), pa.array(["a b c " * 300, "d e f", "a b c d"])], names=["lang", "text"])
+    monkeypatch.setattr(phrases, "BLOCK", 5)
+    wanted = {}
+    for _, known, ids in phrases.blocks(iter([batch])):
+        for level, (_, counts, hashes) in enumerate(phrases.block_phrases("x", known, ids)):
+            for c, n in zip(phrases.cells(hashes, 40).tolist(), counts.tolist()):
+                wanted[level, c] = wanted.get((level, c), 0) + n
+    monkeypatch.setattr(phrases, "MOST_BITS", 40)
+    monkeypatch.setattr(phrases, "WAITING_CELLS", 4)
+    got = {}
+    for rows in phrases.sketched(iter([batch]), 40, 0, 1):
+        for r in rows.to_pylist():
+            level, piece = divmod(r["piece"], (1 << 40) // phrases.PIECE)
+            n = len(r["counts"]) // 3
+            for at, k in zip(phrases.np.frombuffer(r["counts"], "<u2", n).tolist(), r["counts"][2 * n :]):
+                got[level, piece * phrases.PIECE + at] = got.get((level, piece * phrases.PIECE + at), 0) + k
+    assert got == {k: n if n < 256 else got[k] for k, n in wanted.items()} and all(got[k] >= 255 for k, n in wanted.items() if n > 255)
